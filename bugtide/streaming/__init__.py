@@ -1,0 +1,4 @@
+"""There are no streaming operators. Labels, text cleaning, prompts and output
+parsing are stateless column expressions, so ``operators.labelling``,
+``operators.tokens.with_prompt_text`` and ``operators.evaluate.parse_outputs``
+take a streaming DataFrame as they are (see ``tests/test_stream_use.py``)."""
