@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
 
-WORD = f"[^{v.SPACE_CLASS}]+"
-
 # One stack frame line, e.g. "  at org.acme.Runner.run(Runner.java:42)\n".
 FRAME = (
     rf"[{v.SPACE_CLASS}]*+at[{v.SPACE_CLASS}]++[{v.WORD_CLASS}.$]++"
@@ -22,6 +20,7 @@ FRAME = (
 # Either a frame that directly follows the previous match, which is dropped, or
 # the first KEPT_FRAMES frames of a run, which are kept. A run can only begin
 # where a run of blanks begins.
+FRAME_END = r":\p{Nd}++\)[\r\n]"
 FRAME_RUN = rf"(?!\A)\G{FRAME}|(?<![{v.SPACE_CLASS}])((?:{FRAME}){{{v.KEPT_FRAMES}}})"
 
 
@@ -51,8 +50,11 @@ def unify_newlines(text: Column) -> Column:
 
 
 def shorten_stack_traces(text: Column) -> Column:
-    """Keep the first ten lines of every run of ten or more stack frames."""
-    return F.regexp_replace(text, FRAME_RUN, "$1")
+    """Keep the first ten lines of every run of ten or more stack frames.
+
+    Text without the end of a frame line is passed through after a cheap test.
+    """
+    return F.when(text.rlike(FRAME_END), F.regexp_replace(text, FRAME_RUN, "$1")).otherwise(text)
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -79,7 +81,10 @@ def clean_text(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    """The whitespace-separated words. Turning every blank into a plain space and
+    splitting on that is several times faster than a pattern for all blanks."""
+    plain = F.translate(text, v.WHITESPACE, " " * len(v.WHITESPACE))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def word_count(text: Column) -> Column:
@@ -93,10 +98,15 @@ def truncate_words(text: Column, limit: int = v.BODY_WORDS) -> Column:
     More than ``limit`` words take more than ``2 * limit`` characters, so shorter
     texts are passed through without being split.
     """
-    tokens = words(text)
-    return F.when((F.length(text) <= 2 * limit) | (F.size(tokens) <= limit), text).otherwise(
-        F.array_join(F.slice(tokens, 1, limit), " ")
+    # Wrapping the words in a one-element array names them, so that they are
+    # found once though used twice.
+    cut = F.transform(
+        F.array(words(text)),
+        lambda tokens: F.when(
+            F.size(tokens) > limit, F.array_join(F.slice(tokens, 1, limit), " ")
+        ),
     )
+    return F.when(F.length(text) <= 2 * limit, text).otherwise(F.coalesce(F.get(cut, 0), text))
 
 
 def preview(text: Column, chars: int, empty: str | None = None) -> Column:
