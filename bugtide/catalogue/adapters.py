@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
 from bugtide.operators import labelling, unify
+from bugtide.storage import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table whose rows lead to costly text work, spread over the cores."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def by_remainder(k: Column, values: list[str | None]) -> Column:
     """The value at position ``k mod len(values)``."""
     return F.get(F.array(*[F.lit(value) for value in values]), (k % len(values)).cast("int"))
@@ -30,6 +36,8 @@ def tracker_raw(spark: SparkSession, sf_dir: str, text: bool = True, times: bool
     """
     k = F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders")
+    if text:
+        orders = spread(orders, "o_orderkey")
     title = body = F.lit(None).cast("string")
     closed = F.lit(None).cast("timestamp_ntz")
     if times:
@@ -118,7 +126,7 @@ def trace_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     frame = F.concat(F.lit("  at a.b.C.m(F.java:"), (k % 97).cast("string"), F.lit(")\n"))
     frames = F.array_join(F.array_repeat(frame, (k % 25).cast("int")), "")
-    return table(spark, sf_dir, "orders").select(
+    return text_table(spark, sf_dir, "orders", "o_orderkey").select(
         k.cast("string").alias("id"), F.concat(F.lit("boom\n"), frames, F.lit("tail")).alias("body")
     )
 

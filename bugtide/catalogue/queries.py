@@ -76,7 +76,7 @@ def team_assign(spark, sf_dir):
 
 @query
 def team_of_documents(spark, sf_dir):
-    docs = adapters.table(spark, sf_dir, "documents")
+    docs = adapters.text_table(spark, sf_dir, "documents", "doc_id")
     return docs.select("doc_id", labels.team(F.lit(""), F.col("text"), F.col("text")).alias("team"))
 
 
@@ -91,7 +91,7 @@ def label_engineering(spark, sf_dir):
 @query
 def clean_html(spark, sf_dir):
     cleaned = tx.clean_text(F.col("html"))
-    pages = adapters.table(spark, sf_dir, "pages")
+    pages = adapters.text_table(spark, sf_dir, "pages", "page_id")
     return pages.select("page_id", "url", cleaned.alias("cleaned")).select(
         "page_id", tx.clean_text(F.col("url")).alias("url"), "cleaned",
         tx.truncate_words(F.col("cleaned")).alias("body"),
@@ -106,7 +106,7 @@ def stack_truncate(spark, sf_dir):
 
 @query
 def word_truncate(spark, sf_dir):
-    docs = adapters.table(spark, sf_dir, "documents")
+    docs = adapters.text_table(spark, sf_dir, "documents", "doc_id")
     cut = docs.withColumn("body", tx.truncate_words(F.col("text")))
     return cut.select(
         "doc_id",
@@ -218,10 +218,14 @@ def split_report(spark, sf_dir):
     return profile.split_report(split.stratified_split(adapters.with_team(spark, sf_dir)))
 
 
+# The samples are drawn before the text is cleaned: neither the order nor the
+# groups depend on clean text, and only the drawn reports need it.
+
+
 @query
 def seeded_sample(spark, sf_dir):
-    sample = split.seeded_sample(adapters.labelled(spark, sf_dir), v.SPOT_CHECK_ROWS)
-    return sample.select(
+    drawn = split.seeded_sample(adapters.unified(spark, sf_dir), v.SPOT_CHECK_ROWS)
+    return labelling.label_reports(drawn).select(
         "report_key", "source", "title", "team", "priority",
         tx.preview(F.col("body"), 100).alias("body_preview"),
     )
@@ -229,8 +233,9 @@ def seeded_sample(spark, sf_dir):
 
 @query
 def group_sample(spark, sf_dir):
-    sample = split.sample_per_group(adapters.labelled(spark, sf_dir), ["team"], 10)
-    return sample.select(
+    teams = adapters.unified(spark, sf_dir).transform(labelling.assign_team)
+    drawn = split.sample_per_group(teams, ["team"], 10).transform(labelling.clean_texts)
+    return drawn.select(
         "report_key", "team", tx.preview(F.col("title"), 100).alias("title"),
         tx.preview(F.col("body"), 200, "(empty)").alias("body"),
     )

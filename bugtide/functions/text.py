@@ -7,6 +7,10 @@ run of blanks, and no group is repeated over unbounded text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,10 +24,28 @@ FRAME = (
 # Either a frame that directly follows the previous match, which is dropped, or
 # the first KEPT_FRAMES frames of a run, which are kept. A run can only begin
 # where a run of blanks begins.
-FRAME_END = r":\p{Nd}++\)[\r\n]"
 FRAME_RUN = rf"(?!\A)\G{FRAME}|(?<![{v.SPACE_CLASS}])((?:{FRAME}){{{v.KEPT_FRAMES}}})"
 
 
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda name: use(name)), 0)
+
+
+def _where_marked(text: Column, marks: list[str], step: Callable[[Column], Column]) -> Column:
+    """Apply a step to text that contains one of the marks it needs.
+
+    Looking for a fixed string costs a fraction of running a pattern, and most
+    texts need few of the steps.
+    """
+
+    def guarded(name: Column) -> Column:
+        marked = reduce(or_, [name.contains(mark) for mark in marks])
+        return F.when(marked, step(name)).otherwise(name)
+
+    return named(text, guarded)
+
+
 def strip(text: Column) -> Column:
     """Remove leading and trailing whitespace, Unicode blanks included."""
     return F.btrim(text, F.lit(v.WHITESPACE))
@@ -35,34 +57,39 @@ def blank_tags(text: Column) -> Column:
     Text after the last ``>`` cannot hold a tag and is set aside, so that a long
     row of unclosed ``<`` is not rescanned from each of them.
     """
-    tail = F.substring_index(text, ">", -1)
-    head = F.left(text, F.length(text) - F.length(tail))
-    return F.concat(F.regexp_replace(head, v.HTML_TAG, " "), tail)
+
+    def step(name: Column) -> Column:
+        tail = F.substring_index(name, ">", -1)
+        head = F.left(name, F.length(name) - F.length(tail))
+        return F.concat(F.regexp_replace(head, v.HTML_TAG, " "), tail)
+
+    return _where_marked(text, [">"], step)
 
 
 def blank_entities(text: Column) -> Column:
     """Replace lower-case named and decimal entities by one space."""
-    return F.regexp_replace(text, v.ENTITY, " ")
+    return _where_marked(text, ["&"], lambda name: F.regexp_replace(name, v.ENTITY, " "))
 
 
 def unify_newlines(text: Column) -> Column:
-    return F.regexp_replace(text, "\r\n?", "\n")
+    return _where_marked(text, ["\r"], lambda name: F.regexp_replace(name, "\r\n?", "\n"))
 
 
 def shorten_stack_traces(text: Column) -> Column:
-    """Keep the first ten lines of every run of ten or more stack frames.
-
-    Text without the end of a frame line is passed through after a cheap test.
-    """
-    return F.when(text.rlike(FRAME_END), F.regexp_replace(text, FRAME_RUN, "$1")).otherwise(text)
+    """Keep the first ten lines of every run of ten or more stack frames."""
+    return _where_marked(
+        text, [")\n", ")\r"], lambda name: F.regexp_replace(name, FRAME_RUN, "$1")
+    )
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, v.SPACES, " ")
+    return _where_marked(text, ["  ", "\t"], lambda name: F.regexp_replace(name, v.SPACES, " "))
 
 
 def collapse_blank_lines(text: Column) -> Column:
-    return F.regexp_replace(text, v.BLANK_LINES, "\n\n")
+    return _where_marked(
+        text, ["\n\n\n"], lambda name: F.regexp_replace(name, v.BLANK_LINES, "\n\n")
+    )
 
 
 def clean_text(text: Column) -> Column:
@@ -98,15 +125,13 @@ def truncate_words(text: Column, limit: int = v.BODY_WORDS) -> Column:
     More than ``limit`` words take more than ``2 * limit`` characters, so shorter
     texts are passed through without being split.
     """
-    # Wrapping the words in a one-element array names them, so that they are
-    # found once though used twice.
-    cut = F.transform(
-        F.array(words(text)),
+    cut = named(
+        words(text),
         lambda tokens: F.when(
             F.size(tokens) > limit, F.array_join(F.slice(tokens, 1, limit), " ")
         ),
     )
-    return F.when(F.length(text) <= 2 * limit, text).otherwise(F.coalesce(F.get(cut, 0), text))
+    return F.when(F.length(text) <= 2 * limit, text).otherwise(F.coalesce(cut, text))
 
 
 def preview(text: Column, chars: int, empty: str | None = None) -> Column:

@@ -13,6 +13,7 @@ from bugtide import vocabulary as v
 from bugtide.functions import keys
 from bugtide.functions import text as tx
 from bugtide.operators.copies import count_copies, repeat_rows
+from bugtide.storage import written
 
 
 def _rows() -> Column:
@@ -132,11 +133,12 @@ def histogram(df: DataFrame, column: str, cap: float, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and the largest capped value, the
     last one closed; empty bins are listed.
 
-    Values are counted first, so the range and the bins come from the table of
-    distinct capped values rather than from a second pass over the rows.
+    Values are counted first, in a job that runs when this is called. The range
+    and the bins then come from the table of distinct capped values rather than
+    from a second pass over the rows.
     """
     value = F.col(column).cast("double")
-    counts = (
+    counts = written(
         df.where(value.isNotNull())
         .groupBy(F.least(value, F.lit(float(cap))).alias("value"))
         .agg(_rows().alias("n"))

@@ -25,26 +25,22 @@ SEVERITY_WORDS = [
 ]
 
 
-def _python_pattern(words: str) -> re.Pattern:
-    return re.compile(rf"\b(?:{'|'.join(words.split())})\b", re.IGNORECASE)
-
-
 def rule_predictor() -> Predict:
     """A deterministic stand-in for a model: keywords decide both answers."""
-    severities = [(level, _python_pattern(words)) for level, words in SEVERITY_WORDS]
-    teams = [(team, _python_pattern(words)) for team, words in v.TEAM_KEYWORDS]
-
-    def first(rules: list, prompt: str, default: str) -> str:
-        return next((answer for answer, pattern in rules if pattern.search(prompt)), default)
+    severities = [(level, set(words.split())) for level, words in SEVERITY_WORDS]
+    teams = [(team, set(words.split())) for team, words in v.TEAM_KEYWORDS]
+    word = re.compile(r"\w+")
 
     def predict(batch: list[str]) -> list[str]:
-        return [
-            v.COMPLETION_SEVERITY
-            + first(severities, prompt, v.DEFAULT_PRIORITY)
-            + v.COMPLETION_TEAM
-            + first(teams, prompt, v.UNKNOWN_TEAM)
-            for prompt in batch
-        ]
+        answers = []
+        for prompt in batch:
+            seen = set(word.findall(prompt.lower()))
+            level, team = (
+                next((answer for answer, keywords in rules if keywords & seen), default)
+                for rules, default in ((severities, v.DEFAULT_PRIORITY), (teams, v.UNKNOWN_TEAM))
+            )
+            answers.append(f"{v.COMPLETION_SEVERITY}{level}{v.COMPLETION_TEAM}{team}")
+        return answers
 
     return predict
 

@@ -34,3 +34,15 @@ def written(df: DataFrame) -> DataFrame:
     folder = scratch_folder(spark)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table that comes in too few scan tasks.
+
+    A single file with one row group is read by one task, and all the work on its
+    rows would stay there. A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(2 * cores, key)

@@ -56,6 +56,8 @@ PLACEHOLDER_PRIORITY = "--"
 
 # --- team keywords, most specific team first ---------------------------------
 
+# Whole words. "eclipse platform" needs no entry: its second word has one.
+
 TEAM_KEYWORDS = [
     ("security", "security auth ssl tls crypto certificate permission oauth saml jwt encryption"),
     ("database", "database db sql mysql postgres sqlite oracle mongo jdbc orm hibernate derby h2"),
@@ -70,7 +72,7 @@ TEAM_KEYWORDS = [
         "infra infrastructure deploy docker kubernetes k8s ci cd pipeline devops monitoring "
         "logging tomcat server maven gradle ant build jenkins slurm",
     ),
-    ("platform", "platform core runtime jvm jdk classpath aspectj eclipse[_\\x20]platform equinox"),
+    ("platform", "platform core runtime jvm jdk classpath aspectj eclipse_platform equinox"),
     ("backend", "api backend service rest endpoint handler controller jdt cdt compiler parser refactor"),
 ]
 
