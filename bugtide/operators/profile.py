@@ -241,7 +241,7 @@ def rates_by_dimension(df: DataFrame, flag: str, dimensions: list[str]) -> DataF
     Rows are counted once per combination; the groupings are then formed from
     that small table.
     """
-    small = df.groupBy(*dimensions).agg(F.count_if(F.col(flag)).alias("p"), _rows().alias("n"))
+    small = df.groupBy(*dimensions).agg(F.count_if(F.col(flag)).alias("_positives"), _rows().alias("_total"))
     sets = [[]] + [[d] for d in dimensions]
     name, value = F.lit("all"), F.lit("all")
     for d in dimensions:
@@ -252,8 +252,8 @@ def rates_by_dimension(df: DataFrame, flag: str, dimensions: list[str]) -> DataF
         .agg(
             name.alias("dimension"),
             value.alias("value"),
-            F.sum("p").alias("positives"),
-            F.sum("n").alias("total"),
+            F.sum("_positives").alias("positives"),
+            F.sum("_total").alias("total"),
         )
         .drop(*dimensions)
         .withColumn("rate_pct", F.round(100 * F.col("positives") / F.col("total"), 1))

@@ -6,8 +6,9 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-# Tasks import the package too.
-os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH")) if p)
+# Tasks import the package and the test helpers too.
+PATHS = (ROOT, os.path.join(ROOT, "tests"), os.environ.get("PYTHONPATH"))
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in PATHS if p)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
