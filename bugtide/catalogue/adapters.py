@@ -108,7 +108,8 @@ def duplicate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 def timestamped_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One report per event; some times are not times."""
     k = F.col("event_id")
-    opened = F.timestamp_diff("SECOND", F.expr("timestamp_ntz '1970-01-01 00:00:00'"), F.col("ts"))
+    since_epoch = F.col("ts") - F.expr("timestamp_ntz '1970-01-01 00:00:00'")
+    opened = since_epoch.cast("interval second").cast("decimal(18,6)").cast("bigint")
     closed = opened + F.floor(F.col("value") * 86400)
     return table(spark, sf_dir, "events").select(
         k.cast("string").alias("bug_id"),

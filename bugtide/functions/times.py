@@ -48,8 +48,14 @@ def from_epoch_seconds(raw: Column) -> Column:
 
 
 def elapsed_days(start: Column, end: Column) -> Column:
-    """Fractional days from ``start`` to ``end``; null if either is missing."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(86_400_000_000.0)
+    """Fractional days from ``start`` to ``end``; null if either is missing.
+
+    Goes through the interval between the two. The timestamp difference function
+    would first read both in the session time zone and so shift wall-clock times
+    that a change to summer time skips there.
+    """
+    seconds = (end - start).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("bigint") / F.lit(86_400_000_000.0)
 
 
 def whole_days(start: Column, end: Column) -> Column:

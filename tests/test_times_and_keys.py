@@ -50,6 +50,17 @@ def test_durations_round_down(spark):
     assert [r[1] for r in found] == [h / 24 for h in hours] + [None, None]
 
 
+def test_durations_across_a_change_to_summer_time(spark):
+    start = dt.datetime(2024, 3, 31, 2, 30)  # skipped in Berlin
+    df = spark.createDataFrame([(start, start + dt.timedelta(days=1))], "a timestamp_ntz, b timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        assert df.select(times.elapsed_days(F.col("a"), F.col("b"))).first()[0] == 1.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_split_ids(spark):
     cases = {
         "12": ["12"],
