@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,8 @@ from bugtide.catalogue import adapters
 from bugtide.functions import labels, times
 from bugtide.functions import text as tx
 from bugtide.operators import dedup, evaluate, labelling, profile, scoring, split, tokens, unify
+from bugtide.sources import tables
+from bugtide.storage import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -252,8 +255,6 @@ def prompt_text(spark, sf_dir):
 
 @query
 def training_sample(spark, sf_dir):
-    from bugtide.sources import tables
-
     return tables.training_sample(adapters.with_team(spark, sf_dir))
 
 
@@ -277,6 +278,23 @@ def tokenise_mask(spark, sf_dir):
     )
 
 
+def tokenise_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    make = tokens.file_encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = tokens.tokenise(adapters.with_team(spark, sf_dir), make_encoder=make, pad=50256)
+    return rows.select(
+        "report_key", F.array_join("input_ids", " ").alias("input_ids"),
+        F.array_join("labels", " ").alias("labels"), "prompt_length",
+    )
+
+
+# Needs the installed vocabulary files; SQL cannot say what it does, so a test
+# compares it with the tokenizer itself.
+if importlib.util.find_spec("public_tokenizers"):
+    query(tokenise_bpe)
+
+
 @query
 def masked_rows_audit(spark, sf_dir):
     rows = tokens.tokenise(adapters.with_team(spark, sf_dir))
@@ -412,8 +430,13 @@ def _truth(spark, sf_dir):
     return adapters.with_team(spark, sf_dir)
 
 
+def _labels(spark, sf_dir):
+    """The labels without the text, stored, as both sides of the join need them."""
+    return written(_truth(spark, sf_dir).select("report_key", "id", "priority", "team"))
+
+
 def _counts(spark, sf_dir):
-    truth = _truth(spark, sf_dir)
+    truth = _labels(spark, sf_dir)
     return evaluate.outcome_counts_by_key(truth, adapters.model_outputs(truth))
 
 
@@ -430,7 +453,7 @@ def parse_failure_rate(spark, sf_dir):
 
 @query
 def alignment_gaps(spark, sf_dir):
-    truth = _truth(spark, sf_dir)
+    truth = _labels(spark, sf_dir)
     outputs = adapters.model_outputs(truth.where(F.col("id").cast("bigint") % 100 != 0))
     return evaluate.alignment_gaps(truth, outputs)
 
@@ -452,13 +475,13 @@ def critical_errors(spark, sf_dir):
 
 @query
 def metrics_summary(spark, sf_dir):
-    truth = _truth(spark, sf_dir)
+    truth = _labels(spark, sf_dir)
     return evaluate.evaluate(truth, adapters.model_outputs(truth)).drop("per_class_f1", "confusion_matrix")
 
 
 @query
 def prediction_report(spark, sf_dir):
-    truth = _truth(spark, sf_dir)
+    truth = written(_truth(spark, sf_dir))
     return evaluate.prediction_report(evaluate.align(truth, adapters.model_outputs(truth)))
 
 

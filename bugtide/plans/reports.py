@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame
 
 from bugtide import vocabulary as v
 from bugtide.operators import labelling, profile, split, unify
+from bugtide.storage import written
 
 
 def profile_dataset(splits: DataFrame) -> dict[str, DataFrame]:
-    """Size, distributions, lengths, histograms and duplicates of stored splits."""
-    counted = profile.with_word_counts(splits)
+    """Size, distributions, lengths, histograms and duplicates of stored splits.
+
+    Words are counted once and their numbers stored, so that the text is read for
+    them a single time.
+    """
+    counted = written(profile.with_word_counts(splits).select("title_words", "body_words"))
     timed = unify.with_valid_duration(splits)
     content = splits.drop("split")
     tables = {

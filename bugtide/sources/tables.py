@@ -52,8 +52,14 @@ def load_all(
     return unify.append(*frames)
 
 
-def write_splits(df: DataFrame, path: str) -> None:
-    """One Parquet folder per split, so that reading one split skips the others."""
+def write_splits(df: DataFrame, path: str, rebalance: bool = False) -> None:
+    """One Parquet folder per split, so that reading one split skips the others.
+
+    Each task writes to all three folders. ``rebalance`` adds a shuffle that fills
+    files evenly, and divides the large split over many tasks.
+    """
+    if rebalance:
+        df = df.hint("rebalance", "split")
     df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 

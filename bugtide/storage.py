@@ -14,7 +14,7 @@ def scratch_folder(spark: SparkSession) -> str:
     Only a local session may go without the setting: its one machine is then the
     place every task can read.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

@@ -74,6 +74,23 @@ def test_pad_tokens_inside_a_prompt_are_not_counted(spark):
     assert k.prompt_length == len(k.full_text) - len("severity:P1 | team:infra") - 2
 
 
+def test_tokenizer_from_a_file(spark):
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(path)
+    df = reports_of(spark, [row("Stack trace: naïve\n\tat x.y(Z.java:3)"), row("word " * 700, key="long"), row("", key="e")])
+    out = tokens.tokenise(df, make_encoder=tokens.file_encoder(path), pad=50256)
+    prompts_of = {r.report_key: r.prompt for r in tokens.with_prompt_text(df).collect()}
+    for r in out.collect():
+        ids = plain.encode(r.full_text).ids[:512]
+        alone = len(plain.encode(prompts_of[r.report_key]).ids[:512])
+        assert r.input_ids == ids + [50256] * (512 - len(ids))
+        assert r.labels == [-100] * alone + r.input_ids[alone:]
+        assert r.attention_mask == [1] * len(ids) + [0] * (512 - len(ids))
+
+
 def test_training_sample(spark):
     df = reports_of(spark, [row("b", key=f"k{i:03}", title=f"t{i}") for i in range(120)])
     sample = tables.training_sample(df)

@@ -52,6 +52,12 @@ def test_missing_priority_fails_the_job(spark):
         ("", "the naïve réui", "", "unknown"),
         ("", "uié", "", "unknown"),
         ("", "(ui)", "", "frontend"),
+        ("", "UI\u0307", "", "frontend"),
+        ("", "\u017fecurity", "", "security"),
+        ("", "\u212a8s", "", "infra"),
+        ("", "ui2", "", "unknown"),
+        ("", "d\u00b2 db\u00b2", "", "unknown"),
+        ("C++ui#x", "", "", "frontend"),
         ("", "x", "a" * 197 + " ui", "frontend"),
         ("", "x", "a" * 198 + " ui", "unknown"),
         ("", "x", "a" * 200 + " ui", "unknown"),

@@ -14,21 +14,25 @@ def database():
     return compare.connect(SMALL)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+# Checked against the tokenizer itself in test_dataset.py.
+NO_SQL = {"tokenise_bpe"}
+
+
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in NO_SQL])
 def test_query_equals_its_sql(spark, database, name):
     found = entry.queries()[name](spark, SMALL)
     assert compare.difference(found, database, entry.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.queries()) - NO_SQL == set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 2
 
 
-NO_PYTHON = [n for n in entry.queries() if n not in ("score_reports", "scored_metrics")]
+NO_PYTHON = [n for n in entry.queries() if n not in ("score_reports", "scored_metrics", "tokenise_bpe")]
 
 
 @pytest.mark.parametrize("name", NO_PYTHON)
