@@ -1 +1 @@
-"""The registered queries, their input adapters and their reference SQL."""
+"""The registered queries, their input adapters and the SQL they are checked against."""

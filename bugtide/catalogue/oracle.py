@@ -393,6 +393,13 @@ ORACLE["over_escalation_rates"] = with_(
   GROUP BY level""",
 )
 
+ORACLE["escalation_pairs"] = with_(
+    FLAGGED,
+    """SELECT id, project, is_over_escalated, priority_mapped, resolution_clean,
+    (epoch_us(closed_at) - epoch_us(created_at)) / 86400000000.0::DOUBLE AS elapsed_days
+  FROM flagged QUALIFY row_number() OVER (PARTITION BY project, is_over_escalated ORDER BY md5('42:' || id)) <= 3""",
+)
+
 # --- split and samples -------------------------------------------------------
 
 _CELLS = " || ".join(
@@ -480,6 +487,15 @@ ORACLE["masked_rows_audit"] = with_(
   FROM counted GROUP BY source""",
 )
 
+ORACLE["prompt_samples"] = with_(
+    f"""{SPLIT}, drawn AS (
+  SELECT * FROM splits QUALIFY row_number() OVER (PARTITION BY split ORDER BY {_SEEDED}) <= 3
+),
+told AS (SELECT split, report_key, {prompt("title", "body")} AS prompt, {completion("priority", "team")} AS completion
+  FROM drawn)""",
+    "SELECT *, prompt || completion AS full_text FROM told",
+)
+
 # --- profile and audit -------------------------------------------------------
 
 ORACLE["value_counts"] = with_(ANY_TEAM, "SELECT team, count(*) AS rows FROM labels_only GROUP BY team")

@@ -13,6 +13,7 @@ from bugtide.catalogue import adapters
 from bugtide.functions import labels, times
 from bugtide.functions import text as tx
 from bugtide.operators import dedup, evaluate, labelling, profile, scoring, split, tokens, unify
+from bugtide.plans import reports
 from bugtide.sources import tables
 from bugtide.storage import written
 
@@ -207,6 +208,12 @@ def over_escalation_rates(spark, sf_dir):
     return profile.rates_by_dimension(rows, "is_over_escalated", ["project", "priority"])
 
 
+@query
+def escalation_pairs(spark, sf_dir):
+    drawn = reports.escalation_pairs(_flagged(spark, sf_dir))
+    return drawn.select("id", "project", "is_over_escalated", "priority_mapped", "resolution_clean", "elapsed_days")
+
+
 # --- split and samples -------------------------------------------------------
 
 
@@ -304,6 +311,11 @@ def masked_rows_audit(spark, sf_dir):
     )
 
 
+@query
+def prompt_samples(spark, sf_dir):
+    return reports.sample_prompts(split.stratified_split(adapters.with_team(spark, sf_dir)))
+
+
 # --- profile and audit -------------------------------------------------------
 
 

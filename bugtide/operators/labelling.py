@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
@@ -53,8 +53,15 @@ def label_reports(
     )
 
 
-def drop_unknown_team(df: DataFrame) -> DataFrame:
-    return df.where(F.col("team") != v.UNKNOWN_TEAM)
+def drop_unknown_team(df: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """Keep reports with a team. ``watch`` receives ``reports`` and ``dropped``
+    once the result has been computed, without a pass of its own."""
+    known = F.col("team") != v.UNKNOWN_TEAM
+    if watch is not None:
+        df = df.observe(
+            watch, F.count(F.lit(1)).alias("reports"), F.count_if(~known).alias("dropped")
+        )
+    return df.where(known)
 
 
 def require_priority(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from bugtide import vocabulary as v
-from bugtide.operators import labelling, profile, split, unify
+from bugtide.operators import labelling, profile, split, tokens, unify
 from bugtide.storage import written
 
 
@@ -68,3 +68,14 @@ def over_escalation(reports: DataFrame) -> dict[str, DataFrame]:
         "counts": profile.flag_counts(flagged, flags),
         "rows": labelling.over_escalated_rows(flagged),
     }
+
+
+def sample_prompts(splits: DataFrame, n: int = 3) -> DataFrame:
+    """Prompt, expected answer and both together for ``n`` reports per split."""
+    drawn = split.sample_per_group(splits, ["split"], n)
+    return tokens.with_prompt_text(drawn).select("split", "report_key", "prompt", "completion", "full_text")
+
+
+def escalation_pairs(flagged: DataFrame, group: str = "project", n: int = 3, key: str = "id") -> DataFrame:
+    """Up to ``n`` over-escalated and ``n`` other reports of each group, side by side."""
+    return split.sample_per_group(flagged, [group, "is_over_escalated"], n, key)

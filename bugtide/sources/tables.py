@@ -71,14 +71,22 @@ def read_splits(spark: SparkSession, path: str, *splits: str) -> DataFrame:
     return df.where(F.col("split").isin(list(splits))) if splits else df
 
 
+# The writer would otherwise trim values, and prompts end in a line break.
+CSV_OUT = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OUT).csv(path)
 
 
 def write_csv_by_project(df: DataFrame, path: str) -> None:
     """One folder per project; the project column stays in the files' path only."""
-    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
-    writer.partitionBy("source_project").csv(path)
+    df.write.mode("overwrite").options(**CSV_OUT).partitionBy("source_project").csv(path)
 
 
 def training_sample(train: DataFrame, n: int = 100, order_by: str = "report_key") -> DataFrame:

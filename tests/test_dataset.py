@@ -91,12 +91,22 @@ def test_tokenizer_from_a_file(spark):
         assert r.attention_mask == [1] * len(ids) + [0] * (512 - len(ids))
 
 
-def test_training_sample(spark):
+def test_training_sample(spark, tmp_path):
     df = reports_of(spark, [row("b", key=f"k{i:03}", title=f"t{i}") for i in range(120)])
     sample = tables.training_sample(df)
     assert sample.columns == ["input_prompt", "expected_output", "full_string"]
     assert sample.count() == 100 and sample.where(F.col("input_prompt").contains("t110")).count() == 0
     assert tables.training_sample(df, n=500).count() == 120
+    tables.write_csv(sample, str(tmp_path / "sample"))
+    assert rows_of(tables.read_table(spark, str(tmp_path / "sample"), "csv")) == rows_of(sample)
+
+
+def test_prompt_samples_per_split(spark):
+    df = reports_of(spark, [row("b", key=f"k{i}") for i in range(40)]).withColumn(
+        "split", F.when(F.col("report_key") < "k15", "val").otherwise("train")
+    )
+    counts = {r.split: r["count"] for r in reports.sample_prompts(df).groupBy("split").count().collect()}
+    assert counts == {"train": 3, "val": 3}
 
 
 def test_prepare_store_tokenise_evaluate(spark, tmp_path):

@@ -103,10 +103,15 @@ def test_ingest(spark, folders, tmp_path):
     body = reports.where("title like 'first%'").first().body
     assert body == 'body over\ntwo lines and "quotes"'
     assert reports.where("title = 'same id again'").first().body is None
-    stats = {r.scope: r for r in done.statistics.collect()}
+    stats = {r.pair: r for r in done.statistics.collect()}
     alpha = stats["alpha/alpha_bugs.csv"]
     assert (alpha.before_rows, alpha.after_rows, alpha.removed_rows, alpha.listed_ids) == (8, 6, 2, 4)
-    assert stats["my beta+x/extra_bugs.csv"].removed_rows == 1
+    beta = stats["my beta+x/extra_bugs.csv"]
+    assert beta.removed_rows == 1
+    assert (alpha.bug_id_column, alpha.issue_column, alpha.duplicate_column) == (
+        "Issue id", "Issue ID", "Duplicated Bug Id"
+    )
+    assert (beta.bug_id_column, beta.issue_column, beta.duplicate_column) == ("bug_id", "a", "b")
 
     by_project = tables.read_table(spark, f"{out}/by_project", "csv")
     assert by_project.count() == done.cleaned.count() == 8
@@ -217,3 +222,10 @@ def test_filters(spark):
     assert [r.priority for r in unify.with_real_priority(df).collect()] == ["High", " --"]
     assert unify.resolved_only(df).count() == 3
     assert [r[2] for r in unify.with_valid_duration(df).collect()] == [0.0, 2.0]
+
+
+def test_csv_round_trip_keeps_text(spark, tmp_path):
+    texts = ["  padded ", "line\nbreak\n", "\r\n both", "a\\", 'say "x"', "\\\"", ",;|", "#hash", "\ttab\t", "'q'", "é語"]
+    df = spark.createDataFrame([(str(i), t, "z") for i, t in enumerate(texts)], "id string, text string, last string")
+    tables.write_csv(df, str(tmp_path / "csv"))
+    assert rows_of(tables.read_table(spark, str(tmp_path / "csv"), "csv")) == rows_of(df)

@@ -3,6 +3,7 @@ import itertools
 
 import pytest
 from helpers import apply
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
@@ -108,3 +109,10 @@ def test_over_escalation_flag_equals_the_rule_row_by_row(spark):
     found = labelling.flag_over_escalation(df).collect()
     assert [r.is_over_escalated for r in found] == [expected(*r[:4]) for r in found]
     assert sum(r.is_over_escalated for r in found) == 4
+
+
+def test_dropped_reports_are_counted_on_the_way(spark):
+    df = spark.createDataFrame([("infra",), ("unknown",), ("unknown",)], "team string")
+    watch = Observation("drop")
+    assert labelling.drop_unknown_team(df, watch).count() == 1
+    assert watch.get == {"reports": 3, "dropped": 2}
