@@ -135,13 +135,13 @@ def histogram(df: DataFrame, column: str, cap: float, bins: int) -> DataFrame:
 
     Values are counted first, in a job that runs when this is called. The range
     and the bins then come from the table of distinct capped values rather than
-    from a second pass over the rows.
+    from a second pass over the rows. Missing values are left out of that table,
+    not of the input, where the test would compute the column twice.
     """
     value = F.col(column).cast("double")
-    counts = written(
-        df.where(value.isNotNull())
-        .groupBy(F.least(value, F.lit(float(cap))).alias("value"))
-        .agg(_rows().alias("n"))
+    capped = F.when(value > cap, F.lit(float(cap))).otherwise(value)
+    counts = written(df.groupBy(capped.alias("value")).agg(_rows().alias("n"))).where(
+        F.col("value").isNotNull()
     )
     ends = counts.agg(
         F.struct(F.min("value").alias("low"), F.max("value").alias("high"))
