@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
 
+ASCII_BLANKS = r"[\s\x1c-\x1f]+"
+
 # One stack frame line, e.g. "  at org.acme.Runner.run(Runner.java:42)\n".
 FRAME = (
     rf"[{v.SPACE_CLASS}]*+at[{v.SPACE_CLASS}]++[{v.WORD_CLASS}.$]++"
@@ -107,40 +109,45 @@ def clean_text(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def spaced(text: Column) -> Column:
-    """The words of a text with one plain space between them.
+def _pieces(text: Column, limit: int = -1) -> Column:
+    """The text split at its blanks; the empty string gives one empty piece.
 
-    Mapping every blank to a space, character by character, is several times
-    faster than a pattern for all blanks; only longer gaps need one.
+    Splitting at ASCII blanks is fast, a pattern for all blanks is not. Text that
+    has other characters, which shows in its length in bytes, therefore gets its
+    blanks mapped to plain spaces first.
     """
-    plain = F.translate(text, v.WHITESPACE, " " * len(v.WHITESPACE))
-    return F.trim(_where_marked(plain, ["  "], lambda name: F.regexp_replace(name, " {2,}", " ")))
+
+    def split(name: Column) -> Column:
+        mapped = F.translate(name, v.WHITESPACE, " " * len(v.WHITESPACE))
+        plain = F.when(F.octet_length(name) == F.length(name), name).otherwise(mapped)
+        return F.split(strip(plain), ASCII_BLANKS, limit)
+
+    return named(text, split)
 
 
 def words(text: Column) -> Column:
     """The whitespace-separated words; none for the empty string."""
-    return F.array_remove(F.split(spaced(text), " "), "")
+    return F.array_remove(_pieces(text), "")
 
 
 def word_count(text: Column) -> Column:
     """Number of whitespace-separated words; 0 for the empty string."""
-    gaps = named(spaced(text), lambda name: F.length(name) - F.length(F.replace(name, F.lit(" "), F.lit(""))))
-    return F.when(strip(text) == "", 0).otherwise(gaps + 1)
+    return F.size(words(text))
 
 
 def truncate_words(text: Column, limit: int = v.BODY_WORDS) -> Column:
     """Text of at most ``limit`` words; a shorter text keeps its own spacing.
 
     More than ``limit`` words take more than ``2 * limit`` characters, so shorter
-    texts are passed through untouched.
+    texts are passed through untouched. Longer ones are split no further than the
+    limit.
     """
 
-    def cut(name: Column) -> Column:
-        head = F.substring_index(name, " ", limit)
-        return F.when(F.length(head) < F.length(name), head)
+    def cut(pieces: Column) -> Column:
+        return F.when(F.size(pieces) > limit, F.array_join(F.slice(pieces, 1, limit), " "))
 
     return F.when(F.length(text) <= 2 * limit, text).otherwise(
-        F.coalesce(named(spaced(text), cut), text)
+        F.coalesce(named(_pieces(text, limit + 1), cut), text)
     )
 
 

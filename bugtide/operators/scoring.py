@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from bugtide import vocabulary as v
 from bugtide.functions import prompts
 from bugtide.functions import text as tx
+from bugtide.shipping import ship_package
 
 # Takes a batch of prompts, gives one answer each.
 Predict = Callable[[list[str]], list[str]]
@@ -57,6 +58,8 @@ def score_reports(
     batches; the other columns never leave the JVM.
     """
 
+    ship_package(df.sparkSession)
+
     @F.pandas_udf("string")
     def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = make_predictor()

@@ -1,4 +1,8 @@
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from helpers import apply, plan_of
@@ -8,6 +12,8 @@ from bugtide import vocabulary as v
 from bugtide.functions import outputs
 from bugtide.operators import evaluate, scoring
 
+ROOT = Path(__file__).resolve().parents[1]
+
 ANSWERS = {
     "severity:P1 | team:platform": ("P1", "platform"),
     "severity:P0|team:infra": ("P0", "infra"),
@@ -139,3 +145,20 @@ def test_predictor_sees_the_prompt_only(spark):
     df = spark.createDataFrame([("t", "b", "x" * 10)], "title string, body string, wide string")
     plan = plan_of(scoring.score_reports(df))
     assert "ArrowEvalPython" in plan and "MapInPandas" not in plan and "BatchEvalPython" not in plan
+
+
+def test_scoring_works_where_only_the_driver_has_the_package(tmp_path):
+    script = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from bugtide.operators import scoring
+df = spark.createDataFrame([("iOS app shows wrong font", "")], "title string, body string")
+print("ANSWER", scoring.score_reports(df).first().raw_output)
+"""
+    clean = {k: x for k, x in os.environ.items() if not k.startswith(("PYTHONPATH", "PYSPARK", "SPARK"))}
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=180
+    )
+    assert "ANSWER severity:P4 | team:mobile" in done.stdout, done.stderr[-2000:]
