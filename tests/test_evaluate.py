@@ -105,6 +105,33 @@ def test_copies_of_a_report_meet_their_prediction_once(spark):
     assert tuple(evaluate.alignment_gaps(truth, odd).first()) == (1, 1, 1)
 
 
+def test_a_key_with_a_third_of_the_reports_is_split(spark, tmp_path):
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, x in settings.items():
+        spark.conf.set(k, x)
+    try:
+        n = 30_000
+        number = F.col("id").cast("string")
+        key = F.when(F.col("id") % 3 == 0, "hot").otherwise(number)
+        truth = spark.range(n).repartition(8).select(key.alias("report_key"), F.sha2(number, 256).alias("body"))
+        answers = spark.range(1, n).select(key.alias("report_key")).distinct().withColumn("raw_output", F.lit("x"))
+        answers.write.parquet(str(tmp_path / "answers"))
+        joined = evaluate.align(truth, spark.read.parquet(str(tmp_path / "answers")))
+        assert len(joined.collect()) == n
+        assert "skewed" in plan_of(joined)
+    finally:
+        for k, x in before.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+
+
 def test_report_marks_failed_parses_as_wrong(spark):
     df = spark.createDataFrame(
         [("t", "", "P1", "infra", "junk"), ("t", " \n", "P1", "infra", "severity:P1|team:db")],
