@@ -2,14 +2,41 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bugtide.llm import decontamination, licenses, sharding, simhash
+from bugtide.llm import (
+    decontamination,
+    language,
+    licenses,
+    packing,
+    pitmanyor,
+    sharding,
+    simhash,
+    substrings,
+    topk,
+    urlrules,
+)
 from bugtide.llm.tools import table
 
 SHARDS = 16
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The tokenizer's file; the environment may name another."""
+    if path := os.environ.get("BUGTIDE_TOKENIZER"):
+        return path
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_pitman_yor_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_table(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -19,10 +46,30 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.leak_digest(found)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_branch_and_bound_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_digest(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
 
@@ -30,9 +77,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_pitman_yor_scoring,
         op2_jump_sharding,
         op3_benchmark_decontamination,
+        op4_language_id,
+        op5_branch_and_bound_topk,
+        op6_suffix_array_dedup,
+        op7_url_rules,
         op8_simhash_near_dedup,
+        op9_mixture_packing,
         op10_license_scan,
     )
 }

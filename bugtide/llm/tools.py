@@ -71,3 +71,20 @@ def run_starts(values: np.ndarray) -> np.ndarray:
     if not len(values):
         return np.zeros(0, dtype=np.int64)
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+
+
+def grouped(batches: Batches, column: str) -> Iterator[pa.Table]:
+    """The rows of one value of an integer column after another; the rows come sorted by it."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        values = batch.column(batch.schema.get_field_index(column)).to_numpy()
+        starts = run_starts(values)
+        for start, past in zip(starts, [*starts[1:], len(values)], strict=True):
+            if held and values[start] != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = values[start]
+            held.append(batch.slice(start, past - start))
+    if held:
+        yield pa.Table.from_batches(held)
