@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +45,24 @@ END = 2
 #: Words whose ids a worker remembers.
 REMEMBERED = 300_000
 #: Bytes of text that are tokenised at once.
-SLICE = 4_000_000
+SLICE = 2_000_000
+
+
+#: What may end a word and always is a token of its own kind.
+MARKS = b".,;:!?"
+#: Letters below this are letters in every version of Unicode that libraries know.
+LATIN = "\u0250"
+#: Special tokens hold this; they are told apart from text before it is lower-cased.
+SPECIAL = b"<|"
 
 
 class WordTokenizer:
     """Ids of texts by a tokenizer that never joins across blanks, word by word.
 
-    The ids of a word are remembered; only new words reach the tokenizer. Words end at
-    the ASCII blanks, which the vocabulary's rules always drop.
+    The vocabulary's rules drop the ASCII blanks, lower-case the text, and cut a word
+    between letters and marks. The ids of words are remembered, and of the letters and
+    the marks at the end of new words. New runs of lower-case Latin letters go to the
+    vocabulary's merges alone; all else new goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, end: int):
@@ -60,20 +70,57 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end
+        # The letter that the byte-level rule writes for each byte.
+        self.letters = {b: self._byte_letter(b) for b in range(256)}
         self.forget()
 
+    @staticmethod
+    def _byte_letter(b: int) -> str:
+        plain = 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b
+        return chr(b) if plain else chr(0x100 + b if b <= 0x20 else 0x100 + 0x21 + b - 0x7F if b <= 0xA0 else 0x143)
+
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
+        self.known: dict[bytes, list[int]] = {}
         self.ids = np.array([self.end], dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
         self.lengths = np.ones(1, dtype=np.int64)
 
+    def _run(self, word: bytes) -> list[int] | None:
+        """Ids of a run of lower-case Latin letters; nothing for another word."""
+        text = word.decode()
+        if not text.isalpha() or max(text) >= LATIN or text != text.lower():
+            return None
+        return [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.letters))]
+
+    def _whole(self, words: list[bytes]) -> list[list[int]]:
+        texts = [w.decode() for w in words]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _learn(self, words: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-        lengths = np.array([len(f) for f in found], dtype=np.int64)
+        known, found, rest = self.known, [], []
+        for i, word in enumerate(words):
+            run = word.rstrip(MARKS)
+            ids = known.get(run)
+            if ids is None and run:
+                ids = self._run(run)
+                if ids is not None:
+                    known[run] = ids
+            tail = word[len(run) :]
+            if ids is not None and tail:
+                if tail not in known:
+                    known[tail] = self._whole([tail])[0]
+                ids = ids + known[tail]
+            if ids is None:
+                rest.append(i)
+            found.append(ids)
+        for i, ids in zip(rest, self._whole([words[i] for i in rest]), strict=True):
+            found[i] = ids
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         starts = len(self.ids) + np.cumsum(lengths) - lengths
         self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, np.array([i for f in found for i in f], dtype=np.uint32)])
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum()))
+        self.ids = np.concatenate([self.ids, flat])
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
 
@@ -81,8 +128,8 @@ class WordTokenizer:
         """All ids, end ids included, and their number for each text."""
         if len(self.index) > REMEMBERED:
             self.forget()
-        split = [t.split() for t in texts]
-        flat = [w for words in split for w in words]
+        split = [(t if SPECIAL in t else t.lower()).split() for t in texts]
+        flat = list(chain.from_iterable(split))
         at = np.fromiter(map(self.index.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
@@ -281,10 +328,12 @@ def pack(
     stored = written(tokenised(docs, tokenizer, key, text, queue, end, wide))
     parts = stored.groupBy("_queue", "_part").agg(F.sum("_n").alias("_all"))
     before = Window.partitionBy("_queue").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(
-        "_queue", "_part", F.coalesce(F.sum("_all").over(before), F.lit(0).cast("bigint")).alias("_before")
+    parts = written(
+        parts.select(
+            "_queue", "_part", "_all", F.coalesce(F.sum("_all").over(before), F.lit(0).cast("bigint")).alias("_before")
+        )
     )
-    sums = {r["_queue"]: r["n"] for r in stored.groupBy("_queue").agg(F.sum("_n").alias("n")).collect()}
+    sums = {r["_queue"]: r["n"] for r in parts.groupBy("_queue").agg(F.sum("_all").alias("n")).collect()}
     queues = {name: i for i, name in enumerate(sorted(sums))}
     totals = np.array([sums[q] for q in queues], dtype=np.int64)
     if weights:
