@@ -46,6 +46,8 @@ END = 2
 REMEMBERED = 300_000
 #: Bytes of text that are tokenised at once.
 SLICE = 2_000_000
+#: A table of so many rows (tasks by queues) may be sent to all tasks; a larger one is shuffled.
+SENT_ROWS = 500_000
 
 
 #: What may end a word and always is a token of its own kind.
@@ -355,6 +357,7 @@ def pack(
             yield _fill(rows, window, windows, wanted, deficits, bounds, wide)
 
     kind = stored.schema["_key"].dataType.simpleString()
+    parts = F.broadcast(parts) if parts.count() <= SENT_ROWS else parts
     placed = stored.join(parts, ["_queue", "_part"]).select("_key", "_queue", "_place", "_before", "_n", "_ids")
     dealt = in_arrow(
         placed, cut, f"_partition int, _queue int, _at bigint, _key {kind}, start bigint, doc_tokens bigint, ids binary"
