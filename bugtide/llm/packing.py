@@ -43,7 +43,7 @@ MAX_PARTITIONS = 65_536
 MAX_QUEUES = 64
 END = 2
 #: Words whose ids a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Bytes of text that are tokenised at once.
 SLICE = 2_000_000
 #: A table of so many rows (tasks by queues) may be sent to all tasks; a larger one is shuffled.
@@ -83,48 +83,52 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.known: dict[bytes, list[int]] = {}
         self.ids = np.array([self.end], dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
         self.lengths = np.ones(1, dtype=np.int64)
 
-    def _run(self, word: bytes) -> list[int] | None:
-        """Ids of a run of lower-case Latin letters; nothing for another word."""
+    def _letters(self, word: bytes) -> str | None:
+        """A run of lower-case Latin letters as the byte-level rule writes it; nothing for another word."""
+        if word.isalpha() and word.islower():
+            return word.decode()
         text = word.decode()
-        if not text.isalpha() or max(text) >= LATIN or text != text.lower():
-            return None
-        return [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.letters))]
+        if text.isalpha() and text == text.lower() and max(text) < LATIN:
+            return word.decode("latin-1").translate(self.letters)
+        return None
 
-    def _whole(self, words: list[bytes]) -> list[list[int]]:
-        texts = [w.decode() for w in words]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
 
     def _learn(self, words: list[bytes]) -> None:
-        known, found, rest = self.known, [], []
-        for i, word in enumerate(words):
+        runs: dict[bytes, str] = {}
+        whole: dict[bytes, None] = {}
+        joined = []
+        for word in words:
             run = word.rstrip(MARKS)
-            ids = known.get(run)
-            if ids is None and run:
-                ids = self._run(run)
-                if ids is not None:
-                    known[run] = ids
-            tail = word[len(run) :]
-            if ids is not None and tail:
-                if tail not in known:
-                    known[tail] = self._whole([tail])[0]
-                ids = ids + known[tail]
-            if ids is None:
-                rest.append(i)
-            found.append(ids)
-        for i, ids in zip(rest, self._whole([words[i] for i in rest]), strict=True):
-            found[i] = ids
+            if run not in runs and not (run in self.index and run[-1:].isalpha()):
+                letters = self._letters(run)
+                if letters is None:
+                    whole[word] = None
+                    continue
+                runs[run] = letters
+            if len(run) < len(word):
+                joined.append((word, run, word[len(run) :]))
+        whole.update((tail, None) for _, _, tail in joined if tail not in self.index)
+        merge = self.tokenizer.model.tokenize
+        found = [[t.id for t in merge(letters)] for letters in runs.values()]
+        texts = [w.decode() for w in whole]
+        found += [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        starts = len(self.ids) + np.cumsum(lengths) - lengths
-        self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
         flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum()))
-        self.ids = np.concatenate([self.ids, flat])
-        self.starts = np.concatenate([self.starts, starts])
-        self.lengths = np.concatenate([self.lengths, lengths])
+        self._add([*runs, *whole], lengths, flat)
+        # A run and the marks behind it, put together from what is known of both.
+        parts = np.array([self.index[part] for _, *both in joined for part in both], dtype=np.int64)
+        lengths = self.lengths[parts]
+        flat = self.ids[ranges(self.starts[parts], lengths)]
+        self._add([word for word, _, _ in joined], lengths.reshape(-1, 2).sum(axis=1), flat)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, end ids included, and their number for each text."""
