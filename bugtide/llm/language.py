@@ -40,7 +40,7 @@ FAMILIES = {
 }
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 FEATURES = 4096
-PER_LANGUAGE = 500
+PER_LANGUAGE = 200
 MAX_LANGUAGES = 128
 ROUNDS = 150
 STEP = 64
@@ -75,14 +75,14 @@ def fit_machine(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> np.ndarr
 
     ``y`` is 1 or -1; both classes weigh the same.
     """
-    x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w = look = np.zeros(x.shape[1])
-    rate = 1 / (2 * 2 + penalty)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    y = y.astype(np.float32)
+    w = look = np.zeros(x.shape[1] + 1, dtype=np.float32)
+    rate = np.float32(1 / (2 * 2 + penalty))
     for i in range(ROUNDS):
-        slack = np.maximum(0, 1 - y * (x @ look))
-        new = look - rate * (penalty * look - 2 * x.T @ (weight * y * slack))
-        look = new + i / (i + 3) * (new - w)
+        pull = weight * y * np.maximum(0, 1 - y * (x @ look[:-1] + look[-1]))
+        new = look - rate * (np.float32(penalty) * look - 2 * np.append(pull @ x, pull.sum()))
+        look = new + np.float32(i / (i + 3)) * (new - w)
         w = new
     return w
 
@@ -157,7 +157,7 @@ def train(docs: DataFrame, held_out: Column, key: str, text: str, lang: str) ->
 
     sample = rows.where(F.col("_order") <= last[F.col("_lang")]).dropDuplicates(["_lang", "_order"])
     found = in_arrow(sample.select("_lang", "_text"), work, "_lang string, _x binary").orderBy("_lang", "_x").collect()
-    x = np.stack([np.frombuffer(r["_x"], dtype=np.float32) for r in found]).astype(float)
+    x = np.stack([np.frombuffer(r["_x"], dtype=np.float32) for r in found])
     return Model([r["_lang"] for r in found], x)
 
 
