@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bugtide.llm.fmindex import FMIndex
-from bugtide.llm.tools import Batches, in_arrow, pieces, ranges, utf8
+from bugtide.llm.tools import Batches, in_arrow, numbered, pieces, ranges, utf8
 
 NGRAM = 10
 SHARD_WORDS = 1_000_000
@@ -179,8 +179,8 @@ def remove_leaks(
 ) -> DataFrame:
     """The documents, all columns, with the spans found cut out of the text."""
     blocks = _send(benchmark, item, item_text, ngram, BLOCK_WORDS)
-    schema = docs.schema
-    place = docs.columns.index(text)
+    place, plain = docs.columns.index(text), numbered(docs)
+    names = plain.columns
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
@@ -194,8 +194,8 @@ def remove_leaks(
                 columns = [pa.array(new, pa.string()) if i == place else part.column(i) for i in range(len(names))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = docs.columns
-    return in_arrow(docs.withColumn("_text", utf8(text)), work, schema)
+    done = in_arrow(plain.withColumn("_text", utf8(names[place])), work, plain.schema)
+    return done.toDF(*docs.columns)
 
 
 def leak_digest(found: DataFrame, key: str = "doc_id") -> DataFrame:

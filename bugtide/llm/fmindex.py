@@ -101,7 +101,9 @@ class Wavelet:
 
 class FMIndex:
     def __init__(self, sequence: np.ndarray, symbols: int, sample: int = SAMPLE):
-        """``sequence`` holds 0 (a break) to ``symbols - 1``."""
+        """``sequence`` holds 0 (a break) to ``symbols - 1``; a break ends it."""
+        if not len(sequence) or sequence[-1]:
+            sequence = np.append(sequence, 0)
         n = len(sequence)
         rank = suffix_order(sequence)
         suffixes = np.empty(n, dtype=np.int64)

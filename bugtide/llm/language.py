@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bugtide.llm.tools import Batches, in_arrow, pieces, split_remainder, utf8
+from bugtide.llm.tools import Batches, in_arrow, numbered, pieces, split_remainder, utf8
 
 #: Families of languages, by ISO 639-1 code (fixed values).
 FAMILIES = {
@@ -200,7 +200,8 @@ def keep_identified(
 ) -> DataFrame:
     """The documents, all columns, without those whose language is `und`."""
     model = train(docs, split_remainder(key, folds) == fold, key, text, lang)
-    names = docs.columns
+    plain = numbered(docs)
+    names = plain.columns
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
@@ -208,4 +209,5 @@ def keep_identified(
                 found, _ = _predicted(model, texts, rows.column(len(names) + 1).to_pylist())
                 yield rows.select(names).filter(pa.array([f != "und" for f in found], pa.bool_()))
 
-    return in_arrow(docs.select("*", *_inputs(text)), work, docs.schema)
+    inputs = _inputs(names[docs.columns.index(text)])
+    return in_arrow(plain.select("*", *inputs), work, plain.schema).toDF(*docs.columns)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from bugtide.llm.tools import Batches, in_arrow, run_starts, utf8
+from bugtide.llm.tools import Batches, in_arrow, numbered, run_starts, utf8
 from bugtide.storage import written
 
 BITS = 64
@@ -312,7 +312,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component, the one with the smallest id; all columns."""
-    names = docs.columns
+    plain = numbered(docs)
+    names = plain.columns
+    own_key, own_text = (names[docs.columns.index(c)] for c in (key, text))
     kept = (
         _grouped(docs, key, text)
         .groupBy("_class")
@@ -320,6 +322,6 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         .select("_best._key", "_best._digest")
         .distinct()
     )
-    rows = docs.withColumn("_of", F.xxhash64(text))
-    same = rows[key].eqNullSafe(kept["_key"]) & (rows["_of"] == kept["_digest"])
-    return rows.join(kept, same).dropDuplicates(["_key", "_digest"]).select(*names)
+    rows = plain.withColumn("_of", F.xxhash64(own_text))
+    same = rows[own_key].eqNullSafe(kept["_key"]) & (rows["_of"] == kept["_digest"])
+    return rows.join(kept, same).dropDuplicates(["_key", "_digest"]).select(*names).toDF(*docs.columns)

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bugtide.llm.tools import Batches, grouped, in_arrow, pieces, ranges, utf8
+from bugtide.llm.tools import Batches, grouped, in_arrow, numbered, pieces, ranges, utf8
 from bugtide.storage import written
 
 LENGTH = 200
@@ -339,8 +339,9 @@ def whole_characters(text: bytes, marks: np.ndarray) -> np.ndarray:
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns, without the repeated parts of their texts."""
-    names = docs.columns
-    place = names.index(text)
+    plain = numbered(docs)
+    names = plain.columns
+    place = docs.columns.index(text)
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
@@ -350,5 +351,5 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             columns = [pa.array(new, pa.string()) if i == place else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    found = _with_spans(docs, key, text)
-    return in_arrow(found.select(*names, "_text", "_spans"), work, docs.schema)
+    found = _with_spans(plain, names[docs.columns.index(key)], names[place])
+    return in_arrow(found.select(*names, "_text", "_spans"), work, plain.schema).toDF(*docs.columns)

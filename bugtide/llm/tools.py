@@ -29,6 +29,11 @@ def split_remainder(doc_id: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % folds
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The same columns under names (c0, c1, ...) that no helper column has."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def in_arrow(df: DataFrame, work: Callable[[Batches], Batches], schema: str) -> DataFrame:
     """``mapInArrow`` with the package at hand in the tasks."""
     ship_package(df.sparkSession)
