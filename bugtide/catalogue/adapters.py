@@ -36,8 +36,6 @@ def tracker_raw(spark: SparkSession, sf_dir: str, text: bool = True, times: bool
     """
     k = F.col("o_orderkey")
     orders = table(spark, sf_dir, "orders")
-    if text:
-        orders = spread(orders, "o_orderkey")
     title = body = F.lit(None).cast("string")
     closed = F.lit(None).cast("timestamp_ntz")
     if times:

@@ -81,7 +81,7 @@ def team_of(text: str) -> str:
     outside = rf"[^{v.WORD_CLASS}]"
     rules = [
         f"WHEN regexp_matches({text}, "
-        + _text(rf"(?i)(^|{outside})({'|'.join(words.split())})({outside}|$)")
+        + _text(rf"(?i)(^|{outside})({'|'.join(words)})({outside}|$)")
         + f") THEN {_text(team)}"
         for team, words in v.TEAM_KEYWORDS
     ]
@@ -95,9 +95,13 @@ def whole_days(a: str, b: str) -> str:
     return f"floor((epoch_us({b}) - epoch_us({a})) / 86400000000.0)::DOUBLE"
 
 
+def measured(x: str) -> str:
+    return f"coalesce(length({x}) || ':' || {x}, '-')"
+
+
 def report_key(source, project, issue, title, body) -> str:
-    name = f"coalesce({issue}, 'text:' || md5(concat_ws({NL}, {title}, {body})))"
-    return f"sha256(concat_ws('|', {source}, {project}, {name}))"
+    name = f"coalesce({issue}, 'text:' || md5({measured(title)} || {measured(body)}))"
+    return f"sha256({measured(source)} || {measured(project)} || {measured(name)})"
 
 
 def prompt(title: str, body: str) -> str:
@@ -274,8 +278,7 @@ SELECT *, {whole_days("created_at", "closed_at")} AS resolution_time_days,
 
 ORACLE["rename_and_drop"] = with_(
     TRACKER_RAW,
-    """SELECT id, CAST(NULL AS VARCHAR) AS title, CAST(NULL AS VARCHAR) AS body, priority, resolution,
-    created_at, closed_at, project FROM tracker_raw""",
+    "SELECT id, title, body, priority, resolution, created_at, closed_at, project FROM tracker_raw",
 )
 ORACLE["missing_values"] = with_(
     TRACKER_RAW,
@@ -318,7 +321,8 @@ listed AS (
 )"""
 ORACLE["dedup_subtract"] = with_(
     f"{TRACKER_RAW}, {_LISTED}",
-    "SELECT id, priority, resolution, project FROM tracker_raw WHERE id NOT IN (SELECT id FROM listed)",
+    """SELECT id, title, body, priority, resolution, created_at, closed_at, project FROM tracker_raw
+  WHERE id NOT IN (SELECT id FROM listed)""",
 )
 ORACLE["dedup_stats"] = with_(
     f"{TRACKER_RAW}, {_LISTED}",
@@ -328,7 +332,7 @@ ORACLE["dedup_stats"] = with_(
 )
 ORACLE["priority_filter"] = with_(
     TRACKER_RAW,
-    """SELECT id, priority, resolution, project FROM tracker_raw
+    """SELECT id, title, body, priority, resolution, created_at, closed_at, project FROM tracker_raw
   WHERE priority IS NOT NULL AND priority <> '--' AND resolution IS NOT NULL""",
 )
 _CLOSED = "FROM tracker_raw WHERE resolution IS NULL AND closed_at IS NOT NULL"
@@ -635,16 +639,32 @@ ORACLE["critical_errors"] = with_(
     """SELECT *, CASE WHEN pred_severity IN ('P3', 'P4') THEN 'CRITICAL' ELSE 'notable' END AS kind FROM matrix
   WHERE true_severity IN ('P0', 'P1') AND true_severity <> pred_severity AND rows > 0""",
 )
-ORACLE["metrics_summary"] = with_(
-    f"""{JOINED}, {DOMAIN}, {F1},
+_SUMMARY = f"""{DOMAIN}, {F1},
 summary AS (
   SELECT round((SELECT avg(score) FROM f1), 4) AS severity_macro_f1,
     round(avg(coalesce(priority = pred_severity, false)::INTEGER), 4) AS severity_accuracy,
     round(avg(coalesce(team = pred_team, false)::INTEGER), 4) AS team_accuracy,
     round(avg((pred_severity IS NULL)::INTEGER), 4) AS parse_failure_rate, count(*) AS n_samples FROM joined
-)""",
-    """SELECT *, severity_macro_f1 > 0.72 AS macro_f1_on_target, team_accuracy > 0.78 AS team_accuracy_on_target
-  FROM summary""",
+)"""
+_ON_TARGET = """SELECT *, severity_macro_f1 > 0.72 AS macro_f1_on_target, team_accuracy > 0.78 AS team_accuracy_on_target
+  FROM summary"""
+ORACLE["metrics_summary"] = with_(f"{JOINED}, {_SUMMARY}", _ON_TARGET)
+_ANSWERED = f"{TRUTH_LABELS}, {OUTPUTS}, answered AS (SELECT * FROM {parsed('outputs')})"
+ORACLE["metrics_incomplete"] = with_(
+    f"""{_ANSWERED},
+joined AS (
+  SELECT priority, team, pred_severity, pred_team FROM truth
+  LEFT JOIN answered ON truth.report_key = answered.report_key AND CAST(id AS BIGINT) % 100 <> 0
+), {_SUMMARY}""",
+    _ON_TARGET,
+)
+ORACLE["metrics_repeated_keys"] = with_(
+    f"""{_ANSWERED},
+joined AS (
+  SELECT priority, team, pred_severity, pred_team
+  FROM (SELECT * FROM truth UNION ALL SELECT * FROM truth) JOIN answered USING (report_key)
+), {_SUMMARY}""",
+    _ON_TARGET,
 )
 ORACLE["prediction_report"] = with_(
     f"{WITH_TEAM}, {OUTPUTS}",
@@ -653,22 +673,21 @@ ORACLE["prediction_report"] = with_(
   coalesce(team = pred_team, false) AS team_correct FROM truth JOIN {parsed("outputs")} USING (report_key)""",
 )
 
-# The rule predictor, stated over the first 480 words of the prompt.
+# The rule, stated over the whole prompt.
 from bugtide.operators.scoring import SEVERITY_WORDS  # noqa: E402
 
-_SEEN = truncate("prompt", v.SCORING_TOKENS)
 _GUESS = (
     "CASE "
     + " ".join(
         "WHEN regexp_matches(seen, "
-        + _text(rf"(?i)(^|[^{v.WORD_CLASS}])({'|'.join(w.split())})([^{v.WORD_CLASS}]|$)")
+        + _text(rf"(?i)(^|[^{v.WORD_CLASS}])({'|'.join(w)})([^{v.WORD_CLASS}]|$)")
         + f") THEN {_text(level)}"
         for level, w in SEVERITY_WORDS
     )
     + " ELSE 'P3' END"
 )
 SCORED = f"""{PROMPTED},
-seen AS (SELECT *, {_SEEN} AS seen FROM prompted),
+seen AS (SELECT *, prompt AS seen FROM prompted),
 scored AS (SELECT report_key, priority, team, {completion(_GUESS, team_of("seen"))} AS raw_output FROM seen)"""
 ORACLE["score_reports"] = with_(SCORED, "SELECT * FROM scored")
 ORACLE["scored_metrics"] = with_(

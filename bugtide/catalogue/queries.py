@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +40,7 @@ def unify_timestamped(spark, sf_dir):
 
 @query
 def rename_and_drop(spark, sf_dir):
-    raw = adapters.tracker_raw(spark, sf_dir, text=False).withColumns(
+    raw = adapters.tracker_raw(spark, sf_dir).withColumns(
         {"Status": F.lit("Closed"), "Affects Version/s": F.lit("1.0")}
     )
     exported = unify.to_export_names(raw)
@@ -126,8 +125,7 @@ def word_truncate(spark, sf_dir):
 @query
 def dedup_subtract(spark, sf_dir):
     ids = dedup.listed_ids(adapters.duplicate_lists(spark, sf_dir))
-    bugs = adapters.tracker_raw(spark, sf_dir, text=False, times=False)
-    return dedup.subtract_listed(bugs, ids).select("id", "priority", "resolution", "project")
+    return dedup.subtract_listed(adapters.tracker_raw(spark, sf_dir), ids)
 
 
 @query
@@ -139,9 +137,8 @@ def dedup_stats(spark, sf_dir):
 
 @query
 def priority_filter(spark, sf_dir):
-    raw = adapters.tracker_raw(spark, sf_dir, text=False, times=False)
-    kept = raw.transform(unify.with_real_priority).transform(unify.resolved_only)
-    return kept.select("id", "priority", "resolution", "project")
+    raw = adapters.tracker_raw(spark, sf_dir)
+    return raw.transform(unify.with_real_priority).transform(unify.resolved_only)
 
 
 @query
@@ -205,7 +202,9 @@ def over_escalation_rates(spark, sf_dir):
         "priority", labels.tracker_priority(F.col("priority"))
     )
     rows = flagged.withColumn("project", F.coalesce("project", F.lit("")))
-    return profile.rates_by_dimension(rows, "is_over_escalated", ["project", "priority"])
+    return profile.rates_by_dimension(
+        rows, "is_over_escalated", ["project", "priority"], {"priority": v.PRIORITIES}
+    )
 
 
 @query
@@ -285,23 +284,6 @@ def tokenise_mask(spark, sf_dir):
     )
 
 
-def tokenise_bpe(spark, sf_dir):
-    import public_tokenizers
-
-    make = tokens.file_encoder(public_tokenizers.path("byte_bpe_50k.json"))
-    rows = tokens.tokenise(adapters.with_team(spark, sf_dir), make_encoder=make, pad=50256)
-    return rows.select(
-        "report_key", F.array_join("input_ids", " ").alias("input_ids"),
-        F.array_join("labels", " ").alias("labels"), "prompt_length",
-    )
-
-
-# Needs the installed vocabulary files; SQL cannot say what it does, so a test
-# compares it with the tokenizer itself.
-if importlib.util.find_spec("public_tokenizers"):
-    query(tokenise_bpe)
-
-
 @query
 def masked_rows_audit(spark, sf_dir):
     rows = tokens.tokenise(adapters.with_team(spark, sf_dir))
@@ -491,6 +473,20 @@ def metrics_summary(spark, sf_dir):
     return evaluate.evaluate(truth, adapters.model_outputs(truth)).drop("per_class_f1", "confusion_matrix")
 
 
+@query
+def metrics_incomplete(spark, sf_dir):
+    truth = _labels(spark, sf_dir)
+    outputs = adapters.model_outputs(truth.where(F.col("id").cast("bigint") % 100 != 0))
+    return evaluate.evaluate(truth, outputs, gaps="failure").drop("per_class_f1", "confusion_matrix")
+
+
+@query
+def metrics_repeated_keys(spark, sf_dir):
+    truth = _labels(spark, sf_dir)
+    found = evaluate.evaluate(truth.unionByName(truth), adapters.model_outputs(truth))
+    return found.drop("per_class_f1", "confusion_matrix")
+
+
 @query
 def prediction_report(spark, sf_dir):
     truth = written(_truth(spark, sf_dir))

@@ -24,18 +24,20 @@ def report_key(source: Column, project: Column, issue: Column, title: Column, bo
     A report without an id is keyed by its text, so that such reports do not all
     fall on one key.
     """
-    name = F.coalesce(
-        issue, F.concat(F.lit("text:"), F.md5(F.concat_ws("\n", title, body)))
-    )
-    return F.sha2(F.concat_ws("|", source, project, name), 256)
+    text = F.concat(F.lit("text:"), F.md5(F.concat(_measured(title), _measured(body))))
+    return F.sha2(F.concat(*map(_measured, (source, project, F.coalesce(issue, text)))), 256)
+
+
+def _measured(part: Column) -> Column:
+    """A part after its length, so that parts put together never read like others."""
+    return F.coalesce(F.concat(F.length(part), F.lit(":"), part), F.lit("-"))
 
 
 def row_digest(columns: list[str], salt: str = "") -> Column:
     """MD5 over all the columns, each preceded by its length and null marked, so
     that different rows never read the same."""
     cells = [F.col(f"`{name}`").cast("string") for name in columns]
-    marked = [F.coalesce(F.concat(F.length(c), F.lit(":"), c), F.lit("-")) for c in cells]
-    return F.md5(F.concat(F.lit(f"{salt}|"), *marked))
+    return F.md5(F.concat(F.lit(f"{salt}|"), *map(_measured, cells)))
 
 
 def seeded_order(key: Column, seed: int = v.SEED) -> Column:

@@ -48,14 +48,14 @@ def strict_priority(raw: Column) -> Column:
     return lookup(v.TRACKER_TO_PRIORITY, tx.strip(raw))
 
 
-def whole_word_pattern(keywords: str) -> str:
-    """Pattern matching any of the space-separated keywords as a whole word.
+def whole_word_pattern(keywords: list[str]) -> str:
+    """Pattern matching any of the keywords as a whole word.
 
     The explicit look-arounds mean the same in every Java release, where the
     alphabet behind a plain word boundary does not.
     """
     return (
-        rf"(?iu)(?<![{v.WORD_CLASS}])(?:{'|'.join(keywords.split())})(?![{v.WORD_CLASS}])"
+        rf"(?iu)(?<![{v.WORD_CLASS}])(?:{'|'.join(keywords)})(?![{v.WORD_CLASS}])"
     )
 
 
@@ -65,10 +65,15 @@ def team(project: Column, title: Column, body: Column) -> Column:
     Looks at the project, the title and the start of the *uncleaned* body.
     """
     haystack = F.concat_ws(" ", project, title, F.left(body, F.lit(v.TEAM_BODY_CHARS)))
-    rules = [(F.lit(name), haystack.rlike(whole_word_pattern(words))) for name, words in v.TEAM_KEYWORDS]
-    first, *rest = rules
-    chain = reduce(lambda case, rule: case.when(rule[1], rule[0]), rest, F.when(first[1], first[0]))
-    return chain.otherwise(F.lit(v.UNKNOWN_TEAM))
+    return first_rule(haystack, v.TEAM_KEYWORDS, v.UNKNOWN_TEAM)
+
+
+def first_rule(haystack: Column, rules: list[tuple[str, list[str]]], default: str) -> Column:
+    """Name of the first rule one of whose keywords occurs as a whole word."""
+    tests = [(F.lit(name), haystack.rlike(whole_word_pattern(words))) for name, words in rules]
+    first, *rest = tests
+    chain = reduce(lambda case, test: case.when(test[1], test[0]), rest, F.when(first[1], first[0]))
+    return chain.otherwise(F.lit(default))
 
 
 def clean_resolution(resolution: Column) -> Column:

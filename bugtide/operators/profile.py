@@ -216,13 +216,19 @@ def duplicate_summary(df: DataFrame) -> DataFrame:
 
 
 def duplicate_groups(df: DataFrame) -> DataFrame:
-    """Every row content that occurs more than once, with its number of copies."""
-    return count_copies(df).where("copies > 1")
+    """Every row content that occurs more than once, with its number of copies.
+
+    Digests are counted first; only rows whose digest repeats are grouped whole.
+    """
+    digest = keys.row_digest(df.columns).alias("_digest")
+    repeated = df.select(digest).groupBy("_digest").agg(_rows().alias("_n")).where("_n > 1").select("_digest")
+    return count_copies(df.select("*", digest).join(repeated, "_digest", "left_semi").drop("_digest")).where("copies > 1")
 
 
 def duplicate_members(df: DataFrame) -> DataFrame:
-    """All rows that have an identical copy, each as often as it occurs."""
-    return repeat_rows(duplicate_groups(df), F.col("copies")).drop("copies")
+    """All rows that have an identical copy, each as often as it occurs, in order of all columns."""
+    members = repeat_rows(duplicate_groups(df), F.col("copies")).drop("copies")
+    return members.orderBy(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def split_report(df: DataFrame) -> DataFrame:
@@ -235,11 +241,14 @@ def split_report(df: DataFrame) -> DataFrame:
     return counts.withColumn("share_pct", share)
 
 
-def rates_by_dimension(df: DataFrame, flag: str, dimensions: list[str]) -> DataFrame:
+def rates_by_dimension(
+    df: DataFrame, flag: str, dimensions: list[str], domains: dict[str, list[str]] | None = None
+) -> DataFrame:
     """Positives, total and rate of a flag overall and per value of each dimension.
 
     Rows are counted once per combination; the groupings are then formed from
-    that small table.
+    that small table. Values of a fixed domain that do not occur count 0, their
+    rate is null.
     """
     small = df.groupBy(*dimensions).agg(F.count_if(F.col(flag)).alias("_positives"), _rows().alias("_total"))
     sets = [[]] + [[d] for d in dimensions]
@@ -247,7 +256,7 @@ def rates_by_dimension(df: DataFrame, flag: str, dimensions: list[str]) -> DataF
     for d in dimensions:
         name = F.when(F.grouping(d) == 0, F.lit(d)).otherwise(name)
         value = F.when(F.grouping(d) == 0, F.col(d).cast("string")).otherwise(value)
-    return (
+    rates = (
         small.groupingSets([[F.col(d) for d in s] for s in sets], *dimensions)
         .agg(
             name.alias("dimension"),
@@ -256,8 +265,12 @@ def rates_by_dimension(df: DataFrame, flag: str, dimensions: list[str]) -> DataF
             F.sum("_total").alias("total"),
         )
         .drop(*dimensions)
-        .withColumn("rate_pct", F.round(100 * F.col("positives") / F.col("total"), 1))
     )
+    if domains:
+        fixed = [(d, x) for d, values in domains.items() for x in values]
+        absent = df.sparkSession.createDataFrame(fixed, "dimension string, value string")
+        rates = rates.join(absent, ["dimension", "value"], "full").na.fill(0, ["positives", "total"])
+    return rates.withColumn("rate_pct", F.round(F.try_divide(100 * F.col("positives"), F.col("total")), 1))
 
 
 def quality_checks(df: DataFrame) -> DataFrame:

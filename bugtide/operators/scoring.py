@@ -1,4 +1,4 @@
-"""Batch scoring of reports with a pluggable predictor."""
+"""Batch scoring of reports with a rule or a pluggable predictor."""
 
 from __future__ import annotations
 
@@ -6,30 +6,35 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
-from bugtide.functions import prompts
-from bugtide.functions import text as tx
+from bugtide.functions import labels, prompts
 from bugtide.shipping import ship_package
 
 # Takes a batch of prompts, gives one answer each.
 Predict = Callable[[list[str]], list[str]]
 
-# Words by which the rule predictor guesses a severity, most severe first.
+# Words by which the rule guesses a severity, most severe first.
 SEVERITY_WORDS = [
-    ("P0", "blocker critical crash down outage"),
-    ("P1", "failing fails failure error errors severe"),
-    ("P2", "degraded slow timeout regression"),
-    ("P4", "cosmetic typo minor trivial wrong"),
+    ("P0", ["blocker", "critical", "crash", "down", "outage"]),
+    ("P1", ["failing", "fails", "failure", "error", "errors", "severe"]),
+    ("P2", ["degraded", "slow", "timeout", "regression"]),
+    ("P4", ["cosmetic", "typo", "minor", "trivial", "wrong"]),
 ]
 
 
-def rule_predictor() -> Predict:
+def rule_answer(prompt: Column) -> Column:
     """A deterministic stand-in for a model: keywords decide both answers."""
-    severities = [(level, set(words.split())) for level, words in SEVERITY_WORDS]
-    teams = [(team, set(words.split())) for team, words in v.TEAM_KEYWORDS]
+    level = labels.first_rule(prompt, SEVERITY_WORDS, v.DEFAULT_PRIORITY)
+    team = labels.first_rule(prompt, v.TEAM_KEYWORDS, v.UNKNOWN_TEAM)
+    return prompts.completion(level, team)
+
+
+def rule_predictor() -> Predict:
+    """The same rule as a predictor of batches."""
+    severities, teams = ([(a, set(words)) for a, words in rules] for rules in (SEVERITY_WORDS, v.TEAM_KEYWORDS))
     word = re.compile(r"\w+")
 
     def predict(batch: list[str]) -> list[str]:
@@ -46,18 +51,16 @@ def rule_predictor() -> Predict:
     return predict
 
 
-def score_reports(
-    df: DataFrame,
-    make_predictor: Callable[[], Predict] = rule_predictor,
-    prompt_words: int = v.SCORING_TOKENS,
-    answer_words: int = v.GENERATED_TOKENS,
-) -> DataFrame:
+def score_reports(df: DataFrame, make_predictor: Callable[[], Predict] | None = None) -> DataFrame:
     """Add ``input_prompt`` and ``raw_output``.
 
-    The predictor is made once per task and sees only the prompt column, in Arrow
-    batches; the other columns never leave the JVM.
+    Without a predictor the rule answers, in column expressions. A predictor is made
+    once per task and sees only the whole prompts, in Arrow batches; cutting them is
+    its tokenizer's business, and so is the length of the answers.
     """
-
+    prompted = df.withColumn("input_prompt", prompts.prompt(F.col("title"), F.col("body")))
+    if make_predictor is None:
+        return prompted.withColumn("raw_output", rule_answer(F.col("input_prompt")))
     ship_package(df.sparkSession)
 
     @F.pandas_udf("string")
@@ -66,8 +69,4 @@ def score_reports(
         for batch in batches:
             yield pd.Series(predict(batch.tolist()))
 
-    whole = prompts.prompt(F.col("title"), F.col("body"))
-    raw = answer(tx.truncate_words(F.col("input_prompt"), prompt_words))
-    return df.withColumn("input_prompt", whole).withColumn(
-        "raw_output", tx.truncate_words(raw, answer_words)
-    )
+    return prompted.withColumn("raw_output", answer("input_prompt"))

@@ -15,7 +15,7 @@ def evaluate_split(
     spark: SparkSession,
     splits_path: str,
     split: str = "val",
-    make_predictor: Callable[[], scoring.Predict] = scoring.rule_predictor,
+    make_predictor: Callable[[], scoring.Predict] | None = None,
     report_path: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Prediction report and metric record of one split.

@@ -35,7 +35,10 @@ def profile_dataset(splits: DataFrame) -> dict[str, DataFrame]:
         tables[f"histogram_{column}"] = profile.histogram(rows, column, cap, bins)
     if "is_over_escalated" in splits.columns:
         tables["over_escalation"] = profile.rates_by_dimension(
-            splits, "is_over_escalated", ["source", "priority", "split"]
+            splits,
+            "is_over_escalated",
+            ["source", "priority", "split"],
+            {"priority": v.PRIORITIES, "split": v.SPLITS},
         )
     return tables
 

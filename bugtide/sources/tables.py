@@ -21,7 +21,7 @@ def read_table(
     """
     reader = spark.read
     if layout == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = reader.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "FAILFAST")
     try:
         df = reader.format(layout).load(path)
     except AnalysisException as error:

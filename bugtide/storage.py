@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, the cluster's shared folder.
+_folders: list[str] = []
 
-    Only a local session may go without the setting: its one machine is then the
-    place every task can read.
-    """
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``, the cluster's shared folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="bugtide-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/bugtide-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    _folders.append(f"{root.rstrip('/')}/bugtide-{uuid.uuid4().hex}")
+    return _folders[-1]
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables stored so far; results that still read them must be done."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _folders:
+        path = jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame) -> DataFrame:

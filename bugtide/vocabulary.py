@@ -59,21 +59,54 @@ PLACEHOLDER_PRIORITY = "--"
 # Whole words. "eclipse platform" needs no entry: its second word has one.
 
 TEAM_KEYWORDS = [
-    ("security", "security auth ssl tls crypto certificate permission oauth saml jwt encryption"),
-    ("database", "database db sql mysql postgres sqlite oracle mongo jdbc orm hibernate derby h2"),
-    ("mobile", "android ios iphone ipad mobile tablet swift kotlin"),
+    (
+        "security",
+        [
+            "security", "auth", "ssl", "tls", "crypto", "certificate", "permission", "oauth", "saml", "jwt",
+            "encryption",
+        ],
+    ),
+    (
+        "database",
+        [
+            "database", "db", "sql", "mysql", "postgres", "sqlite", "oracle", "mongo", "jdbc", "orm",
+            "hibernate", "derby", "h2",
+        ],
+    ),
+    (
+        "mobile",
+        [
+            "android", "ios", "iphone", "ipad", "mobile", "tablet", "swift", "kotlin",
+        ],
+    ),
     (
         "frontend",
-        "ui gui frontend interface widget dialog window css html browser editor view swt birt "
-        "rendering firefox thunderbird display layout",
+        [
+            "ui", "gui", "frontend", "interface", "widget", "dialog", "window", "css", "html", "browser",
+            "editor", "view", "swt", "birt", "rendering", "firefox", "thunderbird", "display", "layout",
+        ],
     ),
     (
         "infra",
-        "infra infrastructure deploy docker kubernetes k8s ci cd pipeline devops monitoring "
-        "logging tomcat server maven gradle ant build jenkins slurm",
+        [
+            "infra", "infrastructure", "deploy", "docker", "kubernetes", "k8s", "ci", "cd", "pipeline",
+            "devops", "monitoring", "logging", "tomcat", "server", "maven", "gradle", "ant", "build", "jenkins",
+            "slurm",
+        ],
+    ),
+    (
+        "platform",
+        [
+            "platform", "core", "runtime", "jvm", "jdk", "classpath", "aspectj", "eclipse_platform", "equinox",
+        ],
+    ),
+    (
+        "backend",
+        [
+            "api", "backend", "service", "rest", "endpoint", "handler", "controller", "jdt", "cdt", "compiler",
+            "parser", "refactor",
+        ],
     ),
-    ("platform", "platform core runtime jvm jdk classpath aspectj eclipse_platform equinox"),
-    ("backend", "api backend service rest endpoint handler controller jdt cdt compiler parser refactor"),
 ]
 
 # --- resolutions and phrases -------------------------------------------------
@@ -150,8 +183,6 @@ COMPLETION_SEVERITY = "severity:"
 COMPLETION_TEAM = " | team:"
 
 TOKEN_LENGTH = 512
-SCORING_TOKENS = 480
-GENERATED_TOKENS = 20
 MASKED_LABEL = -100
 
 TARGET_MACRO_F1 = 0.72

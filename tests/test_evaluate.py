@@ -158,19 +158,46 @@ def test_score_reports(spark):
     assert found == dict(REPORTS)
 
 
-def test_prompts_and_answers_are_cut(spark):
+def test_the_predictor_gets_whole_prompts_with_their_line_breaks(spark):
     def make():
-        return lambda batch: [f"{len(p.split())} " * 30 for p in batch]
+        return lambda batch: [p + "!" for p in batch]
 
-    df = spark.createDataFrame([("t", "w " * 900)], "title string, body string")
+    body = "\n".join(f"line {i}" for i in range(400))
+    df = spark.createDataFrame([("long title " * 50, body)], "title string, body string")
     row = scoring.score_reports(df, make).first()
-    assert row.raw_output.split() == ["480"] * 20
-    assert len(row.input_prompt.split()) > 900
+    assert row.raw_output == row.input_prompt + "!" and body in row.raw_output
+    assert row.raw_output.endswith("\n### Triage:\n!")
+
+
+def test_the_rule_is_the_same_in_columns_and_in_batches(spark):
+    df = spark.createDataFrame([(t, "") for t, _ in REPORTS], "title string, body string")
+    batches = scoring.score_reports(df, scoring.rule_predictor).collect()
+    assert batches == scoring.score_reports(df).collect()
+    assert "Python" not in plan_of(scoring.score_reports(df))
+
+
+TRUTH = [("a", "P1", "infra"), ("b", "P1", "infra"), ("c", "P1", "infra"), ("d", "P1", "infra")]
+
+
+def test_incomplete_or_repeated_answers_raise_or_count_as_failures(spark):
+    truth = spark.createDataFrame(TRUTH, "report_key string, priority string, team string")
+    right = "severity:P1|team:infra"
+
+    def answers(*names):
+        return spark.createDataFrame([(n, right) for n in names], "report_key string, raw_output string")
+
+    for odd in (answers("a", "b"), answers("a", "b", "b", "c", "d"), answers("a", "b", "c", "d", "stray")):
+        with pytest.raises(ValueError, match="one to one"):
+            evaluate.evaluate(truth, odd)
+    record = evaluate.evaluate(truth, answers("a", "b", "stray"), gaps="failure").first()
+    assert (record.n_samples, record.severity_accuracy, record.parse_failure_rate) == (4, 0.5, 0.5)
+    record = evaluate.evaluate(truth, answers("a", "b", "b", "c", "d"), gaps="failure").first()
+    assert (record.n_samples, record.severity_accuracy) == (4, 0.75)
 
 
 def test_predictor_sees_the_prompt_only(spark):
     df = spark.createDataFrame([("t", "b", "x" * 10)], "title string, body string, wide string")
-    plan = plan_of(scoring.score_reports(df))
+    plan = plan_of(scoring.score_reports(df, scoring.rule_predictor))
     assert "ArrowEvalPython" in plan and "MapInPandas" not in plan and "BatchEvalPython" not in plan
 
 
@@ -182,7 +209,7 @@ from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
 from bugtide.operators import scoring
 df = spark.createDataFrame([("iOS app shows wrong font", "")], "title string, body string")
-print("ANSWER", scoring.score_reports(df).first().raw_output)
+print("ANSWER", scoring.score_reports(df, scoring.rule_predictor).first().raw_output)
 """
     clean = {k: x for k, x in os.environ.items() if not k.startswith(("PYTHONPATH", "PYSPARK", "SPARK"))}
     done = subprocess.run(

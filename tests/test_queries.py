@@ -5,6 +5,8 @@ import pytest
 from helpers import plan_of
 
 import __spark_entry__ as entry
+from bugtide.catalogue.oracle import ORACLE
+from bugtide.catalogue.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -14,28 +16,24 @@ def database():
     return compare.connect(SMALL)
 
 
-# Checked against the tokenizer itself in test_dataset.py.
-NO_SQL = {"tokenise_bpe"}
+OWN = list(QUERIES)
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in NO_SQL])
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_its_sql(spark, database, name):
     found = entry.queries()[name](spark, SMALL)
     assert compare.difference(found, database, entry.oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) - NO_SQL == set(entry.oracle_sql())
+    assert set(OWN) == set(ORACLE) and set(OWN) <= set(entry.queries())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 2
 
 
-NO_PYTHON = [n for n in entry.queries() if n not in ("score_reports", "scored_metrics", "tokenise_bpe")]
-
-
-@pytest.mark.parametrize("name", NO_PYTHON)
+@pytest.mark.parametrize("name", OWN)
 def test_plans_stay_in_the_jvm_and_cross_nothing(spark, name):
     plan = plan_of(entry.queries()[name](spark, SMALL))
     for bad in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):

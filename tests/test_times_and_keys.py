@@ -86,3 +86,9 @@ def test_reports_without_an_id_get_different_keys(spark):
     df = spark.createDataFrame(rows, "s string, p string, i string, t string, b string")
     found = [r[0] for r in df.select(keys.report_key(*map(F.col, "spitb"))).collect()]
     assert len(set(found)) == 4
+
+
+def test_parts_of_a_key_do_not_run_together(spark):
+    rows = [("t", "x|1", "2", "", ""), ("t", "x", "1|2", "", ""), ("t", None, "1", "", ""), ("t", "", "1", "", "")]
+    df = spark.createDataFrame(rows, "s string, p string, i string, t string, b string")
+    assert df.select(keys.report_key(*map(F.col, "spitb")).alias("k")).distinct().count() == 4
