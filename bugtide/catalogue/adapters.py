@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
 from bugtide.operators import labelling, unify
-from bugtide.storage import spread
+from bugtide.plans import dataset
+from bugtide.sources import tables
+from bugtide.storage import scratch_folder, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,9 +71,7 @@ def tracker_raw(spark: SparkSession, sf_dir: str, text: bool = True, times: bool
         ).alias("resolution"),
         F.timestamp_add("SECOND", (k % 86400).cast("int"), F.col("o_orderdate")).alias("created_at"),
         closed.alias("closed_at"),
-        by_remainder(
-            k, ["Security", "Derby", "iOS", "Thunderbird", "Tomcat", "Equinox", "jdt", "Misc", None]
-        ).alias("project"),
+        by_remainder(k, PROJECTS).alias("project"),
     )
 
 
@@ -90,19 +90,63 @@ def bugzilla_raw(spark: SparkSession, sf_dir: str, endings: list[str] | None = N
     )
 
 
-def duplicate_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth order names itself, in quotes, and its two successors."""
+PROJECTS = ["Security", "Derby", "iOS", "Thunderbird", "Tomcat", "Equinox", "jdt", "Misc", None]
+
+
+def duplicate_lists(spark: SparkSession, sf_dir: str, first: int = 1, second: int = 2) -> DataFrame:
+    """Every tenth order names itself, in quotes, and two later ones."""
     k = F.col("o_orderkey")
     return (
         table(spark, sf_dir, "orders")
         .where(k % 10 == 0)
         .select(
             F.concat(F.lit('"'), k.cast("string"), F.lit('"')).alias("issue_id"),
-            F.concat((k + 1).cast("string"), F.lit("; "), (k + 2).cast("string"), F.lit("|")).alias("duplicate_ids"),
+            F.concat((k + first).cast("string"), F.lit("; "), (k + second).cast("string"), F.lit("|")).alias(
+                "duplicate_ids"
+            ),
+            F.coalesce(by_remainder(k, PROJECTS), F.lit("Misc")).alias("source_project"),
         )
     )
 
 
+def tracker_folders(spark: SparkSession, sf_dir: str) -> str:
+    """The reports as CSV files in a folder for each project, with its duplicate list.
+
+    Half the projects spell and order their header in another way. A list names
+    reports of its own project and, to no effect, of the next one.
+    """
+    raw = tracker_raw(spark, sf_dir)
+    seconds = {c: F.col(c).cast("timestamp_ntz").cast("string") for c in ("created_at", "closed_at")}
+    exported = (
+        raw.withColumns({**seconds, "project": F.coalesce("project", F.lit("Misc"))})
+        .transform(unify.to_export_names)
+        .withColumns({"Status": F.lit("Closed"), "Affects Version/s": F.lit("1.0")})
+    )
+    root = scratch_folder(spark)
+    plain = F.col("source_project").isin(PROJECTS[:4])
+    other = exported.select(*reversed(exported.columns)).withColumnRenamed("Issue id", "ISSUE ID")
+    lists = duplicate_lists(spark, sf_dir, 1, 9).repartition("source_project")
+    tables.write_csv_by_project(exported.where(plain), f"{root}/written/plain")
+    tables.write_csv_by_project(other.where(~plain), f"{root}/written/other")
+    tables.write_csv_by_project(lists, f"{root}/written/lists")
+
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    files = path_of(root).getFileSystem(conf)
+    for kind, ending in (("plain", "_bugs_{}"), ("other", "_BUGS_{}"), ("lists", "_bugs-combined")):
+        for i, found in enumerate(files.globStatus(path_of(f"{root}/written/{kind}/*/*.csv"))):
+            project = found.getPath().getParent().getName().partition("=")[2]
+            files.mkdirs(path_of(f"{root}/trackers/{project}"))
+            files.rename(found.getPath(), path_of(f"{root}/trackers/{project}/{project}{ending.format(i)}.csv"))
+    return f"{root}/trackers"
+
+
+def stored_splits(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the labelled reports, stored by split."""
+    folder = scratch_folder(spark)
+    dataset.prepare_dataset(unified(spark, sf_dir), folder)
+    return folder
+
+
 def timestamped_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One report per event; some times are not times."""
     k = F.col("event_id")

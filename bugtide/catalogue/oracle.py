@@ -300,6 +300,39 @@ ORACLE["team_of_documents"] = (
 )
 ORACLE["label_engineering"] = with_(LABELLED, "SELECT * FROM labelled")
 
+# --- tracker folders ---------------------------------------------------------
+
+
+def _present(x: str) -> str:
+    return f"CASE WHEN {x} NOT IN {_in(v.NA_TOKENS)} THEN {x} END"
+
+
+# A list names its report, the next one (of another project) and the ninth (of its own).
+FOLDERS = f"""{TRACKER_RAW},
+exported AS (
+  SELECT id, {_present("title")} AS title, {_present("body")} AS body, {_present("priority")} AS priority,
+    {_present("resolution")} AS resolution, CAST(created_at AS VARCHAR) AS created_at,
+    CAST(closed_at AS VARCHAR) AS closed_at, coalesce(project, 'Misc') AS project FROM tracker_raw
+),
+listed AS (
+  SELECT DISTINCT coalesce(project, 'Misc') AS project, CAST(k + d AS VARCHAR) AS id
+  FROM tracker_raw, (VALUES (0), (1), (9)) AS step(d) WHERE k % 10 = 0
+),
+cleaned AS (SELECT * FROM exported WHERE (project, id) NOT IN (SELECT (project, id) FROM listed))"""
+ORACLE["ingest_cleaned"] = with_(FOLDERS, "SELECT *, 'Closed' AS \"Status\", '1.0' AS versions FROM cleaned")
+ORACLE["ingest_reports"] = with_(
+    FOLDERS, "SELECT * FROM cleaned WHERE priority <> '--' AND resolution IS NOT NULL"
+)
+ORACLE["ingest_statistics"] = with_(
+    FOLDERS,
+    """SELECT project, before_rows, after_rows, before_rows - after_rows AS removed_rows, listed_ids,
+  CASE WHEN project IN ('Security', 'Derby', 'iOS', 'Thunderbird') THEN 'Issue id' ELSE 'ISSUE ID' END AS bug_id_column,
+  'issue_id' AS issue_column, 'duplicate_ids' AS duplicate_column
+  FROM (SELECT project, count(*) AS before_rows FROM exported GROUP BY project)
+  JOIN (SELECT project, count(*) AS after_rows FROM cleaned GROUP BY project) USING (project)
+  JOIN (SELECT project, count(*) AS listed_ids FROM listed GROUP BY project) USING (project)""",
+)
+
 # --- text --------------------------------------------------------------------
 
 ORACLE["clean_html"] = f"""
@@ -406,10 +439,6 @@ ORACLE["escalation_pairs"] = with_(
 
 # --- split and samples -------------------------------------------------------
 
-_CELLS = " || ".join(
-    f"coalesce(length({c}) || ':' || {c}, '-')" for c in
-    [*(f"CAST({c} AS VARCHAR)" for c in [*v.PROCESSED_COLUMNS, "report_key"])]
-)
 # Sizes as the rule states them: the test side of each cut is rounded up; shares
 # by largest remainder, equal remainders by label.
 SPLIT = f"""{WITH_TEAM},
@@ -434,7 +463,7 @@ quota AS (
     <= wanted - (SELECT sum(base) FROM val_share) THEN 1 ELSE 0 END AS q_val FROM val_share
 ),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY priority ORDER BY md5('42|' || {_CELLS})) AS place FROM truth
+  SELECT *, row_number() OVER (PARTITION BY priority ORDER BY md5('42|' || {measured("priority")} || {measured("report_key")})) AS place FROM truth
 ),
 splits AS (
   SELECT ranked.*, CASE WHEN place <= q_train THEN 'train' WHEN place <= q_train + q_val THEN 'val'
@@ -448,6 +477,31 @@ ORACLE["split_report"] = with_(
     + ", round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM splits), 1) AS share_pct"
     + " FROM splits GROUP BY split",
 )
+ORACLE["stored_splits"] = with_(SPLIT, f"SELECT {', '.join([*v.PROCESSED_COLUMNS, 'report_key', 'split'])} FROM splits")
+_OF_SPLIT = f"""{SPLIT},
+domain AS (
+  SELECT 'priority' AS dimension, unnest({_list(v.PRIORITIES)}) AS value
+  UNION ALL SELECT 'split', unnest({_list(v.SPLITS)})
+  UNION ALL SELECT DISTINCT 'source', source FROM splits
+  UNION ALL SELECT 'all', 'all'
+),
+flagged AS (
+  SELECT source, priority, split, coalesce(priority IN {_in(v.TOP_PRIORITIES)}
+    AND upper(trim(resolution)) IN {_in(v.NON_FIX_RESOLUTIONS)} AND resolution_time_days > 7, false) AS hit FROM splits
+),
+told AS (
+  SELECT 'all' AS dimension, 'all' AS value, hit FROM flagged
+  UNION ALL SELECT 'source', source, hit FROM flagged
+  UNION ALL SELECT 'priority', priority, hit FROM flagged
+  UNION ALL SELECT 'split', split, hit FROM flagged
+)"""
+ORACLE["over_escalation_by_split"] = with_(
+    _OF_SPLIT,
+    """SELECT domain.dimension, domain.value, count(*) FILTER (hit) AS positives, count(hit) AS total,
+  CASE WHEN count(hit) > 0 THEN round(100.0::DOUBLE * count(*) FILTER (hit) / count(hit), 1) END AS rate_pct
+  FROM domain LEFT JOIN told ON told.dimension = domain.dimension AND told.value = domain.value
+  GROUP BY domain.dimension, domain.value""",
+)
 _SEEDED = "md5('42:' || report_key)"
 ORACLE["seeded_sample"] = with_(
     LABELLED,
@@ -485,6 +539,24 @@ ORACLE["tokenise_mask"] = with_(
   CASE WHEN n < 512 THEN n + 1 ELSE 0 END AS first_pad_label,
   CAST(length(prompt || completion) AS BIGINT) AS full_text_chars, p >= 512 AS labels_all_masked FROM counted""",
 )
+_IDS = f"""{SPLIT},
+prompted AS (
+  SELECT report_key, split, {prompt("title", "body")} AS prompt, {completion("priority", "team")} AS completion
+  FROM splits
+),
+listed AS (
+  SELECT report_key, split, least(len({words("prompt")}), 512) AS p,
+    list_transform(list_slice({words("prompt || completion")}, 1, 512),
+      lambda w: CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 131072 + 1) AS ids FROM prompted
+),
+padded AS (SELECT *, list_resize(ids, 512, 0) AS input_ids FROM listed)"""
+ORACLE["tokenise_ids"] = with_(
+    _IDS,
+    """SELECT report_key, split, array_to_string(input_ids, ' ') AS input_ids,
+  array_to_string(list_transform(range(512), lambda i: CASE WHEN i < len(ids) THEN 1 ELSE 0 END), ' ') AS attention_mask,
+  array_to_string(list_transform(range(512), lambda i: CASE WHEN i < p THEN -100 ELSE input_ids[i + 1] END), ' ') AS labels
+  FROM padded""",
+)
 ORACLE["masked_rows_audit"] = with_(
     COUNTED,
     """SELECT source, count(*) AS rows, count(*) FILTER (p >= 512) AS all_masked, max(p) AS longest_prompt
@@ -516,6 +588,20 @@ def _pivot(row: str, table: str, column: str = "priority", domain: list[str] = v
 
 ORACLE["source_priority_pivot"] = with_(ANY_TEAM, _pivot("source", "labels_only"))
 _BUGZILLA_LABELS = f"{BUGZILLA_RAW}, {BUGZILLA}, labels_only AS (SELECT *, {PRIORITY} AS priority FROM bugzilla)"
+ORACLE["profile_sources"] = with_(TRUTH_LABELS, _pivot("source", "truth"))
+ORACLE["profile_splits"] = ORACLE["split_report"]
+ORACLE["profile_durations"] = with_(
+    WITH_TEAM,
+    """SELECT source, count(*) AS reports, median(resolution_time_days) AS median_days,
+  min(resolution_time_days) AS min_days, max(resolution_time_days) AS max_days
+  FROM truth WHERE resolution_time_days >= 0 GROUP BY source""",
+)
+ORACLE["audit_severity_crosstab"] = with_(
+    WITH_TEAM, _pivot("raw_severity", "(SELECT * FROM truth WHERE source = 'bugzilla')")
+)
+ORACLE["audit_spot_check"] = with_(
+    WITH_TEAM, f"SELECT report_key, title, body, team, priority FROM truth ORDER BY {_SEEDED} LIMIT 200"
+)
 ORACLE["severity_crosstab"] = with_(_BUGZILLA_LABELS, _pivot("raw_severity", "labels_only"))
 ORACLE["severity_map_check"] = with_(
     _BUGZILLA_LABELS,
@@ -556,6 +642,7 @@ ORACLE["text_length_stats"] = with_(
         for f in ("title", "body")
     ),
 )
+ORACLE["profile_word_counts"] = ORACLE["text_length_stats"]
 
 
 def _histogram(ctes: str, table: str, column: str) -> str:
@@ -693,3 +780,17 @@ ORACLE["score_reports"] = with_(SCORED, "SELECT * FROM scored")
 ORACLE["scored_metrics"] = with_(
     f"{SCORED}, joined AS (SELECT priority, pred_severity FROM {parsed('scored')}), {DOMAIN}, {F1}", ROUNDED_F1
 )
+
+_SCORED_SPLITS = f"""{SPLIT},
+prompted AS (SELECT *, {prompt("title", "body")} AS seen FROM splits),
+scored AS (SELECT *, seen AS input_prompt, {completion(_GUESS, team_of("seen"))} AS raw_output FROM prompted),
+answered AS (SELECT * FROM {parsed('scored')})"""
+ORACLE["evaluated_split"] = with_(
+    f"{_SCORED_SPLITS}, joined AS (SELECT * FROM answered WHERE split = 'val'), {_SUMMARY}", _ON_TARGET
+)
+ORACLE["evaluated_report"] = with_(
+    _SCORED_SPLITS,
+    """SELECT report_key, title, body, priority, team, input_prompt, raw_output, pred_severity, pred_team,
+  coalesce(priority = pred_severity, false) AS sev_correct, coalesce(team = pred_team, false) AS team_correct
+  FROM answered WHERE split = 'test'""",
+)

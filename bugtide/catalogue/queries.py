@@ -12,9 +12,9 @@ from bugtide.catalogue import adapters
 from bugtide.functions import labels, times
 from bugtide.functions import text as tx
 from bugtide.operators import dedup, evaluate, labelling, profile, scoring, split, tokens, unify
-from bugtide.plans import reports
+from bugtide.plans import dataset, evaluation, ingest, reports
 from bugtide.sources import tables
-from bugtide.storage import written
+from bugtide.storage import scratch_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,6 +88,31 @@ def label_engineering(spark, sf_dir):
     return adapters.labelled(spark, sf_dir)
 
 
+# --- tracker folders ---------------------------------------------------------
+
+
+@query
+def ingest_reports(spark, sf_dir):
+    return ingest.ingest_trackers(spark, adapters.tracker_folders(spark, sf_dir)).reports
+
+
+@query
+def ingest_cleaned(spark, sf_dir):
+    cleaned = ingest.ingest_trackers(spark, adapters.tracker_folders(spark, sf_dir)).cleaned
+    return cleaned.transform(unify.to_canonical_names).withColumnRenamed("Affects Version/s", "versions")
+
+
+@query
+def ingest_statistics(spark, sf_dir):
+    statistics = ingest.ingest_trackers(spark, adapters.tracker_folders(spark, sf_dir)).statistics
+    # A project's reports come in as many files as tasks wrote them.
+    return statistics.groupBy(F.substring_index("pair", "/", 1).alias("project")).agg(
+        *[F.sum(c).alias(c) for c in ("before_rows", "after_rows", "removed_rows")],
+        F.max("listed_ids").alias("listed_ids"),
+        *[F.max(c).alias(c) for c in ("bug_id_column", "issue_column", "duplicate_column")],
+    )
+
+
 # --- text --------------------------------------------------------------------
 
 
@@ -227,6 +252,22 @@ def split_report(spark, sf_dir):
     return profile.split_report(split.stratified_split(adapters.with_team(spark, sf_dir)))
 
 
+@query
+def stored_splits(spark, sf_dir):
+    return tables.read_splits(spark, adapters.stored_splits(spark, sf_dir), *v.SPLITS)
+
+
+@query
+def over_escalation_by_split(spark, sf_dir):
+    """Rates by source, priority and split, priorities that do not occur included."""
+    late = F.coalesce(F.col("resolution_time_days") > v.OVER_ESCALATION_DAYS, F.lit(False))
+    unfixed = F.upper(F.trim("resolution")).isin(v.NON_FIX_RESOLUTIONS)
+    urgent = F.col("priority").isin(v.TOP_PRIORITIES)
+    splits = tables.read_splits(spark, adapters.stored_splits(spark, sf_dir))
+    flagged = splits.withColumn("is_over_escalated", urgent & unfixed & late)
+    return reports.profile_dataset(flagged)["over_escalation"]
+
+
 # The samples are drawn before the text is cleaned: neither the order nor the
 # groups depend on clean text, and only the drawn reports need it.
 
@@ -284,6 +325,19 @@ def tokenise_mask(spark, sf_dir):
     )
 
 
+@query
+def tokenise_ids(spark, sf_dir):
+    """The ids, masks and labels of all three splits, as stored, one text per list."""
+    folder = scratch_folder(spark)
+    dataset.build_prompt_dataset(spark, adapters.stored_splits(spark, sf_dir), folder)
+    stored = tables.read_table(spark, folder)
+
+    def listed(name):
+        return F.array_join(F.col(name).cast("array<string>"), " ").alias(name)
+
+    return stored.select("report_key", "split", *map(listed, ("input_ids", "attention_mask", "labels")))
+
+
 @query
 def masked_rows_audit(spark, sf_dir):
     rows = tokens.tokenise(adapters.with_team(spark, sf_dir))
@@ -320,6 +374,45 @@ def _bugzilla(spark, sf_dir, endings=None):
     return labelling.label_reports(unify.unify_bugzilla(adapters.bugzilla_raw(spark, sf_dir, endings)))
 
 
+def _profile(spark, sf_dir, name):
+    splits = tables.read_splits(spark, adapters.stored_splits(spark, sf_dir), *v.SPLITS)
+    return reports.profile_dataset(splits)[name]
+
+
+@query
+def profile_sources(spark, sf_dir):
+    return _profile(spark, sf_dir, "priority_by_source")
+
+
+@query
+def profile_word_counts(spark, sf_dir):
+    return _profile(spark, sf_dir, "word_counts")
+
+
+@query
+def profile_durations(spark, sf_dir):
+    return _profile(spark, sf_dir, "durations")
+
+
+@query
+def profile_splits(spark, sf_dir):
+    return _profile(spark, sf_dir, "splits")
+
+
+def _audit(spark, sf_dir, name):
+    return reports.audit_labels(tables.read_splits(spark, adapters.stored_splits(spark, sf_dir)))[name]
+
+
+@query
+def audit_spot_check(spark, sf_dir):
+    return _audit(spark, sf_dir, "spot_check").select("report_key", "title", "body", "team", "priority")
+
+
+@query
+def audit_severity_crosstab(spark, sf_dir):
+    return _audit(spark, sf_dir, "severity_crosstab")
+
+
 @query
 def severity_crosstab(spark, sf_dir):
     return profile.count_pivot(_bugzilla(spark, sf_dir), "raw_severity", "priority", v.PRIORITIES)
@@ -503,3 +596,15 @@ def score_reports(spark, sf_dir):
 def scored_metrics(spark, sf_dir):
     report = evaluate.prediction_report(scoring.score_reports(_truth(spark, sf_dir)))
     return evaluate.per_class_f1(evaluate.outcome_counts(report))
+
+
+@query
+def evaluated_split(spark, sf_dir):
+    _, metrics = evaluation.evaluate_split(spark, adapters.stored_splits(spark, sf_dir), "val")
+    return metrics.drop("per_class_f1", "confusion_matrix")
+
+
+@query
+def evaluated_report(spark, sf_dir):
+    report, _ = evaluation.evaluate_split(spark, adapters.stored_splits(spark, sf_dir), "test")
+    return report

@@ -14,9 +14,14 @@ from bugtide.operators.copies import repeat_rows
 from bugtide.storage import written
 
 ORDER = "_order"
-# Hex digits of the order hash used for the first, coarse counts. 16^3 buckets
-# per stratum is a small table, and leaves 1/4096 of a stratum for the fine ones.
-PREFIX = 3
+# Hex digits of the order hash by which places are narrowed down, pass by pass. A
+# bucket that still holds more rows than `FINE_ROWS` is cut once more before its
+# hashes are ranked whole; what is large after that is equal, and counted as one.
+DEPTHS = (3, 6)
+WHOLE = 32
+FINE_ROWS = 100_000
+# Strata are listed on the driver.
+MAX_STRATA = 1_000
 
 
 def proportional_quotas(counts: dict[str, int], total: int) -> dict[str, int]:
@@ -93,24 +98,24 @@ def _find(counts: DataFrame, positions: dict[str, list[int]]) -> list[Cut]:
 
 
 def _bounds(rows: DataFrame, stratum: str, positions: dict[str, list[int]], coarse: DataFrame) -> list[Cut]:
-    """The exact order hash at each position, found in two narrow passes."""
+    """The exact order hash at each position, found in two or three narrow passes."""
     rough = _find(coarse, positions)
-    fine_positions: dict[str, list[int]] = {}
-    for cut in rough:
-        fine_positions.setdefault(f"{cut.stratum}/{cut.key}", []).append(cut.inside)
-    group = F.concat_ws("/", stratum, F.left(ORDER, F.lit(PREFIX)))
-    fine = (
-        rows.select(group.alias("stratum"), F.col(ORDER).alias("key"))
-        .where(F.col("stratum").isin(list(fine_positions)))
-        .groupBy("stratum", "key")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    found = {(cut.stratum, cut.position): cut for cut in _find(fine, fine_positions)}
-    exact = []
-    for cut in rough:
-        hit = found[f"{cut.stratum}/{cut.key}", cut.inside]
-        exact.append(Cut(cut.stratum, cut.position, hit.key, hit.inside, hit.rows))
-    return exact
+    wide = any(cut.rows > FINE_ROWS for cut in rough)
+    for before, depth in zip(DEPTHS, (*DEPTHS[1:], WHOLE)) if wide else [(DEPTHS[0], WHOLE)]:
+        inside: dict[str, list[int]] = {}
+        for cut in rough:
+            inside.setdefault(f"{cut.stratum}/{cut.key}", []).append(cut.inside)
+        group = F.concat_ws("/", stratum, F.left(ORDER, F.lit(before)))
+        counts = (
+            rows.select(group.alias("stratum"), F.left(ORDER, F.lit(depth)).alias("key"))
+            .where(F.col("stratum").isin(list(inside)))
+            .groupBy("stratum", "key")
+            .agg(F.count(F.lit(1)).alias("rows"))
+        )
+        found = {(cut.stratum, cut.position): cut for cut in _find(counts, inside)}
+        hits = [(cut, found[f"{cut.stratum}/{cut.key}", cut.inside]) for cut in rough]
+        rough = [Cut(cut.stratum, cut.position, hit.key, hit.inside, hit.rows) for cut, hit in hits]
+    return rough
 
 
 def _split_of(stratum: str, cuts: list[Cut], quotas: dict[str, dict[str, int]]) -> Column:
@@ -148,69 +153,102 @@ def _divided(cuts: list[Cut], quotas: dict[str, dict[str, int]]) -> dict[str, di
     return shares
 
 
+def _counts(rows: DataFrame, stratum: str) -> DataFrame:
+    """Rows per (stratum, first digits of the order hash)."""
+    first = F.left(ORDER, F.lit(DEPTHS[0])).alias("key")
+    return rows.groupBy(F.col(stratum).alias("stratum"), first).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _cuts(rows: DataFrame, stratum: str, quotas: dict[str, dict[str, int]], coarse: DataFrame) -> list[Cut]:
+    """Where each stratum passes from train to val and from val to test."""
+    positions = {}
+    for label, quota in quotas.items():
+        ends = {quota["train"], quota["train"] + quota["val"]} - {0}
+        if ends:
+            positions[label] = sorted(ends)
+    return _bounds(rows, stratum, positions, coarse)
+
+
+def _narrow(df: DataFrame, stratum: str, order: Column) -> DataFrame:
+    return written(df.select(F.col(stratum), order.alias(ORDER)))
+
+
+def _divide_tied(tied: DataFrame, shares: dict[str, dict[str, int]], names: list[str], seed: int) -> DataFrame:
+    """Divide the groups of one key that a bound cuts through.
+
+    Inside such a group rows are ordered by all their columns; identical rows are
+    divided by their count.
+    """
+    group, keyed = "_group", tied.withColumnRenamed(ORDER, "_group")
+    digest = keys.row_digest(names, str(seed))
+    rows = _narrow(keyed, group, digest)
+    cuts = _cuts(rows, group, shares, _counts(rows, group))
+    placed = keyed.withColumn(ORDER, digest)
+    whole = placed.withColumn("split", _split_of(group, cuts, shares))
+    equal = _divided(cuts, shares)
+    if not equal:
+        return whole.select(*names, "split")
+    share = F.create_map(
+        *[
+            part
+            for key, share in equal.items()
+            for part in (F.lit(key), F.create_map(*[F.lit(x) for pair in share.items() for x in pair]))
+        ]
+    )
+    same = F.col(ORDER).isin(list(equal))
+    copies = (
+        placed.where(same)
+        .dropDuplicates()
+        .select("*", F.explode(F.element_at(share, F.col(ORDER))).alias("split", "_share"))
+        .transform(lambda rest: repeat_rows(rest, F.col("_share")))
+    )
+    return whole.where(~same).select(*names, "split").unionByName(copies.select(*names, "split"))
+
+
 def stratified_split(
     df: DataFrame,
     stratum: str = "priority",
     train: float = 0.80,
     val: float = 0.10,
     seed: int = v.SEED,
-    write_input: bool = True,
+    key: str = "report_key",
 ) -> DataFrame:
     """Add ``split`` (train, val or test) with exact sizes per stratum.
 
-    Rows are ordered by a hash of their content, so the outcome depends on the
-    data and the seed alone. Two narrow aggregations find the hash at which each
-    stratum passes from one split to the next; the assignment itself then
-    compares with those literals, and no row is shuffled or ranked. Only a group
-    of identical rows that straddles a bound is treated apart, by its count.
+    Rows are ordered by a hash of their stratum and key, so the outcome depends on
+    the data and the seed alone. Only the stratum and that hash are stored, and a
+    few aggregations over them find the hash at which each stratum passes from one
+    split to the next; the assignment itself then compares with those literals, and
+    no row is shuffled or ranked. Only rows that share a key on a bound are treated
+    apart, ordered by all their columns.
 
-    Runs jobs when called. ``write_input`` stores the input first, which is the
-    better choice unless ``df`` is already a plain scan.
+    Runs jobs when called. More than `MAX_STRATA` strata, or one with too few rows,
+    are refused.
     """
     names = df.columns
-    rows = df.withColumn(ORDER, keys.row_digest(names, str(seed)))
-    if write_input:
-        rows = written(rows)
-    coarse = (
-        rows.groupBy(F.col(stratum).alias("stratum"), F.left(ORDER, F.lit(PREFIX)).alias("key"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .persist()
-    )
-    totals = coarse.groupBy("stratum").agg(F.sum("rows").alias("rows")).orderBy("stratum").collect()
+    order = keys.row_digest([stratum, key], str(seed))
+    rows = _narrow(df, stratum, order)
+    coarse = _counts(rows, stratum).persist()
+    totals = coarse.groupBy("stratum").agg(F.sum("rows").alias("rows")).limit(MAX_STRATA + 1).collect()
+    if len(totals) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} values of {stratum}")
     counts = {row["stratum"]: row["rows"] for row in totals}
     if None in counts:
         raise ValueError(f"rows without a {stratum} cannot be stratified")
     if not counts:
         return df.withColumn("split", F.lit(None).cast("string"))
-    quotas = split_quotas(counts, train, val)
-    positions = {}
-    for label, quota in quotas.items():
-        ends = {quota["train"], quota["train"] + quota["val"]} - {0}
-        if ends:
-            positions[label] = sorted(ends)
-    cuts = _bounds(rows, stratum, positions, coarse)
+    quotas = split_quotas(dict(sorted(counts.items())), train, val)
+    cuts = _cuts(rows, stratum, quotas, coarse)
     coarse.unpersist()
 
-    whole = rows.withColumn("split", _split_of(stratum, cuts, quotas))
+    ordered = df.withColumn(ORDER, order)
+    whole = ordered.withColumn("split", _split_of(stratum, cuts, quotas))
     shares = _divided(cuts, quotas)
     if not shares:
         return whole.drop(ORDER)
-    share = F.create_map(
-        *[
-            part
-            for key, share in shares.items()
-            for part in (F.lit(key), F.create_map(*[F.lit(x) for pair in share.items() for x in pair]))
-        ]
-    )
     tied = F.col(ORDER).isin(list(shares))
-    copies = (
-        rows.where(tied)
-        .dropDuplicates()
-        .select("*", F.explode(F.element_at(share, F.col(ORDER))).alias("split", "_share"))
-        .transform(lambda rest: repeat_rows(rest, F.col("_share")))
-    )
-    columns = [*names, "split"]
-    return whole.where(~tied).select(*columns).unionByName(copies.select(*columns))
+    divided = _divide_tied(ordered.where(tied), shares, names, seed)
+    return whole.where(~tied).select(*names, "split").unionByName(divided)
 
 
 def seeded_sample(df: DataFrame, n: int, key: str = "report_key", seed: int = v.SEED) -> DataFrame:

@@ -5,7 +5,9 @@ import pytest
 from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
-from bugtide.operators import split
+from bugtide import vocabulary as v
+from bugtide.catalogue import adapters
+from bugtide.operators import labelling, split
 from bugtide.operators.copies import count_copies, repeat_rows
 
 
@@ -44,14 +46,14 @@ def test_split_is_exact_complete_and_repeatable(spark):
     found = {(r.priority, r.split): r["count"] for r in first.groupBy("priority", "split").count().collect()}
     assert found == {(p, s): n for p, q in quotas.items() for s, n in q.items() if n}
     assert first.select("report_key").distinct().count() == sum(counts.values())
-    again = split.stratified_split(df.repartition(3), write_input=False)
+    again = split.stratified_split(df.repartition(3))
     assert rows_of(first) == rows_of(again)
     assert rows_of(first) != rows_of(split.stratified_split(df, seed=1))
 
 
 def test_split_equals_a_plain_ranking(spark):
     df = table(spark, {"P0": 40, "P3": 700})
-    order = split.keys.row_digest(df.columns, "42")
+    order = split.keys.row_digest(["priority", "report_key"], "42")
     ranked = collections.defaultdict(list)
     for row in df.select("*", order.alias("o")).collect():
         ranked[row.priority].append((row.o, row.report_key))
@@ -84,7 +86,39 @@ def test_too_small_a_class_is_refused(spark):
 def test_assignment_neither_joins_nor_shuffles(spark):
     out = split.stratified_split(table(spark, {"P0": 40, "P3": 700}))
     plan = plan_of(out)
-    assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
+    # The only exchange is the one that the input comes with.
+    assert plan.count("Exchange") == plan.count("Exchange RoundRobin") == 1
+    assert "Join" not in plan and "Window" not in plan
+
+
+def test_places_are_narrowed_down_in_three_passes(spark, monkeypatch):
+    df = table(spark, {"P0": 40, "P3": 700})
+    expected = rows_of(split.stratified_split(df))
+    monkeypatch.setattr(split, "FINE_ROWS", 0)
+    assert rows_of(split.stratified_split(df)) == expected
+
+
+def test_rows_that_share_a_key_are_divided_by_their_columns(spark):
+    """Half the rows have one key, some of them are equal besides."""
+    rows = [("same", "P3", f"text {i % 300}") for i in range(500)] + [(f"k{i}", "P3", "x") for i in range(500)]
+    df = spark.createDataFrame(rows, "report_key string, priority string, body string").repartition(5)
+    out = split.stratified_split(df)
+    quotas = split.split_quotas({"P3": 1_000}, 0.8, 0.1)["P3"]
+    assert {r.split: r["count"] for r in out.groupBy("split").count().collect()} == quotas
+    assert rows_of(out.drop("split")) == rows_of(df)
+    assert rows_of(out) == rows_of(split.stratified_split(df.repartition(2)))
+
+
+def test_too_many_strata_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(split, "MAX_STRATA", 1)
+    with pytest.raises(ValueError, match="more than 1 values of priority"):
+        split.stratified_split(table(spark, {"P0": 40, "P3": 700}))
+
+
+def test_a_split_of_labels_cleans_no_text(spark):
+    df = labelling.drop_unknown_team(adapters.labelled(spark, "/root/testdata/sf0.001"))
+    plan = plan_of(split.stratified_split(df).select("report_key", "priority", "split"))
+    assert v.BLANK_LINES not in plan.replace("\\n", "\n") and "<[^>]+>" not in plan
 
 
 def test_seeded_sample_takes_only_the_top(spark):
