@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,24 +39,45 @@ def numbered(df: DataFrame) -> DataFrame:
 def in_arrow(df: DataFrame, work: Callable[[Batches], Batches], schema: str) -> DataFrame:
     """``mapInArrow`` with the package at hand in the tasks."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(work, schema)
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from work(batches)
+        finally:
+            hand_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def hand_back() -> None:
+    """Give freed memory back to the system; a worker lives on and would keep it beside the next task's."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def as_bytes(texts: pa.Array) -> pa.Array:
+    """A column of texts as their bytes; a missing text has none."""
+    if not pa.types.is_binary(texts.type):
+        texts = texts.cast(pa.string()).cast(pa.binary())
+    return pc.fill_null(texts, b"")
 
 
 def pieces(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """A batch in slices whose texts add up to about ``most`` bytes, with those texts.
 
     Bounds the memory of a task when a batch holds very long texts; a single text
-    is never cut.
+    is never cut. Only the texts of one slice are Python objects at a time.
     """
-    texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
+    texts = as_bytes(batch.column(batch.schema.get_field_index(column)))
     start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield batch.slice(start, i - start), texts[start:i]
+    for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+        if size and size + n > most:
+            yield batch.slice(start, i - start), texts.slice(start, i - start).to_pylist()
             start, size = i, 0
-        size += len(text)
+        size += n
     if start < len(texts):
-        yield batch.slice(start), texts[start:]
+        yield batch.slice(start), texts.slice(start).to_pylist()
 
 
 def lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
