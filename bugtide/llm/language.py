@@ -166,7 +166,7 @@ def identify(
 ) -> DataFrame:
     """Key, held_out, lang_pred and score of every document."""
     held = split_remainder(key, folds) == fold
-    narrow = docs.select(F.col(key).alias("_key"), held.alias("held_out"), *_inputs(text))
+    narrow = docs.select(F.col(key).alias("_key"), held.alias("held_out"), utf8(text).alias("_text"), _letter(text))
     kind = docs.schema[key].dataType.simpleString()
     model = train(docs, held, key, text, lang)
 
@@ -183,16 +183,20 @@ def identify(
     return found.withColumnRenamed("_key", key)
 
 
-def _inputs(text: str) -> list[Column]:
-    letter = F.coalesce(F.col(text).cast("string").rlike("\\p{L}"), F.lit(False))
-    return [utf8(text).alias("_text"), letter.alias("_letter")]
+def _letter(text: str) -> Column:
+    return F.coalesce(F.col(text).cast("string").rlike("\\p{L}"), F.lit(False)).alias("_letter")
 
 
 def _predicted(model: Model | None, texts: list[bytes], letter: list[bool]) -> tuple[list[str], np.ndarray]:
     if model is None:
         return ["und"] * len(texts), np.zeros(len(texts))
-    found, score = model.predict(features(texts))
-    return [f if ok else "und" for f, ok in zip(found, letter, strict=True)], np.where(letter, score, 0.0)
+    found, scores = [], [np.zeros(0)]
+    # Few rows at a time: however short texts are, only so many rows of features exist at once.
+    for at in range(0, len(texts), STEP):
+        own, score = model.predict(features(texts[at : at + STEP]))
+        found += own
+        scores.append(score)
+    return [f if ok else "und" for f, ok in zip(found, letter, strict=True)], np.where(letter, np.concatenate(scores), 0.0)
 
 
 def keep_identified(
@@ -202,12 +206,12 @@ def keep_identified(
     model = train(docs, split_remainder(key, folds) == fold, key, text, lang)
     plain = numbered(docs)
     names = plain.columns
+    own = names[docs.columns.index(text)]
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
-            for rows, texts in pieces(batch, "_text", SLICE):
-                found, _ = _predicted(model, texts, rows.column(len(names) + 1).to_pylist())
+            for rows, texts in pieces(batch, own, SLICE):
+                found, _ = _predicted(model, texts, rows.column(len(names)).to_pylist())
                 yield rows.select(names).filter(pa.array([f != "und" for f in found], pa.bool_()))
 
-    inputs = _inputs(names[docs.columns.index(text)])
-    return in_arrow(plain.select("*", *inputs), work, plain.schema).toDF(*docs.columns)
+    return in_arrow(plain.select("*", _letter(own)), work, plain.schema).toDF(*docs.columns)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from bugtide.llm.tools import Batches, in_arrow, numbered, run_starts, utf8
+from bugtide.llm.tools import Batches, in_arrow, numbered, pieces, run_starts, utf8
 from bugtide.storage import written
 
 BITS = 64
@@ -51,6 +51,8 @@ CELL = 2048
 PARTS = range(2, 9)
 #: Shingles whose bits are counted at once.
 SHINGLES = 65_536
+#: Bytes of text that a task holds as Python objects.
+SLICE = 2_000_000
 
 
 def fingerprint(text: bytes) -> int:
@@ -76,10 +78,11 @@ def with_fingerprint(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
-            prints = [fingerprint(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.int64()), batch.column(2)], names=["_key", "_print", "_digest"]
-            )
+            for rows, texts in pieces(batch, "_text", SLICE):
+                prints = [fingerprint(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(prints, pa.int64()), rows.column(2)], names=["_key", "_print", "_digest"]
+                )
 
     kind = docs.schema[key].dataType.simpleString()
     narrow = docs.select(F.col(key).alias("_key"), utf8(text).alias("_text"), F.xxhash64(text).alias("_digest"))
