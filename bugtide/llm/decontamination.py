@@ -119,8 +119,8 @@ def _searched(documents: list[list[bytes]], blocks: list) -> list[tuple[np.ndarr
     return found
 
 
-def _shards(batch: pa.RecordBatch, shard_words: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    yield from pieces(batch, "_text", min(SHARD_BYTES, 8 * shard_words))
+def _shards(batch: pa.RecordBatch, text: str, shard_words: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    yield from pieces(batch, text, min(SHARD_BYTES, 8 * shard_words))
 
 
 def _send(benchmark: DataFrame, item: str, text: str, ngram: int, most: int) -> list:
@@ -144,7 +144,7 @@ def find_leaks(
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
-            for part, texts in _shards(batch, shard_words):
+            for part, texts in _shards(batch, "_text", shard_words):
                 found = _searched([words(t) for t in texts], blocks)
                 edges = [np.flatnonzero(np.diff(np.concatenate([[0], m, [0]]))) for m, _ in found]
                 yield pa.RecordBatch.from_pydict(
@@ -184,7 +184,7 @@ def remove_leaks(
 
     def work(batches: Batches) -> Batches:
         for batch in batches:
-            for part, texts in _shards(batch, SHARD_WORDS):
+            for part, texts in _shards(batch, names[place], SHARD_WORDS):
                 found = _searched([words(t) for t in texts], blocks)
                 old = part.column(place)
                 new = [
@@ -194,8 +194,7 @@ def remove_leaks(
                 columns = [pa.array(new, pa.string()) if i == place else part.column(i) for i in range(len(names))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    done = in_arrow(plain.withColumn("_text", utf8(names[place])), work, plain.schema)
-    return done.toDF(*docs.columns)
+    return in_arrow(plain, work, plain.schema).toDF(*docs.columns)
 
 
 def leak_digest(found: DataFrame, key: str = "doc_id") -> DataFrame:

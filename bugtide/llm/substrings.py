@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bugtide.llm.tools import Batches, grouped, in_arrow, numbered, pieces, ranges, utf8
+from bugtide.llm.tools import Batches, as_bytes, grouped, in_arrow, numbered, pieces, ranges, utf8
 from bugtide.storage import written
 
 LENGTH = 200
@@ -182,16 +182,16 @@ def _unpacked(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place >> 16, place >> 8 & 255, place & 255
 
 
-def _fetch(batches: Batches) -> Batches:
+def _fetch(batches: Batches, text: str) -> Batches:
     """The bytes of the wanted segments of each text."""
     for batch in batches:
         wanted = batch.column(batch.schema.get_field_index("_wanted")).to_pylist()
-        texts = batch.column(batch.schema.get_field_index("_text"))
-        for text, own in zip(texts, wanted, strict=True):
-            text = text.as_py()
+        texts = as_bytes(batch.column(batch.schema.get_field_index(text)))
+        for data, own in zip(texts, wanted, strict=True):
+            data = data.as_py()
             place = np.array([w["_place"] for w in own], dtype=np.int64)
             anchor, low, high = _unpacked(place)
-            cut = [text[a:b] for a, b in zip((anchor - low).tolist(), (anchor - high + LENGTH).tolist(), strict=True)]
+            cut = [data[a:b] for a, b in zip((anchor - low).tolist(), (anchor - high + LENGTH).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([w["_core"] for w in own], pa.int64()),
@@ -233,9 +233,9 @@ def _construct(batches: Batches) -> Batches:
 
 
 def _with_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """The documents with their bytes and the (start, last start) of what repeats in them."""
-    marked = docs.withColumn("_text", utf8(text)).withColumn("_row", F.xxhash64(key, text))
-    narrow = marked.select("_row", "_text")
+    """The documents with the (start, last start) of what repeats in their texts' bytes."""
+    marked = docs.withColumn("_row", F.xxhash64(key, text))
+    narrow = marked.select("_row", utf8(text).alias("_text"))
     cores = in_arrow(narrow, lambda b: _segments(b, True), "_core bigint")
     repeated = cores.groupBy("_core").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_core")
     every = in_arrow(
@@ -253,7 +253,7 @@ def _with_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
         .agg(F.collect_list(F.struct("_core", "_segment", F.col("_at._place").alias("_place"))).alias("_wanted"))
     )
     bytes_ = in_arrow(
-        marked.join(wanted, "_row"), _fetch, "_core bigint, _segment bigint, _low bigint, _high bigint, _bytes binary"
+        marked.join(wanted, "_row"), lambda b: _fetch(b, text), "_core bigint, _segment bigint, _low bigint, _high bigint, _bytes binary"
     )
     sorted_ = bytes_.repartition("_core").sortWithinPartitions("_core")
     partly = in_arrow(sorted_, _construct, "_core bigint, _segment bigint, _from bigint, _to bigint")
@@ -291,12 +291,12 @@ def _kept(text: bytes, marks: np.ndarray) -> bytes:
     return np.frombuffer(text, dtype=np.uint8)[~marks].tobytes() if marks.any() else text
 
 
-def _columns(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
+def _columns(batch: pa.RecordBatch, text: str) -> Iterator[tuple[bytes, np.ndarray]]:
     spans = batch.column(batch.schema.get_field_index("_spans"))
-    texts = batch.column(batch.schema.get_field_index("_text"))
-    for text, own in zip(texts, spans, strict=True):
-        text = text.as_py()
-        yield text, _removed(text, own.as_py())
+    texts = as_bytes(batch.column(batch.schema.get_field_index(text)))
+    for data, own in zip(texts, spans, strict=True):
+        data = data.as_py()
+        yield data, _removed(data, own.as_py())
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -306,7 +306,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     def work(batches: Batches) -> Batches:
         for batch in batches:
             sizes, removed, runs, digests = [], [], [], []
-            for data, marks in _columns(batch):
+            for data, marks in _columns(batch, "_body"):
                 sizes.append(len(data))
                 removed.append(int(marks.sum()))
                 runs.append(int((np.diff(marks.astype(np.int8), prepend=0) == 1).sum()))
@@ -323,7 +323,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             )
 
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_body"))
-    found = _with_spans(narrow, "_key", "_body").drop("_body", "_row")
+    found = _with_spans(narrow, "_key", "_body").drop("_row")
     done = in_arrow(found, work, f"_key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return done.withColumnRenamed("_key", key)
 
@@ -346,10 +346,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     def work(batches: Batches) -> Batches:
         for batch in batches:
             old, new = batch.column(place), []
-            for i, (data, marks) in enumerate(_columns(batch)):
+            for i, (data, marks) in enumerate(_columns(batch, names[place])):
                 new.append(_kept(data, whole_characters(data, marks)).decode() if marks.any() else old[i].as_py())
             columns = [pa.array(new, pa.string()) if i == place else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     found = _with_spans(plain, names[docs.columns.index(key)], names[place])
-    return in_arrow(found.select(*names, "_text", "_spans"), work, plain.schema).toDF(*docs.columns)
+    return in_arrow(found.select(*names, "_spans"), work, plain.schema).toDF(*docs.columns)
