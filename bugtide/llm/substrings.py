@@ -22,6 +22,12 @@ minima. Columns lie in a scratch file and are read one after another, so memory
 three numbers a segment, however long they are. A start repeats where a neighbour
 shares `LENGTH` bytes.
 
+Anchors with more than `TOGETHER` distinct segments are never gathered in a task. Equal
+strings have equal distances to the anchor, so each segment falls into stretches of
+`STRETCH` distances; all strings of a stretch share its middle bytes, whose hash is
+counted first. Only where it repeats are the strings themselves counted, by distance and
+hash. These are aggregations over keys that only equal bytes share.
+
 As a job: two passes compute anchors next to the text (numpy, no text is moved) and
 shuffle 8 and 32 bytes for each; the text is shuffled once, to fetch distinct segments
 and to apply the result (the second use reads the same exchange).
@@ -40,10 +46,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bugtide.llm.tools import Batches, as_bytes, grouped, in_arrow, numbered, pieces, ranges, utf8
+from bugtide.llm.tools import Batches, as_bytes, grouped, in_arrow, lists, numbered, pieces, ranges, run_starts, utf8
 from bugtide.storage import written
 
 LENGTH = 200
@@ -52,8 +58,12 @@ CORE = 50
 SPAN = LENGTH - CORE + 1
 #: Bytes hashed at once; chosen to stay in a processor's cache.
 SLICE = 200_000
-#: Segments whose columns are sorted together, unless one anchor has more.
+#: Segments whose columns are sorted together; an anchor that has more is split by hashes.
 TOGETHER = 20_000
+#: Distances to the anchor that are looked at together in an anchor that is split.
+STRETCH = 16
+#: Segments whose strings are hashed at once.
+HASHED = 500
 
 _TABLE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -204,11 +214,81 @@ def _fetch(batches: Batches, text: str) -> Batches:
             )
 
 
+def string_hashes(segments: list[bytes], low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Segment, stretch, hash of the bytes that its strings share, number of strings; then hash and distance of all strings."""
+    sizes = low - high + LENGTH
+    data = np.frombuffer(b"".join(segments), dtype=np.uint8)
+    up, down = _POWERS.upto(len(data))
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_TABLE[data] * up[: len(data)], out=sums[1:])
+    hashed = lambda at, n: _mixed((sums[at + n] - sums[at]) * down[at]).view(np.int64)
+    # Where the anchor of each segment would stand.
+    anchor = np.cumsum(sizes) - sizes + low
+    row = np.repeat(np.arange(len(segments)), low - high + 1)
+    distance = ranges(high, low - high + 1)
+    first = run_starts(row * SPAN + distance // STRETCH)
+    stretch, of = distance[first] // STRETCH, row[first]
+    near, far = stretch * STRETCH, np.minimum(stretch * STRETCH + STRETCH, SPAN) - 1
+    shared = hashed(anchor[of] - near, LENGTH - far + near)
+    return of, stretch, shared, np.diff(np.append(first, len(row))), hashed(anchor[row] - distance, LENGTH), distance
+
+
+def _hashed(batches: Batches, text: str) -> Batches:
+    """The hashes of the strings of the wanted segments of each text, by stretch."""
+    for rows in _fetch(batches, text):
+        for at in range(0, rows.num_rows, HASHED):
+            part = rows.slice(at, HASHED)
+            low, high = (part.column(i).to_numpy() for i in (2, 3))
+            of, stretch, shared, sizes, strings, distance = string_hashes(part.column(4).to_pylist(), low, high)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).take(pa.array(of)),
+                    part.column(1).take(pa.array(of)),
+                    pa.array(stretch.astype(np.int32)),
+                    pa.array(shared),
+                    pa.array(distance[np.cumsum(sizes) - sizes].astype(np.int32)),
+                    lists(strings, sizes),
+                ],
+                names=["_core", "_segment", "_stretch", "_shared", "_first", "_strings"],
+            )
+
+
+def _split(hashed: DataFrame) -> DataFrame:
+    """Runs of distances at which a segment's strings start in another segment too."""
+    shared = ["_core", "_stretch", "_shared"]
+    twice = lambda df, keys: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+    left = hashed.join(twice(hashed, shared), shared, "left_semi")
+    strings = left.select("_core", "_segment", "_first", F.posexplode("_strings").alias("_i", "_string")).select(
+        "_core", "_segment", (F.col("_first") + F.col("_i")).cast("bigint").alias("_distance"), "_string"
+    )
+    string = ["_core", "_distance", "_string"]
+    found = strings.join(twice(strings, string), string, "left_semi")
+    place = F.row_number().over(Window.partitionBy("_core", "_segment").orderBy("_distance"))
+    runs = found.select("_core", "_segment", "_distance").distinct().withColumn("_run", F.col("_distance") - place)
+    return (
+        runs.groupBy("_core", "_segment", "_run")
+        .agg(F.max("_distance").alias("_from"), F.min("_distance").alias("_to"))
+        .select("_core", "_segment", "_from", "_to")
+    )
+
+
+def _once(batches: Batches) -> Batches:
+    """Sorted segments without the copies that repeated rows bring."""
+    last = None
+    for batch in batches:
+        pair = np.stack([batch.column(i).to_numpy() for i in (0, 1)], axis=1)
+        if not len(pair):
+            continue
+        fresh = np.append(last is None or (pair[0] != last).any(), (pair[1:] != pair[:-1]).any(axis=1))
+        last = pair[-1]
+        yield batch.filter(pa.array(fresh))
+
+
 def _collections(batches: Batches) -> Iterator[pa.Table]:
     """Whole groups, some thousand segments at a time."""
     held: list[pa.Table] = []
     size = 0
-    for table in grouped(batches, "_core"):
+    for table in grouped(_once(batches), "_core"):
         if size and size + table.num_rows > TOGETHER:
             yield pa.concat_tables(held)
             held, size = [], 0
@@ -232,7 +312,15 @@ def _construct(batches: Batches) -> Batches:
         )
 
 
-def _with_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
+def open_cores(distinct: DataFrame, together: int) -> tuple[DataFrame, DataFrame]:
+    """Anchors whose distinct segments are to be compared: those sorted in a task, those with too many for it."""
+    kinds = distinct.groupBy("_core").agg(F.count(F.lit(1)).alias("_kinds"), F.min("_times").alias("_least"))
+    kinds = kinds.where("_kinds > 1 AND _least = 1")
+    few = F.col("_kinds") <= together
+    return kinds.where(few).select("_core"), kinds.where(~few).select("_core")
+
+
+def _with_spans(docs: DataFrame, key: str, text: str, together: int = TOGETHER) -> DataFrame:
     """The documents with the (start, last start) of what repeats in their texts' bytes."""
     marked = docs.withColumn("_row", F.xxhash64(key, text))
     narrow = marked.select("_row", utf8(text).alias("_text"))
@@ -245,18 +333,27 @@ def _with_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
     distinct = found.groupBy("_core", "_segment").agg(
         F.count(F.lit(1)).alias("_times"), F.min(F.struct("_row", "_place")).alias("_at")
     )
-    open_ = distinct.groupBy("_core").agg(F.count(F.lit(1)).alias("_kinds"), F.min("_times").alias("_least"))
-    open_ = open_.where("_kinds > 1 AND _least = 1").select("_core")
-    wanted = (
-        distinct.join(open_, "_core", "left_semi")
-        .groupBy(F.col("_at._row").alias("_row"))
-        .agg(F.collect_list(F.struct("_core", "_segment", F.col("_at._place").alias("_place"))).alias("_wanted"))
-    )
+    sorted_cores, split_cores = open_cores(distinct, together)
+
+    def fetched(cores: DataFrame) -> DataFrame:
+        wanted = (
+            distinct.join(cores, "_core", "left_semi")
+            .groupBy(F.col("_at._row").alias("_row"))
+            .agg(F.collect_list(F.struct("_core", "_segment", F.col("_at._place").alias("_place"))).alias("_wanted"))
+        )
+        return marked.join(wanted, "_row")
+
     bytes_ = in_arrow(
-        marked.join(wanted, "_row"), lambda b: _fetch(b, text), "_core bigint, _segment bigint, _low bigint, _high bigint, _bytes binary"
+        fetched(sorted_cores), lambda b: _fetch(b, text), "_core bigint, _segment bigint, _low bigint, _high bigint, _bytes binary"
     )
-    sorted_ = bytes_.repartition("_core").sortWithinPartitions("_core")
+    sorted_ = bytes_.repartition("_core").sortWithinPartitions("_core", "_segment")
     partly = in_arrow(sorted_, _construct, "_core bigint, _segment bigint, _from bigint, _to bigint")
+    hashed = in_arrow(
+        fetched(split_cores),
+        lambda b: _hashed(b, text),
+        "_core bigint, _segment bigint, _stretch int, _shared bigint, _first int, _strings array<bigint>",
+    )
+    partly = partly.unionByName(_split(hashed))
     wholly = distinct.where("_times > 1").select(
         "_core",
         "_segment",
@@ -299,7 +396,7 @@ def _columns(batch: pa.RecordBatch, text: str) -> Iterator[tuple[bytes, np.ndarr
         yield data, _removed(data, own.as_py())
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", together: int = TOGETHER) -> DataFrame:
     """For each document the sizes before and of what goes, the runs, and a digest of the rest."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -323,7 +420,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             )
 
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_body"))
-    found = _with_spans(narrow, "_key", "_body").drop("_row")
+    found = _with_spans(narrow, "_key", "_body", together).drop("_row")
     done = in_arrow(found, work, f"_key {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return done.withColumnRenamed("_key", key)
 

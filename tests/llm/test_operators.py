@@ -219,6 +219,32 @@ def test_repeated_substrings(docs):
     assert kept.columns == docs.columns and rows(kept, "doc_id", "text") == sorted(left, key=repr)
 
 
+def test_repeated_substrings_around_a_hot_anchor(spark):
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, long = prose(120), prose(195)
+    texts = [prose(300) + line + prose(300) for _ in range(40)] + [prose(90) + long + prose(90) for _ in range(40)]
+    # Strings of 200 bytes and more that some of them share, over one start or several.
+    texts += [prose(150) + line + t + prose(150) for t in (prose(80), prose(81)) for _ in range(3)]
+    texts += [prose(50) + long + t + prose(60) for t in (prose(5), prose(25)) for _ in range(2)]
+    texts += [texts[0], texts[-1]]
+    data = [t.encode() for t in texts]
+    seen = Counter(t[i : i + 200] for t in data for i in range(len(t) - 199))
+    expected = []
+    for k, t in enumerate(data):
+        marks = np.zeros(len(t), dtype=bool)
+        for i in range(len(t) - 199):
+            if seen[t[i : i + 200]] > 1:
+                marks[i : i + 200] = True
+        expected.append((k, int(marks.sum()), hashlib.sha256(bytes(np.frombuffer(t, np.uint8)[~marks])).hexdigest()))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sum(n > 0 for _, n, _ in expected) > 10
+    for together in (3, substrings.TOGETHER):
+        assert rows(substrings.repeats(df, together=together), "doc_id", "n_removed", "kept_sha256") == sorted(expected, key=repr)
+    kinds = spark.createDataFrame([(1, i, 1) for i in range(4)] + [(2, i, 1) for i in range(3)], "_core long, _segment long, _times long")
+    assert [[r[0] for r in cores.collect()] for cores in substrings.open_cores(kinds, 3)] == [[2], [1]]
+
+
 def test_language(spark, docs):
     found = language.identify(docs).collect()
     assert len(found) == len(ROWS) and all(0 <= r["score"] <= 1 for r in found)
