@@ -15,11 +15,14 @@ Stirling numbers; beyond, customers are seated one after another, in growing gro
 Probabilities use only the numbers of customers and tables. They are averaged over
 `SAMPLES` states after `BURN_IN`. Discounts come from counts of counts.
 
-As a job: a survey counts tokens and finds the at most 128 words that are hot. Each
-block of documents then sends its (word, context, document) triples, sorted and
-packed, to the bucket of the word; hot words are spread over all buckets by context.
-A bucket thus holds all restaurants' customers of its words. Between global rounds
-only the restaurants' totals travel (`CLASSES` numbers, and two for each hot word).
+As a job: a survey counts tokens and words; a word with more than a quarter of a
+bucket is hot, and so is a pair of word and context. Each block of documents then sends
+its (word, context, document) triples, sorted and packed, to the bucket of the word; hot
+words are spread over all buckets by context, hot pairs by block. There is at most one
+of either for each `BUCKET_TOKENS` / 4 tokens. A bucket thus holds all restaurants'
+customers of its words, but for hot pairs, whose tables are drawn with the totals.
+Between global rounds only the restaurants' totals travel (`CLASSES` numbers, and two
+for each hot word or pair).
 Sums of log probabilities go back by block and document. Buckets are sized by tokens;
 the packed triples are checkpointed to the shared folder between rounds.
 
@@ -52,9 +55,10 @@ BLOCK_BYTES = 6_000_000
 #: Tokens that a bucket aims at.
 BUCKET_TOKENS = 4_000_000
 MAX_BUCKETS = 1 << 20
-#: A word with this share of a block's tokens may be hot; with half of it overall, it is.
-HOT_SHARE = 1 / 64
-MAX_HOT = 128
+#: A word, or a pair of word and context, with this share of a bucket's tokens is hot.
+HOT_SHARE = 1 / 4
+#: A block counts pairs that it holds so often; of any other pair it holds next to nothing.
+PAIR_LEAST = 32
 STRENGTH = 1.0
 EXACT = 64
 #: Beyond, so many shares of the seated customers are seated at once.
@@ -68,6 +72,11 @@ _END = np.uint64(xxh64_intdigest(b" "))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+NO_WORDS = np.zeros(0, dtype=np.uint64)
+#: Words and contexts.
+NO_PAIRS = (NO_WORDS, np.zeros(0, dtype=np.int64))
+
+
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) > REMEMBERED:
@@ -101,10 +110,21 @@ def contexts(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return (_mixed(before) >> np.uint64(64 - CLASS_BITS)).astype(np.int64)
 
 
-def buckets(hashes: np.ndarray, classes: np.ndarray, hot: np.ndarray, count: int) -> np.ndarray:
-    """The bucket of each token: by its word, or, of a hot word, by word and context."""
+def pair_codes(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """One number for a word in a context."""
+    return _mixed(hashes + classes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def buckets(
+    hashes: np.ndarray, classes: np.ndarray, hot: np.ndarray, count: int, pairs: tuple[np.ndarray, np.ndarray] = NO_PAIRS, block: int = 0
+) -> np.ndarray:
+    """The bucket of each token: by its word, of a hot word by word and context, of a hot pair by block too."""
     spread = np.isin(hashes, hot)
-    own = _mixed(hashes + np.where(spread, classes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), np.uint64(0)))
+    codes = pair_codes(hashes, classes)
+    own = np.where(spread, codes, _mixed(hashes))
+    if len(pairs[0]):
+        dealt = np.isin(codes, pair_codes(*pairs))
+        own[dealt] = _mixed(codes[dealt] + _mixed(np.full(1, block + 1, dtype=np.uint64) * _MIX))
     return ((own >> np.uint64(32)) % np.uint64(count)).astype(np.int64)
 
 
@@ -118,21 +138,25 @@ def _survey(batches: Batches) -> Batches:
             hashes, sizes = token_hashes(texts, known)
             train = ~np.array(rows.column(1).to_pylist(), dtype=bool)
             values, counts = np.unique(hashes, return_counts=True)
-            own = counts >= HOT_SHARE * len(hashes)
+            classes = contexts(hashes, sizes)
+            _, first, times = np.unique(pair_codes(hashes, classes), return_index=True, return_counts=True)
+            first, times = first[times >= PAIR_LEAST], times[times >= PAIR_LEAST]
+            n, m = len(values), len(first)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([None, None, *values[own].view(np.int64).tolist()], pa.int64()),
-                    pa.array([0, 1, *[2] * int(own.sum())], pa.int32()),
-                    pa.array([int(sizes.sum()), int(sizes[train].sum()), *counts[own].tolist()], pa.int64()),
+                    pa.array(np.concatenate([np.zeros(2, np.uint64), values, hashes[first]]).view(np.int64)),
+                    pa.array(np.concatenate([np.full(n + 2, -1), classes[first]]).astype(np.int32)),
+                    pa.array(np.repeat([0, 1, 2, 3], [1, 1, n, m]).astype(np.int32)),
+                    pa.array(np.concatenate([[sizes.sum(), sizes[train].sum()], counts, times]).astype(np.int64)),
                 ],
-                names=["_word", "_kind", "_n"],
+                names=["_word", "_class", "_kind", "_n"],
             )
 
 
 # --- packing triples ------------------------------------------------------------
 
 
-def _pack(batches: Batches, hot: np.ndarray, count: int) -> Batches:
+def _pack(batches: Batches, hot: np.ndarray, count: int, pairs: tuple[np.ndarray, np.ndarray]) -> Batches:
     known, packer = WordHashes(), zstandard.ZstdCompressor(level=1)
     block = TaskContext.get().partitionId() << 24
     for batch in batches:
@@ -141,13 +165,13 @@ def _pack(batches: Batches, hot: np.ndarray, count: int) -> Batches:
                 rows = part.slice(at, 1 << DOCUMENT_BITS)
                 hashes, sizes = token_hashes(rows.column(2).to_pylist(), known)
                 held = np.array(rows.column(1).to_pylist(), dtype=bool)
-                yield from _packed(block, rows.column(0), hashes, sizes, held, hot, count, packer)
+                yield from _packed(block, rows.column(0), hashes, sizes, held, hot, count, packer, pairs)
                 block += 1
 
 
-def _packed(block, keys, hashes, sizes, held, hot, count, packer) -> Iterator[pa.RecordBatch]:
+def _packed(block, keys, hashes, sizes, held, hot, count, packer, pairs=NO_PAIRS) -> Iterator[pa.RecordBatch]:
     classes = contexts(hashes, sizes)
-    bucket = buckets(hashes, classes, hot, count)
+    bucket = buckets(hashes, classes, hot, count, pairs, block)
     document = np.repeat(np.arange(len(sizes)), sizes)
     # A unit is a word, or the part of a hot word that goes to one bucket.
     unit = np.where(np.isin(hashes, hot), _mixed(hashes + bucket.astype(np.uint64)), hashes)
@@ -268,31 +292,77 @@ def discount_of(once: float, twice: float) -> float:
 
 
 class Totals:
-    """What all buckets have together: restaurants' customers and tables, the root's sums, hot words."""
+    """What all buckets have together: restaurants' customers and tables, the root's sums, hot words and pairs.
+
+    ``hot`` is sorted. The tables of hot pairs, and the root's tables of hot words, are one
+    each at first, and drawn by the totals ``before`` then.
+    """
 
-    def __init__(self, rows: dict[tuple[int, int], float]):
+    def __init__(
+        self,
+        rows: dict[tuple[int, int], float],
+        hot: np.ndarray = NO_WORDS,
+        pairs: tuple[np.ndarray, np.ndarray] = NO_PAIRS,
+        before: Totals | None = None,
+    ):
         get = rows.get
+        numbers = lambda kind, ids: np.array([get((kind, k), 0) for k in ids.view(np.int64).tolist()], dtype=np.int64)
+        words, classes = pairs
+        rng = np.random.default_rng([SEED, len(hot), len(words)])
         self.customers = np.array([get((0, c), 0.0) for c in range(CLASSES)])
         self.tables = np.array([get((1, c), 0.0) for c in range(CLASSES)])
-        self.hot_counts = {k: int(v) for (kind, k), v in rows.items() if kind == 2}
-        self.hot_customers = {k: int(v) for (kind, k), v in rows.items() if kind == 3}
-        self.vocabulary = int(get((4, 0), 0)) + sum(v > 0 for v in self.hot_counts.values())
+        self.hot_counts, self.hot_customers = numbers(2, hot), numbers(3, hot)
+        self.pair_customers = numbers(5, pair_codes(words, classes))
+        self.pair_tables = np.minimum(self.pair_customers, 1)
+        if before and len(words):
+            base = before.root_probability(before.hot_customers, before.hot_root)[np.searchsorted(hot, words)]
+            shared = np.bincount(classes, weights=before.pair_tables, minlength=CLASSES)
+            others = self.tables[classes] + shared[classes] - before.pair_tables
+            self.pair_tables = draw_tables(rng, self.pair_customers, base, others, before.discount, STRENGTH)
+        np.add.at(self.tables, classes, self.pair_tables)
+        np.add.at(self.hot_customers, np.searchsorted(hot, words), self.pair_tables)
+        self.vocabulary = int(get((4, 0), 0)) + int((self.hot_counts > 0).sum())
         self.tokens = int(self.customers.sum())
         self.root_customers = self.tables.sum()
-        self.root_tables = get((4, 1), 0.0)
         self.discount = discount_of(get((4, 2), 0.0), get((4, 3), 0.0))
         self.root_discount = discount_of(get((4, 4), 0.0), get((4, 5), 0.0))
+        self.root_tables = get((4, 1), 0.0)
+        self.hot_root = np.minimum(self.hot_customers, 1)
+        if before and len(hot):
+            others = self.root_tables + before.hot_root.sum() - before.hot_root
+            base = np.full(len(hot), 1 / (self.vocabulary + 1))
+            self.hot_root = draw_tables(rng, self.hot_customers, base, others, self.root_discount, STRENGTH)
+        self.root_tables += self.hot_root.sum()
+
+    def root_probability(self, customers: np.ndarray, tables: np.ndarray) -> np.ndarray:
+        """Of words with these customers and tables of the root."""
+        uniform = (STRENGTH + self.root_discount * self.root_tables) / (self.vocabulary + 1)
+        return (np.maximum(customers - self.root_discount * tables, 0) + uniform) / (STRENGTH + self.root_customers)
 
 
 class Seating:
     """One bucket's part of the seating; the rest of the restaurants is known by totals."""
 
-    def __init__(self, bucket: Bucket, hot: np.ndarray, totals: Totals | None, seed: int):
+    def __init__(
+        self, bucket: Bucket, hot: np.ndarray, totals: Totals | None, seed: int, pairs: tuple[np.ndarray, np.ndarray] = NO_PAIRS
+    ):
         self.bucket, self.totals = bucket, totals
         self.rng = np.random.default_rng([SEED, seed])
-        self.seen = np.flatnonzero(bucket.customers > 0)
-        self.tables = np.minimum(bucket.customers, 1)
+        # Hot words are in every bucket, and must be seated alike in all of them.
+        self.alike = np.random.default_rng([SEED, len(hot)])
+        # Hot pairs are seated with the totals; here is only a part of them.
+        self.codes = pair_codes(*pairs)
+        by = np.argsort(self.codes)
+        own = pair_codes(bucket.words[bucket.word], bucket.context)
+        self.shared = np.flatnonzero(np.isin(own, self.codes))
+        self.pair = by[np.searchsorted(self.codes, own[self.shared], sorter=by)]
+        self.customers = bucket.customers.copy()
+        self.customers[self.shared] = 0
+        self.seen = np.flatnonzero(self.customers > 0)
+        self.tables = np.minimum(self.customers, 1)
         self.hot = np.isin(bucket.words, hot)
+        self.place = np.searchsorted(hot, bucket.words[self.hot])
+        self.hot_root = totals.hot_root if totals else np.zeros(len(hot), dtype=np.int64)
         self.before = self._by_class()
         self.root = np.zeros(len(bucket.words), dtype=np.int64)
         self._reseat_root()
@@ -303,8 +373,7 @@ class Seating:
     def root_customers(self) -> np.ndarray:
         own = np.bincount(self.bucket.word, weights=self.tables, minlength=len(self.bucket.words)).astype(np.int64)
         if self.totals:
-            keys = self.bucket.words[self.hot].view(np.int64).tolist()
-            own[self.hot] = [self.totals.hot_customers.get(k, 0) for k in keys]
+            own[self.hot] = self.totals.hot_customers[self.place]
         return own
 
     def _reseat_root(self) -> None:
@@ -314,17 +383,15 @@ class Seating:
         others = np.maximum(self.totals.root_tables - self.root, 0)
         base = np.full(len(customers), 1 / (self.totals.vocabulary + 1))
         self.root = draw_tables(self.rng, customers, base, others, self.totals.root_discount, STRENGTH)
-        # Hot words are in every bucket, and must be seated alike in all of them.
-        hot = np.flatnonzero(self.hot)
-        for i in hot:
-            own = np.random.default_rng([SEED, int(self.bucket.words[i] >> np.uint64(1))])
-            self.root[[i]] = draw_tables(own, customers[[i]], base[[i]], others[[i]], self.totals.root_discount, STRENGTH)
+        if len(self.hot_root):
+            t = self.totals
+            base = np.full(len(self.hot_root), 1 / (t.vocabulary + 1))
+            others = np.maximum(t.root_tables - self.hot_root, 0)
+            self.hot_root = draw_tables(self.alike, t.hot_customers, base, others, t.root_discount, STRENGTH)
+            self.root[self.hot] = self.hot_root[self.place]
 
     def root_probability(self) -> np.ndarray:
-        t = self.totals
-        uniform = (STRENGTH + t.root_discount * t.root_tables) / (t.vocabulary + 1)
-        own = np.maximum(self.root_customers() - t.root_discount * self.root, 0)
-        return (own + uniform) / (STRENGTH + t.root_customers)
+        return self.totals.root_probability(self.root_customers(), self.root)
 
     def restaurant_tables(self) -> np.ndarray:
         """Tables of all restaurants: the last totals, moved by what changed here."""
@@ -335,7 +402,7 @@ class Seating:
         base = self.root_probability()[b.word[self.seen]]
         others = np.maximum(self.restaurant_tables()[b.context[self.seen]] - self.tables[self.seen], 0)
         self.tables[self.seen] = draw_tables(
-            self.rng, b.customers[self.seen], base, others, self.totals.discount, STRENGTH
+            self.rng, self.customers[self.seen], base, others, self.totals.discount, STRENGTH
         )
         self._reseat_root()
 
@@ -347,7 +414,9 @@ class Seating:
         """Of every (word, context) pair."""
         b, t = self.bucket, self.totals
         back = STRENGTH + t.discount * self.restaurant_tables()[b.context]
-        own = np.maximum(b.customers - t.discount * self.tables, 0)
+        customers, tables = self.customers.copy(), self.tables.copy()
+        customers[self.shared], tables[self.shared] = t.pair_customers[self.pair], t.pair_tables[self.pair]
+        own = np.maximum(customers - t.discount * tables, 0)
         return (own + back * self.root_probability()[b.word]) / (STRENGTH + t.customers[b.context])
 
     def report(self) -> dict[str, np.ndarray]:
@@ -357,32 +426,33 @@ class Seating:
         used = np.flatnonzero(customers)
         hot_words = b.words[self.hot].view(np.int64)
         own = np.bincount(b.word, weights=self.tables, minlength=len(b.words))
-        once = [(b.customers == n).sum() for n in (1, 2)]
+        once = [(self.customers == n).sum() for n in (1, 2)]
         root_once = [(own[cold] == n).sum() for n in (1, 2)]
         root_tables = self.root[cold].sum() if self.totals else (own[cold] > 0).sum()
         scalars = [(b.counts[cold] > 0).sum(), root_tables, *once, *root_once]
-        kinds = [0] * len(used) + [1] * len(used) + [2] * len(hot_words) + [3] * len(hot_words) + [4] * len(scalars)
-        ids = np.concatenate([used, used, hot_words, hot_words, np.arange(len(scalars))])
+        codes = self.codes[self.pair].view(np.int64)
+        kinds = np.repeat([0, 1, 2, 3, 4, 5], [len(used), len(used), len(hot_words), len(hot_words), len(scalars), len(codes)])
+        ids = np.concatenate([used, used, hot_words, hot_words, np.arange(len(scalars)), codes])
         values = np.concatenate(
-            [customers[used], self._by_class()[used], b.counts[self.hot], own[self.hot], scalars]
+            [customers[used], self._by_class()[used], b.counts[self.hot], own[self.hot], scalars, b.customers[self.shared]]
         )
         return {"kind": np.array(kinds, dtype=np.int32), "id": ids.astype(np.int64), "value": values.astype(float)}
 
 
-def _round(batches: Batches, hot: np.ndarray, totals: Totals | None) -> Batches:
+def _round(batches: Batches, hot: np.ndarray, totals: Totals | None, pairs: tuple[np.ndarray, np.ndarray]) -> Batches:
     """Totals of the first state, or of the state after the burn-in."""
     for table in grouped(batches, "_bucket"):
         bucket = table.column("_bucket")[0].as_py()
         if bucket < 0:
             continue
-        seating = Seating(Bucket(table), hot, totals, bucket)
+        seating = Seating(Bucket(table), hot, totals, bucket, pairs)
         if totals:
             for _ in range(BURN_IN):
                 seating.sweep()
         yield pa.RecordBatch.from_pydict(seating.report())
 
 
-def _scores(batches: Batches, hot: np.ndarray, first: Totals, totals: Totals) -> Batches:
+def _scores(batches: Batches, hot: np.ndarray, first: Totals, totals: Totals, pairs: tuple[np.ndarray, np.ndarray]) -> Batches:
     """Sums by block and document: known tokens, log10(count + 1), log10 of the probability."""
     for table in grouped(batches, "_bucket"):
         bucket = table.column("_bucket")[0].as_py()
@@ -390,7 +460,7 @@ def _scores(batches: Batches, hot: np.ndarray, first: Totals, totals: Totals) ->
             yield _documents(table)
             continue
         own = Bucket(table)
-        seating = Seating(own, hot, first, bucket)
+        seating = Seating(own, hot, first, bucket, pairs)
         for _ in range(BURN_IN):
             seating.sweep()
         seating.synced(totals)
@@ -399,7 +469,7 @@ def _scores(batches: Batches, hot: np.ndarray, first: Totals, totals: Totals) ->
             seating.sweep()
             mean += seating.probabilities() / SAMPLES
         counts = own.counts.copy()
-        counts[seating.hot] = [totals.hot_counts.get(k, 0) for k in own.words[seating.hot].view(np.int64).tolist()]
+        counts[seating.hot] = totals.hot_counts[seating.place]
         score = np.log10(mean)[own.of_entry]
         word = own.word[own.of_entry]
         base = np.log10(counts + 1.0)[word]
@@ -468,7 +538,9 @@ def _added(batches: Batches, totals: Totals) -> Batches:
         )
 
 
-def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2) -> DataFrame:
+def score_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, fold: int = 2, bucket_tokens: int = BUCKET_TOKENS
+) -> DataFrame:
     """Key, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     Rows whose crc32(key as text) leaves ``fold`` modulo ``folds`` are held out.
@@ -476,18 +548,23 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", fo
     narrow = docs.select(
         F.col(key).alias("_key"), (split_remainder(key, folds) == fold).alias("_held"), utf8(text).alias("_text")
     )
-    survey = in_arrow(narrow, _survey, "_word bigint, _kind int, _n bigint").groupBy("_kind", "_word").agg(F.sum("_n").alias("_n"))
-    # Two sums, and the most frequent words; a bounded list.
-    top = survey.orderBy("_kind", F.desc("_n"), "_word").limit(MAX_HOT + 2).collect()
+    survey = in_arrow(narrow, _survey, "_word bigint, _class int, _kind int, _n bigint")
+    survey = survey.groupBy("_kind", "_word", "_class").agg(F.sum("_n").alias("_n"))
+    # Two sums, and hot words and pairs: each stands for so many tokens.
+    top = survey.where((F.col("_kind") < 2) | (F.col("_n") >= max(1, HOT_SHARE * bucket_tokens))).collect()
     all_tokens = next((r["_n"] for r in top if r["_kind"] == 0), 0)
-    hot = np.array([r["_word"] for r in top if r["_kind"] == 2 and r["_n"] >= HOT_SHARE / 2 * all_tokens], dtype=np.int64)
-    hot = hot.view(np.uint64)
-    count = int(min(MAX_BUCKETS, max(1, -(-all_tokens // BUCKET_TOKENS))))
+    count = int(min(MAX_BUCKETS, max(1, -(-all_tokens // bucket_tokens))))
+    chosen = lambda kind, name: np.array([r[name] for r in top if r["_kind"] == kind and count > 1], dtype=np.int64)
+    hot = np.sort(chosen(2, "_word").view(np.uint64))
+    pairs = chosen(3, "_word").view(np.uint64), chosen(3, "_class")
+    # The same in every run, whatever the order of rows.
+    by = np.argsort(pair_codes(*pairs))
+    pairs = pairs[0][by], pairs[1][by]
     kind = docs.schema[key].dataType.simpleString()
     attributes = f"_keys array<{kind}>, _held array<boolean>, _sizes array<bigint>"
     packed = in_arrow(
         narrow,
-        lambda batches: _pack(batches, hot, count),
+        lambda batches: _pack(batches, hot, count, pairs),
         f"_bucket int, _block bigint, _units int, _entries int, _blob binary, {attributes}",
     )
     # Documents' own rows have no bucket and are dealt by block.
@@ -496,14 +573,14 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", fo
     dealt = dealt.sortWithinPartitions("_bucket", "_block").checkpoint()
 
     def totals_of(totals: Totals | None) -> Totals:
-        rows = in_arrow(dealt, lambda batches: _round(batches, hot, totals), "kind int, id bigint, value double")
-        return Totals({(r[0], r[1]): r[2] for r in rows.groupBy("kind", "id").agg(F.sum("value")).collect()})
+        rows = in_arrow(dealt, lambda batches: _round(batches, hot, totals, pairs), "kind int, id bigint, value double")
+        return Totals({(r[0], r[1]): r[2] for r in rows.groupBy("kind", "id").agg(F.sum("value")).collect()}, hot, pairs, totals)
 
     first = totals_of(None)
     totals = totals_of(first)
     sums = in_arrow(
         dealt,
-        lambda batches: _scores(batches, hot, first, totals),
+        lambda batches: _scores(batches, hot, first, totals, pairs),
         f"_block bigint, _document array<smallint>, _known array<int>, _base array<double>, _score array<double>, {attributes}",
     )
     sums = sums.repartition("_block").sortWithinPartitions("_block")

@@ -360,6 +360,30 @@ def test_pitman_yor(spark, docs):
     assert better["perplexity"] < 0.6 * better["base_perplexity"]
 
 
+def test_pitman_yor_spreads_every_word_and_pair_that_outgrows_a_bucket(spark):
+    # 40 words of 2.5 % each, none of them common in a block's eyes; one pair has a tenth of all tokens.
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice([f"w{i}" for i in range(40)] + ["on the"] * 5) for _ in range(300)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6).cache()
+    known, words, classes = pitmanyor.WordHashes(), [], []
+    for t in texts:
+        hashes, sizes = pitmanyor.token_hashes([t.encode()], known)
+        words.append(hashes)
+        classes.append(pitmanyor.contexts(hashes, sizes))
+    pair = (np.array([xxh64_intdigest(b"the")], np.uint64), pitmanyor.contexts(np.array([xxh64_intdigest(b"on"), 0], np.uint64), np.array([2]))[1:])
+    loads = np.bincount(
+        np.concatenate([pitmanyor.buckets(w, c, np.unique(np.concatenate(words)), 16, pair, i) for i, (w, c) in enumerate(zip(words, classes))])
+    )
+    assert loads.max() < 2 * loads.mean()
+    one, many = (pitmanyor.score_documents(df, bucket_tokens=n) for n in (1_000_000, 1000))
+    same = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    assert rows(one, *same) == rows(many, *same)
+    base = [[r["base_score"] for r in f.orderBy("doc_id").collect()] for f in (one, many)]
+    assert np.allclose(*base)
+    worse = [pitmanyor.perplexity(f).where("held_out").first()["perplexity"] for f in (one, many)]
+    assert abs(worse[1] / worse[0] - 1) < 0.03
+
+
 def test_tables_are_drawn_from_their_conditional():
     rng, c, base, others, d, strength = np.random.default_rng(0), 4, 0.3, 5.0, 0.6, 1.0
     weight = np.zeros(c + 1)
