@@ -8,16 +8,16 @@ of all ids unless weights are given; with weights, a queue that runs dry leaves
 share to the others in proportion. Only the very last window is padded.
 
 As a job: one pass tokenises and stores the ids, with each document's place in the
-queue of its task; task totals give the place in the whole queue. Round-robin over
-partitions of `WINDOWS` windows, on totals alone (at most `MAX_PARTITIONS` steps over
-`MAX_QUEUES` queues), says which stretch of every queue a partition gets and which
-deficits it starts with; documents are cut at these bounds, dealt out by partition
-(all of equal size, whatever the sources' sizes), and round-robin over windows goes on
-inside.
+queue of its task; task totals give the place in the whole queue. A queue's cumulative
+share is its weight times a common virtual time, up to its total; the times at which
+partitions of `WINDOWS` windows begin, on totals alone, say which stretch of every
+queue a partition gets and which deficits it starts with. That takes a few numbers for
+each partition and each queue, however many sources there are. Documents are cut at
+these bounds, dealt out by partition (all of equal size, whatever the sources' sizes),
+and round-robin over windows goes on inside.
 
 Defined cases: a missing or empty text is its end id alone; a missing source is a
-queue of its own; with more than `MAX_QUEUES` sources they share queues by hash;
-repeated rows are packed each for itself; an empty table gives no pieces; extra
+queue of its own; a source with weight 0 comes last; repeated rows are packed each for itself; an empty table gives no pieces; extra
 columns are ignored.
 """
 
@@ -33,14 +33,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bugtide.llm.tools import Batches, grouped, in_arrow, pieces, ranges, utf8
+from bugtide.llm.tools import Batches, grouped, in_arrow, pieces, ranges, run_starts, utf8
 from bugtide.storage import written
 
 WINDOW = 4096
 #: Windows of a partition, at least.
 WINDOWS = 256
 MAX_PARTITIONS = 65_536
-MAX_QUEUES = 64
+#: So many names of queues stand in the plan; more are joined.
+NAMED_QUEUES = 64
+#: Queues by partitions whose bounds are looked for at once.
+BOUNDS = 1_000_000
 END = 2
 #: Words whose ids a worker remembers.
 REMEMBERED = 500_000
@@ -195,6 +198,48 @@ def rounds(sizes: list[int], weights: np.ndarray, totals: np.ndarray, deficit: n
     return np.array(bounds), np.array(deficits).reshape(len(sizes), len(totals))
 
 
+class Schedule:
+    """Where partitions begin in every queue, at any number of queues.
+
+    At virtual time x, queue q has given ``weight * x`` ids, rounded, up to its total.
+    ``at`` are numbers of ids given by all queues together. The numbers between two
+    neighbouring times go to the first queues.
+    """
+
+    def __init__(self, weights: np.ndarray, totals: np.ndarray, at: list[int]):
+        self.totals = totals
+        self.weights = np.maximum(weights, (weights.max(initial=0) or 1) * 1e-12)
+        end = float(((totals + 1) / self.weights).max(initial=0))
+        goal = np.array(at, dtype=np.int64)
+        self.low, self.high = np.zeros(len(goal)), np.full(len(goal), end)
+        self.first = np.zeros(len(goal), dtype=np.int64)
+        for a in range(0, len(goal), max(1, BOUNDS // max(1, len(totals)))):
+            own = slice(a, a + max(1, BOUNDS // max(1, len(totals))))
+            low, high = self.low[own], self.high[own]
+            while True:
+                middle = (low + high) / 2
+                live = (middle > low) & (middle < high)
+                if not live.any():
+                    break
+                more = self._given(middle[:, None]).sum(axis=1) > goal[own]
+                high[live & more], low[live & ~more] = middle[live & more], middle[live & ~more]
+            before = self._given(low[:, None])
+            gains = np.cumsum(self._given(high[:, None]) - before, axis=1)
+            self.first[own] = (gains <= (goal[own] - before.sum(axis=1))[:, None]).sum(axis=1)
+
+    def _given(self, time: np.ndarray, queue: int | slice = slice(None)) -> np.ndarray:
+        return np.clip(np.floor(self.weights[queue] * time + 0.5).astype(np.int64), 0, self.totals[queue])
+
+    def bounds(self, queue: int) -> np.ndarray:
+        """What a queue has given before every partition."""
+        return self._given(np.where(queue < self.first, self.high, self.low), queue)
+
+    def deficits(self, part: int, queues: np.ndarray) -> np.ndarray:
+        """What is due to the queues, and not given, before a partition."""
+        given = np.where(queues < self.first[part], self._given(self.high[part])[queues], self._given(self.low[part])[queues])
+        return np.minimum(self.weights[queues] * self.low[part], self.totals[queues]) - given
+
+
 def queue_of(source: str) -> Column:
     """The source as text; a missing one has a name that no source has."""
     return F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
@@ -237,22 +282,27 @@ def tokenised(docs: DataFrame, tokenizer: str, key: str, text: str, queue: Colum
     return in_arrow(narrow, work, f"_key {kind}, _queue string, _part int, _place bigint, _n bigint, _ids binary")
 
 
-def _cut(batches: Batches, queues: dict[str, int], bounds: np.ndarray, wide: int) -> Batches:
+def _cut(batches: Batches, schedule: Schedule, wide: int) -> Batches:
     """Documents cut where a partition's stretch of their queue ends."""
     for batch in batches:
         get = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: E731, B023
-        queue = np.fromiter(map(queues.__getitem__, get("_queue").to_pylist()), dtype=np.int64, count=batch.num_rows)
+        queue = get("_queue").to_numpy().astype(np.int64)
         first = get("_place").to_numpy() + get("_before").to_numpy()
         size = get("_n").to_numpy()
-        low, high = np.zeros_like(queue), np.zeros_like(queue)
-        for q in np.unique(queue):
-            own = queue == q
-            low[own] = np.searchsorted(bounds[:, q], first[own], side="right") - 1
-            high[own] = np.searchsorted(bounds[:, q], first[own] + size[own] - 1, side="right") - 1
-        row = np.repeat(np.arange(batch.num_rows), high - low + 1)
-        part = ranges(low, high - low + 1)
-        begin = np.maximum(first[row], bounds[part, queue[row]])
-        past = np.minimum(first[row] + size[row], bounds[part + 1, queue[row]])
+        by = np.argsort(queue, kind="stable")
+        found = [np.zeros((4, 0), dtype=np.int64)]
+        for own in np.split(by, run_starts(queue[by])[1:]) if len(by) else []:
+            bounds = schedule.bounds(queue[own[0]])
+            # Partitions that get nothing of the queue hold no piece.
+            parts = np.flatnonzero(np.diff(bounds))
+            ends = bounds[parts + 1]
+            low = np.searchsorted(ends, first[own], side="right")
+            count = np.searchsorted(ends, first[own] + size[own] - 1, side="right") - low + 1
+            part = parts[ranges(low, count)]
+            found.append(np.stack([np.repeat(own, count), part, bounds[part], bounds[part + 1]]))
+        row, part, lower, upper = np.concatenate(found, axis=1)
+        begin = np.maximum(first[row], lower)
+        past = np.minimum(first[row] + size[row], upper)
         start = begin - first[row]
         texts = get("_ids").to_pylist()
         spans = zip(row.tolist(), (wide * start).tolist(), (wide * (start + past - begin)).tolist(), strict=True)
@@ -261,7 +311,7 @@ def _cut(batches: Batches, queues: dict[str, int], bounds: np.ndarray, wide: int
             [
                 pa.array(part.astype(np.int32)),
                 pa.array(queue[row].astype(np.int32)),
-                pa.array(begin - bounds[part, queue[row]]),
+                pa.array(begin - lower),
                 batch.column(0).take(pa.array(row)),
                 pa.array(start),
                 pa.array(size[row]),
@@ -271,22 +321,22 @@ def _cut(batches: Batches, queues: dict[str, int], bounds: np.ndarray, wide: int
         )
 
 
-def _fill(
-    rows: pa.Table, window: int, windows: int, weights: np.ndarray, deficits: np.ndarray, bounds: np.ndarray, wide: int
-) -> pa.RecordBatch:
+def _fill(rows: pa.Table, window: int, windows: int, schedule: Schedule, wide: int) -> pa.RecordBatch:
     """The pieces of one partition, rows sorted by queue and place."""
     part = rows.column("_partition")[0].as_py()
-    totals = bounds[part + 1] - bounds[part]
+    held, queue = np.unique(rows.column("_queue").to_numpy(), return_inverse=True)
+    texts = rows.column("ids").to_pylist()
+    lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) // wide
+    totals = np.bincount(queue, weights=lengths, minlength=len(held)).astype(np.int64)
     whole = int(totals.sum())
     sizes = [min(window, whole - at) for at in range(0, whole, window)]
-    own, _ = rounds(sizes, weights, totals, deficits[part])
+    own, _ = rounds(sizes, schedule.weights[held], totals, schedule.deficits(part, held))
     takes = np.diff(own, axis=0)
     inside = np.cumsum(takes, axis=1) - takes
-    queue, at = rows.column("_queue").to_numpy(), rows.column("_at").to_numpy()
+    at = rows.column("_at").to_numpy()
     start = rows.column("start").to_numpy()
-    texts = rows.column("ids").to_pylist()
     found = []
-    for q in np.unique(queue):
+    for q in range(len(held)):
         mine = np.flatnonzero(queue == q)
         cuts = np.unique(np.concatenate([at[mine], own[:, q]]))
         begin, size = cuts[:-1], np.diff(cuts)
@@ -326,12 +376,8 @@ def pack(
     ``ids`` are little-endian 32-bit numbers. ``weights`` are target proportions by
     source; sources that they leave out get the smallest weight.
     """
-    names = docs.select(queue_of(source).alias("_queue"))
-    queue = queue_of(source)
-    if names.distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        queue = F.concat(F.lit("#"), F.pmod(F.xxhash64(queue), F.lit(MAX_QUEUES)).cast("string"))
     wide = id_bytes(tokenizer, end)
-    stored = written(tokenised(docs, tokenizer, key, text, queue, end, wide))
+    stored = written(tokenised(docs, tokenizer, key, text, queue_of(source), end, wide))
     parts = stored.groupBy("_queue", "_part").agg(F.sum("_n").alias("_all"))
     before = Window.partitionBy("_queue").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = written(
@@ -350,19 +396,24 @@ def pack(
     whole = int(totals.sum())
     windows = max(WINDOWS, -(-whole // (window * MAX_PARTITIONS)))
     step = window * windows
-    sizes = [min(step, whole - at) for at in range(0, whole, step)]
-    bounds, deficits = rounds(sizes, wanted, totals, np.zeros(len(totals)))
+    schedule = Schedule(wanted, totals, [*range(0, whole, step), whole])
 
     def cut(batches: Batches) -> Batches:
-        return _cut(batches, queues, bounds, wide)
+        return _cut(batches, schedule, wide)
 
     def fill(batches: Batches) -> Batches:
         for rows in grouped(batches, "_partition"):
-            yield _fill(rows, window, windows, wanted, deficits, bounds, wide)
+            yield _fill(rows, window, windows, schedule, wide)
 
     kind = stored.schema["_key"].dataType.simpleString()
-    parts = F.broadcast(parts) if parts.count() <= SENT_ROWS else parts
-    placed = stored.join(parts, ["_queue", "_part"]).select("_key", "_queue", "_place", "_before", "_n", "_ids")
+    text_of = lambda q: q[1:] if q.startswith("=") else None
+    names = docs.sparkSession.createDataFrame(
+        [(q, i, text_of(q)) for q, i in queues.items()], "_queue string, _q int, queue string"
+    )
+    known = parts.join(names, "_queue")
+    known = F.broadcast(known) if parts.count() <= SENT_ROWS else known
+    placed = stored.join(known, ["_queue", "_part"])
+    placed = placed.select("_key", F.col("_q").alias("_queue"), "_place", "_before", "_n", "_ids")
     dealt = in_arrow(
         placed, cut, f"_partition int, _queue int, _at bigint, _key {kind}, start bigint, doc_tokens bigint, ids binary"
     )
@@ -370,7 +421,10 @@ def pack(
     filled = in_arrow(
         dealt, fill, f"_key {kind}, _queue int, start bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
     )
-    named = F.array(*(F.lit(q[1:] if q.startswith("=") else q or None) for q in queues)) if queues else F.array(F.lit(""))
+    if len(queues) > NAMED_QUEUES:
+        found = filled.join(names.select(F.col("_q").alias("_queue"), "queue"), "_queue")
+        return found.select(F.col("_key").alias(key), "queue", *filled.columns[2:])
+    named = F.array(*(F.lit(text_of(q)) for q in queues)) if queues else F.array(F.lit(""))
     return filled.select(
         F.col("_key").alias(key), F.get(named, F.col("_queue")).alias("queue"), *filled.columns[2:]
     )

@@ -325,6 +325,37 @@ def test_round_robin_keeps_proportions_and_carries_deficits():
     assert np.abs(bounds - due).max() < 3
 
 
+def test_packing_keeps_a_queue_for_each_of_many_sources(spark):
+    rng = random.Random(6)
+    texts = [(i, " ".join(rng.choices(["tree", "ship", "river"], k=60)), f"s{i % 100}") for i in range(1000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(5)
+    weights = {f"s{i}": 3.0 if i < 10 else 1.0 for i in range(100)}
+    packed = packing.pack(df, queries.tokenizer_path(), weights=weights, window=512).collect()
+    assert {(p["doc_id"], p["queue"]) for p in packed} == {(i, s) for i, _, s in texts}
+    held = defaultdict(Counter)
+    for p in packed:
+        held[p["sequence_id"]][p["queue"]] += len(p["ids"]) // 4
+    assert sorted(held) == list(range(len(held))) and {sum(c.values()) for s, c in held.items() if s < len(held) - 1} == {512}
+    # Until the heavy sources are empty, every window has each source at its share.
+    for s in range(30):
+        for q, w in weights.items():
+            assert abs(held[s][q] - 512 * w / 120) < 5
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_schedule_of_partitions(weighted):
+    totals = np.array([7000, 2500, 400, 3, 97, 97])
+    weights = np.array([1.0, 1, 5, 0, 2, 2]) if weighted else totals.astype(float)
+    at = [*range(0, int(totals.sum()), 50), int(totals.sum())]
+    schedule = packing.Schedule(weights, totals, at)
+    bounds = np.stack([schedule.bounds(q) for q in range(len(totals))], axis=1)
+    assert (bounds.sum(axis=1) == at).all() and (np.diff(bounds, axis=0) >= 0).all() and (bounds[-1] == totals).all()
+    queues = np.arange(len(totals))
+    assert max(np.abs(schedule.deficits(p, queues)).max() for p in range(len(at))) < 1.01
+    if not weighted:
+        assert np.abs(bounds - np.array(at)[:, None] * totals / totals.sum()).max() <= (1 + len(totals)) / 2
+
+
 def test_word_tokenizer_equals_the_tokenizer():
     from tokenizers import Tokenizer
 
