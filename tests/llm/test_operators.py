@@ -142,6 +142,19 @@ def test_decontamination(docs, bench, block_words):
     assert {r["doc_id"]: r["text"] for r in kept.collect() if r["doc_id"] in clean} == {r[0]: r[1] for r in ROWS if r[0] in clean}
 
 
+def test_decontamination_in_several_passes(spark, docs, bench):
+    whole, parts = (
+        decontamination.leak_digest(decontamination.find_leaks(docs, bench, **sizes)) for sizes in ({}, {"block_words": 8, "pass_words": 20})
+    )
+    assert rows(whole, *whole.columns) == rows(parts, *parts.columns)
+    left = [decontamination.remove_leaks(docs, bench, **sizes) for sizes in ({}, {"block_words": 8, "pass_words": 20})]
+    assert rows(left[0], *left[0].columns) == rows(left[1], *left[1].columns)
+    # A text without blanks has words too.
+    long = spark.createDataFrame([(1, "-".join(f"w{i}" for i in range(100)))], "item_id long, text string")
+    blocks = list(decontamination._blocks(long, "item_id", "text", 10, 30))
+    assert max(b.n_words for b in blocks) <= 39 and sum(len(b.by_length[10][0]) for b in blocks) == 91
+
+
 def test_fm_index_finds_all_occurrences():
     rng = np.random.default_rng(3)
     sequence = rng.integers(0, 5, 3000)
