@@ -29,4 +29,70 @@ GROUP BY n, license
 HAVING count(*) / any_value(n_template)::DOUBLE >= 0.8
 """
 
-ORACLE = {"op10_license_scan": LICENSES}
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+)
+
+DIVERGENCE = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source FROM documents
+),
+words AS (SELECT doc, lang, source, unnest({_TERMS}) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS in_lang FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (SELECT lang, count(*) AS v, sum(in_lang) AS n_lang FROM kept GROUP BY lang),
+counted AS (
+  SELECT g.lang, g.source, k.term, k.in_lang, coalesce(c.n, 0) AS n
+  FROM groups g JOIN kept k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL) c USING (lang, source, term)
+),
+totals AS (SELECT lang, source, sum(n) AS n_group FROM counted GROUP BY ALL),
+priced AS (
+  SELECT lang, source, term, n,
+         1 + (1000000000::HUGEINT * (n + 5)) // (n_group + 5 * v)::HUGEINT AS p,
+         1 + (1000000000::HUGEINT * (in_lang + 5)) // (n_lang + 5 * v)::HUGEINT AS q
+  FROM counted JOIN totals USING (lang, source) JOIN sizes USING (lang)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM priced x JOIN priced y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+),
+terms AS (SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM priced WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM terms
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+_MARKED = r"(?:(<)(\\*)(s>|/s>|<SYS>>|</SYS>>)|(\[)(\\*)(INST\]|/INST\]))"
+
+CHAT = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + length('<s>' || '</s>') + 2
+           + length(regexp_replace(text, '{_MARKED}', '\1\4\2\5\\\3\6', 'g')))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLE = {
+    "op10_license_scan": LICENSES,
+    "op12_source_divergence": DIVERGENCE,
+    "op13_chat_formatting": CHAT,
+}
