@@ -34,10 +34,14 @@ def tracker_raw(spark: SparkSession, sf_dir: str, text: bool = True, times: bool
     """One report per order, in canonical tracker columns.
 
     ``text`` and ``times`` can be left out (as nulls) by queries that use
-    neither, which then need no join.
+    neither, which then need no join. Where the orders come in fewer scan tasks than there
+    are cores, their narrow rows are dealt out before the texts are joined to them, as
+    all work on a text is done where it is joined.
     """
     k = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    if text:
+        orders = spread(orders, "o_orderkey")
     title = body = F.lit(None).cast("string")
     closed = F.lit(None).cast("timestamp_ntz")
     if times:
@@ -130,16 +134,49 @@ def tracker_folders(spark: SparkSession, sf_dir: str) -> str:
     tables.write_csv_by_project(other.where(~plain), f"{root}/written/other")
     tables.write_csv_by_project(lists, f"{root}/written/lists")
 
-    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
-    files = path_of(root).getFileSystem(conf)
     for kind, ending in (("plain", "_bugs_{}"), ("other", "_BUGS_{}"), ("lists", "_bugs-combined")):
-        for i, found in enumerate(files.globStatus(path_of(f"{root}/written/{kind}/*/*.csv"))):
-            project = found.getPath().getParent().getName().partition("=")[2]
-            files.mkdirs(path_of(f"{root}/trackers/{project}"))
-            files.rename(found.getPath(), path_of(f"{root}/trackers/{project}/{project}{ending.format(i)}.csv"))
+        _file_by_project(spark, f"{root}/written/{kind}/*/*.csv", f"{root}/trackers", ending)
+    return f"{root}/trackers"
+
+
+def damaged_folders(spark: SparkSession, sf_dir: str) -> str:
+    """One report per order as lines of text, a file for each project, some lines not well formed.
+
+    Every 97th report has a field too many; two projects have a line that leaves a quote open.
+    """
+    k = F.col("o_orderkey")
+    name = F.concat(F.lit('"order, '), k.cast("string"), F.lit('"'))
+    line = F.concat_ws(
+        ",", k.cast("string"), name, F.col("o_orderpriority"), F.lit("Fixed"), F.lit("2024-01-01,2024-01-02"),
+        F.when(k.isin(10, 11), '"open').when(k % 97 == 0, "b,one more").otherwise("b"),
+    )
+    reports = table(spark, sf_dir, "orders").select(by_remainder(k, FILED).alias("project"), k.alias("place"), line.alias("value"))
+    heads = spark.createDataFrame(
+        [(p, -1, "Issue id,Summary,Priority,Resolution,Created,Resolved,Description") for p in FILED],
+        "project string, place long, value string",
+    )
+    lists = spark.createDataFrame([(p, "issue_id,duplicate_ids") for p in FILED], "project string, value string")
+    root = scratch_folder(spark)
+    ordered = reports.unionByName(heads).repartition("project").sortWithinPartitions("project", "place")
+    for kind, rows, ending in (("bugs", ordered.select("project", "value"), "_bugs"), ("lists", lists, "_bugs-combined")):
+        rows.write.partitionBy("project").text(f"{root}/written/{kind}")
+        _file_by_project(spark, f"{root}/written/{kind}/*/*.txt", f"{root}/trackers", ending)
     return f"{root}/trackers"
 
 
+FILED = ["Security", "Derby", "iOS", "Tomcat"]
+
+
+def _file_by_project(spark: SparkSession, written: str, root: str, ending: str) -> None:
+    """Move the files that a job wrote by project to ``<root>/<project>/<project><ending>.csv``."""
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    files = path_of(root).getFileSystem(conf)
+    for i, found in enumerate(files.globStatus(path_of(written))):
+        project = found.getPath().getParent().getName().partition("=")[2]
+        files.mkdirs(path_of(f"{root}/{project}"))
+        files.rename(found.getPath(), path_of(f"{root}/{project}/{project}{ending.format(i)}.csv"))
+
+
 def stored_splits(spark: SparkSession, sf_dir: str) -> str:
     """The folder of the labelled reports, stored by split."""
     folder = scratch_folder(spark)

@@ -1,7 +1,8 @@
 """Plain SQL statements of the registered queries, for an independent engine.
 
 They are written from the rules, not from the Spark code: windows and unbounded
-pattern repeats are fine here, because this side only checks small tables.
+pattern repeats are fine here, because this side only checks small tables. The fixed values
+come from the same module as the code's; ``tests/test_vocabulary.py`` states each of them anew.
 """
 
 from __future__ import annotations
@@ -206,6 +207,8 @@ WITH_TEAM = f"{LABELLED}, truth AS (SELECT * FROM labelled WHERE team <> 'unknow
 TRUTH_LABELS = f"""{UNIFIED},
 truth AS (SELECT * FROM (SELECT id, source, report_key, {PRIORITY} AS priority, {TEAM} AS team FROM unified)
           WHERE team <> 'unknown')"""
+TRUTH_RAW = f"""{UNIFIED},
+truth AS (SELECT * FROM (SELECT *, {PRIORITY} AS priority, {TEAM} AS team FROM unified) WHERE team <> 'unknown')"""
 ANY_TEAM = f"""{UNIFIED},
 labels_only AS (SELECT id, source, report_key, {PRIORITY} AS priority, {TEAM} AS team FROM unified)"""
 
@@ -333,6 +336,19 @@ ORACLE["ingest_statistics"] = with_(
   JOIN (SELECT project, count(*) AS listed_ids FROM listed GROUP BY project) USING (project)""",
 )
 
+ORACLE["ingest_rejected"] = f"""
+WITH filed AS (
+  SELECT {_by_remainder("o_orderkey", ["Security", "Derby", "iOS", "Tomcat"])} AS project, o_orderkey AS k,
+    o_orderkey || ',"order, ' || o_orderkey || '",' || o_orderpriority || ',Fixed,2024-01-01,2024-01-02,' ||
+      CASE WHEN o_orderkey IN (10, 11) THEN '"open' WHEN o_orderkey % 97 = 0 THEN 'b,one more' ELSE 'b' END AS record,
+    o_orderkey IN (10, 11) OR o_orderkey % 97 = 0 AS bad
+  FROM orders
+)
+SELECT project, 'bugs' AS kind, record, before_rows, rejected_records
+FROM filed JOIN (SELECT project, count(*) FILTER (NOT bad) AS before_rows, count(*) FILTER (bad) AS rejected_records
+                 FROM filed GROUP BY project) USING (project)
+WHERE bad"""
+
 # --- text --------------------------------------------------------------------
 
 ORACLE["clean_html"] = f"""
@@ -588,8 +604,23 @@ def _pivot(row: str, table: str, column: str = "priority", domain: list[str] = v
 
 ORACLE["source_priority_pivot"] = with_(ANY_TEAM, _pivot("source", "labels_only"))
 _BUGZILLA_LABELS = f"{BUGZILLA_RAW}, {BUGZILLA}, labels_only AS (SELECT *, {PRIORITY} AS priority FROM bugzilla)"
+ORACLE["profile_shape"] = with_(TRUTH_LABELS, "SELECT count(*) AS rows, CAST(11 AS BIGINT) AS columns FROM truth")
+ORACLE["profile_source_counts"] = with_(TRUTH_LABELS, "SELECT source, count(*) AS rows FROM truth GROUP BY source")
+ORACLE["profile_teams"] = with_(TRUTH_LABELS, "SELECT team, count(*) AS rows FROM truth GROUP BY team")
+ORACLE["profile_priorities"] = with_(
+    f"{TRUTH_LABELS}, {DOMAIN}",
+    "SELECT p AS priority, (SELECT count(*) FROM truth WHERE priority = p) AS rows FROM domain",
+)
 ORACLE["profile_sources"] = with_(TRUTH_LABELS, _pivot("source", "truth"))
 ORACLE["profile_splits"] = ORACLE["split_report"]
+ORACLE["profile_duplicates"] = with_(
+    WITH_TEAM,
+    f"""SELECT sum(n)::BIGINT AS rows, count(*) AS distinct_rows, sum(n - 1)::BIGINT AS surplus,
+  coalesce(sum(n) FILTER (n > 1), 0)::BIGINT AS members
+  FROM (SELECT count(*) AS n FROM truth GROUP BY {', '.join([*v.PROCESSED_COLUMNS, 'report_key'])})""",
+)
+ORACLE["profile_duplicate_groups"] = """
+SELECT source, lang AS team, text AS body, count(*) AS copies FROM documents GROUP BY ALL HAVING count(*) > 1"""
 ORACLE["profile_durations"] = with_(
     WITH_TEAM,
     """SELECT source, count(*) AS reports, median(resolution_time_days) AS median_days,
@@ -622,11 +653,11 @@ ORACLE["unknown_rate"] = with_(
 )
 
 
-def _distribution(column: str, domain: list[str]) -> str:
+def _distribution(column: str, domain: list[str], ctes: str = ANY_TEAM, table: str = "labels_only") -> str:
     cells = ", ".join(
         f"round(100.0::DOUBLE * count(*) FILTER ({column} = '{x}') / count(*), 1) AS {x}" for x in domain
     )
-    return with_(ANY_TEAM, f"SELECT source, {cells} FROM labels_only GROUP BY source")
+    return with_(ctes, f"SELECT source, {cells} FROM {table} GROUP BY source")
 
 
 ORACLE["priority_distribution_by_source"] = _distribution("priority", v.PRIORITIES)
@@ -643,6 +674,25 @@ ORACLE["text_length_stats"] = with_(
     ),
 )
 ORACLE["profile_word_counts"] = ORACLE["text_length_stats"]
+ORACLE["audit_severity_mapping"] = with_(
+    TRUTH_RAW,
+    """SELECT raw_severity, string_agg(DISTINCT priority, ',' ORDER BY priority) AS reached,
+  count(DISTINCT priority) AS n_values, count(DISTINCT priority) = 1 AS is_single
+  FROM truth WHERE source = 'bugzilla' GROUP BY raw_severity""",
+)
+ORACLE["audit_teams"] = ORACLE["profile_teams"]
+ORACLE["audit_team_coverage"] = with_(
+    TRUTH_LABELS,
+    "SELECT source, count(*) AS reports, count(*) AS covered, 100.0::DOUBLE AS covered_pct FROM truth GROUP BY source",
+)
+ORACLE["audit_hedging"] = with_(
+    WITH_TEAM,
+    f"""SELECT phrase, (SELECT count(*) FROM truth WHERE source = 'bugzilla' AND priority IN ('P0', 'P1')
+    AND contains(lower(title || ' ' || body), phrase)) AS reports
+  FROM (SELECT unnest({_list(v.HEDGING_PHRASES)}) AS phrase)""",
+)
+ORACLE["audit_priority_distribution"] = _distribution("priority", v.PRIORITIES, TRUTH_LABELS, "truth")
+ORACLE["audit_team_distribution"] = _distribution("team", [*v.TEAMS, v.UNKNOWN_TEAM], TRUTH_LABELS, "truth")
 
 
 def _histogram(ctes: str, table: str, column: str) -> str:
@@ -669,6 +719,13 @@ ORACLE["resolution_histogram"] = _histogram(
     "timed",
     "resolution_time_days",
 )
+ORACLE["profile_histogram_title_words"] = ORACLE["title_length_histogram"]
+ORACLE["profile_histogram_body_words"] = ORACLE["body_length_histogram"]
+ORACLE["profile_histogram_resolution_time_days"] = _histogram(
+    f"{WITH_TEAM}, timed AS (SELECT resolution_time_days FROM truth WHERE resolution_time_days >= 0)",
+    "timed",
+    "resolution_time_days",
+)
 _HEDGED = f"""{bugzilla_raw([" appears to", " not sure", " might", " mighty", " seems", ""])}, {BUGZILLA},
 urgent AS (
   SELECT lower(title || ' ' || body) AS text FROM bugzilla WHERE {PRIORITY} IN ('P0', 'P1')
@@ -684,15 +741,14 @@ SELECT sum(n)::BIGINT AS rows, count(*) AS distinct_rows, sum(n - 1)::BIGINT AS
 FROM (SELECT text, count(*) AS n FROM documents GROUP BY text)"""
 ORACLE["duplicate_members"] = """
 SELECT text, lang, source FROM documents QUALIFY count(*) OVER (PARTITION BY text, lang, source) > 1"""
-ORACLE["label_quality_checks"] = with_(
-    ANY_TEAM,
-    """SELECT 'unknown_team_rate' AS "check", round(avg(CASE WHEN team = 'unknown' THEN 1.0::DOUBLE ELSE 0 END) * 100, 1)
-    AS value, avg(CASE WHEN team = 'unknown' THEN 1.0::DOUBLE ELSE 0 END) * 100 < 40 AS passed FROM labels_only
+_CHECKS = """SELECT 'unknown_team_rate' AS "check", round(avg(CASE WHEN team = 'unknown' THEN 1.0::DOUBLE ELSE 0 END) * 100, 1)
+    AS value, avg(CASE WHEN team = 'unknown' THEN 1.0::DOUBLE ELSE 0 END) * 100 < 40 AS passed FROM {table}
   UNION ALL SELECT 'priorities_represented', count(DISTINCT priority)::DOUBLE, count(DISTINCT priority) = 5
-  FROM labels_only
+  FROM {table}
   UNION ALL SELECT 'null_priorities', count(*) FILTER (priority IS NULL)::DOUBLE,
-    count(*) FILTER (priority IS NULL) = 0 FROM labels_only""",
-)
+    count(*) FILTER (priority IS NULL) = 0 FROM {table}"""
+ORACLE["label_quality_checks"] = with_(ANY_TEAM, _CHECKS.format(table="labels_only"))
+ORACLE["audit_checks"] = with_(TRUTH_LABELS, _CHECKS.format(table="truth"))
 ORACLE["distinct_resolutions"] = with_(TRACKER_RAW, "SELECT DISTINCT resolution FROM tracker_raw")
 ORACLE["table_shape"] = with_(UNIFIED, "SELECT count(*) AS rows, CAST(9 AS BIGINT) AS columns FROM unified")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,6 +114,15 @@ def ingest_statistics(spark, sf_dir):
     )
 
 
+@query
+def ingest_rejected(spark, sf_dir):
+    """The records set aside, and how many of their file's were read."""
+    found = ingest.ingest_trackers(spark, adapters.damaged_folders(spark, sf_dir))
+    kept = found.statistics.select("pair", "before_rows", "rejected_records")
+    rejected = found.rejected.join(kept, "pair")
+    return rejected.select(F.substring_index("pair", "/", 1).alias("project"), "kind", "record", "before_rows", "rejected_records")
+
+
 # --- text --------------------------------------------------------------------
 
 
@@ -241,15 +251,20 @@ def escalation_pairs(spark, sf_dir):
 # --- split and samples -------------------------------------------------------
 
 
+def _split_labels(spark, sf_dir):
+    """The labels, computed once, and their splits."""
+    stored = written(adapters.with_team(spark, sf_dir).select("report_key", "priority"))
+    return split.stratified_split(stored)
+
+
 @query
 def stratified_split(spark, sf_dir):
-    rows = split.stratified_split(adapters.with_team(spark, sf_dir))
-    return rows.select("report_key", "priority", "split")
+    return _split_labels(spark, sf_dir).select("report_key", "priority", "split")
 
 
 @query
 def split_report(spark, sf_dir):
-    return profile.split_report(split.stratified_split(adapters.with_team(spark, sf_dir)))
+    return profile.split_report(_split_labels(spark, sf_dir))
 
 
 @query
@@ -309,16 +324,17 @@ def training_sample(spark, sf_dir):
 def tokenise_mask(spark, sf_dir):
     rows = tokens.tokenise(adapters.with_team(spark, sf_dir))
 
-    def total(name, keep):
-        return F.size(F.filter(name, keep)).cast("bigint")
+    def total(name, *dropped):
+        kept = reduce(F.array_remove, map(F.lit, dropped), F.col(name))
+        return F.size(kept).cast("bigint")
 
     return rows.select(
         "report_key", "priority", "team", "source", "id",
         F.size("input_ids").cast("bigint").alias("length"),
-        total("input_ids", lambda t: t != tokens.PAD).alias("n_tokens"),
-        total("attention_mask", lambda m: m == 1).alias("n_attended"),
-        total("labels", lambda t: t == v.MASKED_LABEL).alias("n_masked"),
-        total("labels", lambda t: t > 0).alias("n_learned"),
+        total("input_ids", tokens.PAD).alias("n_tokens"),
+        total("attention_mask", 0).alias("n_attended"),
+        (total("labels") - total("labels", v.MASKED_LABEL)).alias("n_masked"),
+        total("labels", v.MASKED_LABEL, tokens.PAD).alias("n_learned"),
         F.array_position("labels", 0).alias("first_pad_label"),
         F.length("full_text").cast("bigint").alias("full_text_chars"),
         "labels_all_masked",
@@ -379,38 +395,51 @@ def _profile(spark, sf_dir, name):
     return reports.profile_dataset(splits)[name]
 
 
-@query
-def profile_sources(spark, sf_dir):
-    return _profile(spark, sf_dir, "priority_by_source")
+def _plan_query(name, table, run):
+    """Register one table of a plan."""
 
+    def found(spark, sf_dir):
+        return run(spark, sf_dir, table)
 
-@query
-def profile_word_counts(spark, sf_dir):
-    return _profile(spark, sf_dir, "word_counts")
+    found.__name__ = name
+    query(found)
 
 
-@query
-def profile_durations(spark, sf_dir):
-    return _profile(spark, sf_dir, "durations")
+# The tables of the two plans, as each of them gives them.
+_plan_query("profile_sources", "priority_by_source", _profile)
+_plan_query("profile_source_counts", "sources", _profile)
+for _table in [
+    "shape", "priorities", "teams", "durations", "word_counts", "duplicates", "splits",
+    "histogram_resolution_time_days", "histogram_title_words", "histogram_body_words",
+]:
+    _plan_query(f"profile_{_table}", _table, _profile)
 
 
 @query
-def profile_splits(spark, sf_dir):
-    return _profile(spark, sf_dir, "splits")
+def profile_duplicate_groups(spark, sf_dir):
+    """Repeated documents as the plan finds them in a table of reports."""
+    docs = adapters.table(spark, sf_dir, "documents")
+    reports_of = docs.select(
+        F.col("source"), F.lit("P3").alias("priority"), F.col("lang").alias("team"), F.lit("train").alias("split"),
+        F.lit("").alias("title"), F.col("text").alias("body"), F.lit(0.0).alias("resolution_time_days"),
+    )
+    return reports.profile_dataset(reports_of)["duplicate_groups"].select("source", "team", "body", "copies")
 
 
 def _audit(spark, sf_dir, name):
     return reports.audit_labels(tables.read_splits(spark, adapters.stored_splits(spark, sf_dir)))[name]
 
 
-@query
-def audit_spot_check(spark, sf_dir):
-    return _audit(spark, sf_dir, "spot_check").select("report_key", "title", "body", "team", "priority")
+for _table in [
+    "severity_crosstab", "severity_mapping", "teams", "team_coverage", "hedging", "priority_distribution",
+    "team_distribution", "checks",
+]:
+    _plan_query(f"audit_{_table}", _table, _audit)
 
 
 @query
-def audit_severity_crosstab(spark, sf_dir):
-    return _audit(spark, sf_dir, "severity_crosstab")
+def audit_spot_check(spark, sf_dir):
+    return _audit(spark, sf_dir, "spot_check").select("report_key", "title", "body", "team", "priority")
 
 
 @query

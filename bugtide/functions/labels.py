@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
 from bugtide.functions import text as tx
 
+# Names in order of precedence, each with its keywords in lower case.
+Rules = list[tuple[str, list[str]]]
+
 
 def lookup(table: dict[str, str], key: Column, default: str | None = None) -> Column:
     """Value of ``key`` in a literal table; ``default`` (or null) on a miss."""
@@ -48,15 +49,28 @@ def strict_priority(raw: Column) -> Column:
     return lookup(v.TRACKER_TO_PRIORITY, tx.strip(raw))
 
 
-def whole_word_pattern(keywords: list[str]) -> str:
-    """Pattern matching any of the keywords as a whole word.
+def whole_words(text: Column) -> Column:
+    """The words of a text without regard to case: runs of letters, digits and underscores."""
+    letters = "".join(v.FOLDED_LETTERS), "".join(v.FOLDED_LETTERS.values())
+    folded = tx.where_marked(text, list(v.FOLDED_LETTERS), lambda name: F.translate(name, *letters))
+    return F.split(F.lower(folded), f"[^{v.WORD_CLASS}]++")
+
 
-    The explicit look-arounds mean the same in every Java release, where the
-    alphabet behind a plain word boundary does not.
+def keywords_in(text: Column, *rule_sets: Rules) -> Column:
+    """The distinct keywords of some rules that occur in a text as whole words.
+
+    The text is cut into words once, whatever the number of rules; each word costs one
+    look-up in a hash set.
     """
-    return (
-        rf"(?iu)(?<![{v.WORD_CLASS}])(?:{'|'.join(keywords)})(?![{v.WORD_CLASS}])"
-    )
+    listed = dict.fromkeys(word for rules in rule_sets for _, words in rules for word in words)
+    return F.array_intersect(whole_words(text), F.array(*map(F.lit, listed)))
+
+
+def first_rule(found: Column, rules: Rules, default: str) -> Column:
+    """Name of the first rule that has one of the keywords found."""
+    ranks = {word: str(rank) for rank, (_, words) in reversed(list(enumerate(rules))) for word in words}
+    best = F.array_min(F.transform(found, lambda word: lookup(ranks, word).cast("int")))
+    return F.coalesce(F.get(F.array(*[F.lit(name) for name, _ in rules]), best), F.lit(default))
 
 
 def team(project: Column, title: Column, body: Column) -> Column:
@@ -65,15 +79,7 @@ def team(project: Column, title: Column, body: Column) -> Column:
     Looks at the project, the title and the start of the *uncleaned* body.
     """
     haystack = F.concat_ws(" ", project, title, F.left(body, F.lit(v.TEAM_BODY_CHARS)))
-    return first_rule(haystack, v.TEAM_KEYWORDS, v.UNKNOWN_TEAM)
-
-
-def first_rule(haystack: Column, rules: list[tuple[str, list[str]]], default: str) -> Column:
-    """Name of the first rule one of whose keywords occurs as a whole word."""
-    tests = [(F.lit(name), haystack.rlike(whole_word_pattern(words))) for name, words in rules]
-    first, *rest = tests
-    chain = reduce(lambda case, test: case.when(test[1], test[0]), rest, F.when(first[1], first[0]))
-    return chain.otherwise(F.lit(default))
+    return first_rule(keywords_in(haystack, v.TEAM_KEYWORDS), v.TEAM_KEYWORDS, v.UNKNOWN_TEAM)
 
 
 def clean_resolution(resolution: Column) -> Column:

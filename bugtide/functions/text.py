@@ -32,7 +32,7 @@ def named(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), lambda name: use(name)), 0)
 
 
-def _where_marked(text: Column, marks: list[str], step: Callable[[Column], Column]) -> Column:
+def where_marked(text: Column, marks: list[str], step: Callable[[Column], Column]) -> Column:
     """Apply a step to text that contains one of the marks it needs.
 
     Looking for a fixed string costs a fraction of running a pattern, and most
@@ -63,31 +63,31 @@ def blank_tags(text: Column) -> Column:
         head = F.left(name, F.length(name) - F.length(tail))
         return F.concat(F.regexp_replace(head, v.HTML_TAG, " "), tail)
 
-    return _where_marked(text, [">"], step)
+    return where_marked(text, [">"], step)
 
 
 def blank_entities(text: Column) -> Column:
     """Replace lower-case named and decimal entities by one space."""
-    return _where_marked(text, ["&"], lambda name: F.regexp_replace(name, v.ENTITY, " "))
+    return where_marked(text, ["&"], lambda name: F.regexp_replace(name, v.ENTITY, " "))
 
 
 def unify_newlines(text: Column) -> Column:
-    return _where_marked(text, ["\r"], lambda name: F.regexp_replace(name, "\r\n?", "\n"))
+    return where_marked(text, ["\r"], lambda name: F.regexp_replace(name, "\r\n?", "\n"))
 
 
 def shorten_stack_traces(text: Column) -> Column:
     """Keep the first ten lines of every run of ten or more stack frames."""
-    return _where_marked(
+    return where_marked(
         text, [")\n", ")\r"], lambda name: F.regexp_replace(name, FRAME_RUN, "$1")
     )
 
 
 def collapse_spaces(text: Column) -> Column:
-    return _where_marked(text, ["  ", "\t"], lambda name: F.regexp_replace(name, v.SPACES, " "))
+    return where_marked(text, ["  ", "\t"], lambda name: F.regexp_replace(name, v.SPACES, " "))
 
 
 def collapse_blank_lines(text: Column) -> Column:
-    return _where_marked(
+    return where_marked(
         text, ["\n\n\n"], lambda name: F.regexp_replace(name, v.BLANK_LINES, "\n\n")
     )
 
@@ -114,7 +114,7 @@ def spaced(text: Column) -> Column:
     faster than a pattern for all blanks; only longer gaps need one.
     """
     plain = F.translate(text, v.WHITESPACE, " " * len(v.WHITESPACE))
-    return F.trim(_where_marked(plain, ["  "], lambda name: F.regexp_replace(name, " {2,}", " ")))
+    return F.trim(where_marked(plain, ["  "], lambda name: F.regexp_replace(name, " {2,}", " ")))
 
 
 def words(text: Column) -> Column:

@@ -20,8 +20,14 @@ def normalise_priority(
 
 
 def assign_team(df: DataFrame) -> DataFrame:
-    """Must see the uncleaned text, so it comes before ``clean_texts``."""
-    return df.withColumn("team", labels.team(F.col("project"), F.col("title"), F.col("body")))
+    """Must see the uncleaned text, so it comes before ``clean_texts``.
+
+    The team leaves a generator, which no filter passes: a condition on it, such as
+    ``drop_unknown_team``, then tests the finished column. Otherwise the optimizer
+    would write the whole rule into the filter too, and run it twice a row.
+    """
+    team = labels.team(F.col("project"), F.col("title"), F.col("body"))
+    return df.withColumn("team", F.explode(F.array(team)))
 
 
 def clean_texts(df: DataFrame, max_words: int = v.BODY_WORDS) -> DataFrame:

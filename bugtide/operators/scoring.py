@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
 from bugtide.functions import labels, prompts
+from bugtide.functions import text as tx
 from bugtide.shipping import ship_package
 
 # Takes a batch of prompts, gives one answer each.
@@ -27,9 +28,12 @@ SEVERITY_WORDS = [
 
 def rule_answer(prompt: Column) -> Column:
     """A deterministic stand-in for a model: keywords decide both answers."""
-    level = labels.first_rule(prompt, SEVERITY_WORDS, v.DEFAULT_PRIORITY)
-    team = labels.first_rule(prompt, v.TEAM_KEYWORDS, v.UNKNOWN_TEAM)
-    return prompts.completion(level, team)
+
+    def answer(found: Column) -> Column:
+        level = labels.first_rule(found, SEVERITY_WORDS, v.DEFAULT_PRIORITY)
+        return prompts.completion(level, labels.first_rule(found, v.TEAM_KEYWORDS, v.UNKNOWN_TEAM))
+
+    return tx.named(labels.keywords_in(prompt, SEVERITY_WORDS, v.TEAM_KEYWORDS), answer)
 
 
 def rule_predictor() -> Predict:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -262,17 +264,27 @@ def first_rows(df: DataFrame, n: int, order_by: str = "report_key") -> DataFrame
 
 
 def sample_per_group(
-    df: DataFrame, groups: list[str], n: int, key: str = "report_key", seed: int = v.SEED, slots: int = 64
+    df: DataFrame, groups: list[str], n: int, key: str = "report_key", seed: int = v.SEED
 ) -> DataFrame:
     """Up to ``n`` rows of every group in seeded order.
 
-    A group is first thinned inside ``slots`` slots, so a group that holds most
-    of the table is never sorted in one task.
+    The drawing sees the groups, the key and its order alone: each task keeps its own
+    first ``n`` of a group before anything is shuffled, so a group that holds most of
+    the table costs no more than others. The rows of the drawn keys are then
+    joined back; no other row's text is sorted or sent. Rows that share a key are told
+    apart by all their columns.
     """
-    order = keys.seeded_order(F.col(key), seed)
-    slot = F.pmod(F.xxhash64(key), F.lit(slots))
-    ranked = df.withColumns({"_seeded": order, "_slot": slot})
-    for window in (Window.partitionBy(*groups, "_slot"), Window.partitionBy(*groups)):
-        place = F.row_number().over(window.orderBy("_seeded", key))
-        ranked = ranked.withColumn("_place", place).where(F.col("_place") <= n)
-    return ranked.drop("_seeded", "_slot", "_place")
+    names = [f"_group{i}" for i in range(len(groups))]
+    plain = [F.col(f"`{c}`").alias(name) for c, name in zip(groups, names, strict=True)]
+    narrow = df.select(*plain, F.col(key).alias("_key"), keys.seeded_order(F.col(key), seed).alias("_seeded"))
+    place = F.row_number().over(Window.partitionBy(*names).orderBy("_seeded", "_key"))
+    drawn = (
+        narrow.withColumn("_place", place)
+        .where(F.col("_place") <= n)
+        .groupBy(*names, "_key")
+        .agg(F.count(F.lit(1)).alias("_wanted"))
+    )
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(name)) for c, name in zip([*groups, key], [*names, "_key"], strict=True)]
+    inside = F.row_number().over(Window.partitionBy(*names, "_key").orderBy(keys.row_digest(df.columns)))
+    found = df.join(drawn, reduce(and_, same)).withColumn("_inside", inside)
+    return found.where(F.col("_inside") <= F.col("_wanted")).select(*[F.col(f"`{c}`") for c in df.columns])

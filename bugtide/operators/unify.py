@@ -105,9 +105,9 @@ def append(*frames: DataFrame | None) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), present)
 
 
-def missing_to_null(df: DataFrame) -> DataFrame:
-    """Turn the usual spellings of a missing value into null, in text columns."""
-    text = {field.name for field in df.schema if isinstance(field.dataType, T.StringType)}
+def missing_to_null(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Turn the usual spellings of a missing value into null, in text columns but those to ``keep``."""
+    text = {field.name for field in df.schema if isinstance(field.dataType, T.StringType)} - set(keep or [])
     return df.select(
         *[
             F.when(~F.col(f"`{c}`").isin(v.NA_TOKENS), F.col(f"`{c}`")).alias(c)

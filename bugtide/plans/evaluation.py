@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bugtide.operators import evaluate, scoring
-from bugtide.sources import tables
+from bugtide.sources import output, tables
 from bugtide.storage import written
 
 
@@ -26,5 +26,5 @@ def evaluate_split(
     rows = tables.read_splits(spark, splits_path, split)
     report = written(evaluate.prediction_report(scoring.score_reports(rows, make_predictor)))
     if report_path:
-        tables.write_csv(report, report_path)
+        output.replace(spark, report_path, lambda staged: tables.write_csv(report, staged))
     return report, evaluate.metric_record(evaluate.outcome_counts(report))

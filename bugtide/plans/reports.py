@@ -12,33 +12,40 @@ from bugtide.storage import written
 def profile_dataset(splits: DataFrame) -> dict[str, DataFrame]:
     """Size, distributions, lengths, histograms and duplicates of stored splits.
 
-    Words are counted once and their numbers stored, so that the text is read for
-    them a single time.
+    The splits are read once for a narrow table: labels, durations, word counts and a
+    digest of each row. Its rows are counted once by all labels, and every table of
+    counts is added up from that. The splits are read a second time only for the
+    text of repeated rows. Runs jobs when called.
     """
-    counted = written(profile.with_word_counts(splits).select("title_words", "body_words"))
-    timed = unify.with_valid_duration(splits)
     content = splits.drop("split")
+    flags = [c for c in ("is_over_escalated",) if c in splits.columns]
+    labels = ["source", "priority", "team", "split", *flags]
+    words = profile.with_word_counts(splits.withColumn("digest", profile.row_digests(content)))
+    narrow = written(words.select(*labels, "resolution_time_days", "title_words", "body_words", "digest"))
+    counts = written(profile.counted_by(narrow, labels, "rows"))
+    timed = unify.with_valid_duration(narrow)
     tables = {
-        "shape": profile.shape(splits),
-        "sources": profile.value_counts(splits, "source"),
-        "priorities": profile.domain_counts(splits),
-        "priority_by_source": profile.count_pivot(splits, "source", "priority", v.PRIORITIES),
-        "teams": profile.value_counts(splits, "team"),
+        "shape": profile.shape(counts, "rows", len(splits.columns)),
+        "sources": profile.value_counts(counts, "source", "rows"),
+        "priorities": profile.domain_counts(counts, weight="rows"),
+        "priority_by_source": profile.count_pivot(counts, "source", "priority", v.PRIORITIES, "rows"),
+        "teams": profile.value_counts(counts, "team", "rows"),
         "durations": profile.duration_summary(timed),
-        "word_counts": profile.word_count_summary(counted),
-        "duplicates": profile.duplicate_summary(content),
-        "duplicate_groups": profile.duplicate_groups(content),
-        "splits": profile.split_report(splits),
+        "word_counts": profile.word_count_summary(narrow),
+        "duplicates": profile.duplicate_summary(content, narrow.select("digest")),
+        "duplicate_groups": profile.duplicate_groups(content, narrow.select("digest")),
+        "splits": profile.split_report(counts, "rows"),
     }
     for column, (cap, bins) in v.HISTOGRAMS.items():
-        rows = timed if column == "resolution_time_days" else counted
+        rows = timed if column == "resolution_time_days" else narrow
         tables[f"histogram_{column}"] = profile.histogram(rows, column, cap, bins)
-    if "is_over_escalated" in splits.columns:
+    if flags:
         tables["over_escalation"] = profile.rates_by_dimension(
-            splits,
+            counts,
             "is_over_escalated",
             ["source", "priority", "split"],
             {"priority": v.PRIORITIES, "split": v.SPLITS},
+            "rows",
         )
     return tables
 

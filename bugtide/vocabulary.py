@@ -163,6 +163,8 @@ SPACE_CLASS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 WORD_CLASS = r"\p{L}\p{N}_"
+# Letters that equal an ASCII letter when case is ignored, but do not become it in lower case.
+FOLDED_LETTERS = {"\u017f": "s", "\u212a": "k", "\u0130": "i", "\u0131": "i"}
 
 HTML_TAG = "<[^>]+>"
 ENTITY = r"&[a-z]+;|&#\p{Nd}+;"

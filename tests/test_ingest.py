@@ -1,5 +1,5 @@
 import pytest
-from helpers import plan_of, rows_of
+from helpers import apply, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
@@ -55,25 +55,78 @@ def folders(tmp_path):
     return str(tmp_path)
 
 
-def test_file_names():
+def test_file_names(spark):
     accepted = ["cassandra_bugs.csv", "Core_BUGS.CSV", "x_bugs_2.csv"]
     refused = ["x_bugs-combined.csv", "x_bugs-train.csv", "x_bugs-test.csv", "x_bugs_minus_combined.csv", "x.csv", "x_bugs.txt"]
-    assert all(map(trackers.is_bug_file, accepted)) and not any(map(trackers.is_bug_file, refused))
-    assert trackers.bug_prefix("Core_bugs.csv") == "core" and trackers.bug_prefix("plain.csv") == "plain"
+    assert apply(spark, accepted + refused, trackers.is_bug_file) == [True] * 3 + [False] * 6
+    assert apply(spark, ["Core_bugs.csv", "plain.csv"], trackers.bug_prefix) == ["core", "plain"]
 
 
 def test_pairing(spark, folders):
-    with pytest.warns(UserWarning) as seen:
-        pairs = trackers.find_pairs(trackers.list_files(spark, folders))
-    names = [(p.project, p.bugs.rsplit("/", 1)[1], p.duplicates.rsplit("/", 1)[1]) for p in pairs]
+    files = trackers.list_files(spark, folders)
+    pairs = trackers.find_pairs(files)
+    names = sorted((p.folder, p.bugs.rsplit("/", 1)[1], p.duplicates.rsplit("/", 1)[1]) for p in pairs.collect())
     assert names == [
         ("alpha", "alpha_bugs.csv", "alpha_bugs-combined.csv"),
         ("my beta+x", "Beta_bugs.csv", "beta_bugs-combined.csv"),
         ("my beta+x", "extra_bugs.csv", "extra-combined.csv"),
     ]
-    assert {str(w.message).rsplit("/", 1)[-1] for w in seen if "skipped" in str(w.message)} == {
-        "gamma: no duplicate list, skipped", "delta: no bug file, skipped"
+    assert rows_of(trackers.unpaired_folders(files)) == [("delta", "bug file"), ("gamma", "duplicate list")]
+    with pytest.warns(UserWarning, match="delta: no bug file; gamma: no duplicate list"):
+        ingest_trackers(spark, folders)
+
+
+def test_headers_are_read_in_one_job_that_stops_early(spark, tmp_path):
+    long = "1,x\n" * 200_000
+    write(tmp_path, "a/a_bugs.csv", "\ufeffId,\"two\nlines, \"\"q\"\"\",,x,X\n" + long)
+    write(tmp_path, "a/empty_bugs.csv", "")
+    write(tmp_path, "b/B_bugs.CSV", "only")
+    write(tmp_path, "b/open_bugs.csv", 'a,"open\nb,c\n')
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        found = trackers.header_table(spark, str(tmp_path))
+        assert len(tracker.getJobIdsForGroup("headers")) == 1
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert found == {
+        "a/a_bugs.csv": ("Id", 'two\nlines, "q"', "_c2", "x3", "X4"), "b/B_bugs.CSV": ("only",),
+        "b/open_bugs.csv": ("a", "open\nb,c\n".rstrip("\n")),
     }
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
+@pytest.mark.filterwarnings("ignore::UserWarning")
+def test_bad_records_are_set_aside(spark, tmp_path):
+    head = "Issue id,Summary,Priority,Resolution,Description\n"
+    write(
+        tmp_path, "p/p_bugs.csv",
+        head + '1,fine,High,Fixed,"over\ntwo lines"\n2,one, comma too many,High,Fixed,b\n3,short\n4,fine too,Low,Fixed,NaN\n',
+    )
+    write(tmp_path, "p/p-combined.csv", "a,b\n9,\n1,2,3\n")
+    # A quote stays open; taken as a whole, the file would be one record from there on.
+    write(tmp_path, "q/q_bugs.csv", head + '5,ok,High,Fixed,"b, ""b"""\n6,"open,High,Fixed,b\n7,ok,High,Fixed,b\n\n8,too,many,High,Fixed,b\n')
+    write(tmp_path, "q/q-combined.csv", "a,b\n,\n")
+    out = str(tmp_path / "out")
+    done = ingest_trackers(spark, str(tmp_path), out)
+    assert sorted(r["Issue id"] for r in done.cleaned.collect()) == ["1", "4", "5", "7"]
+    assert done.cleaned.where("`Issue id` = '5'").first()["Description"] == 'b, "b"'
+    assert trackers.BROKEN not in done.cleaned.columns
+    found = {(r.pair, r.kind): set() for r in done.rejected.collect()}
+    for r in done.rejected.collect():
+        found[r.pair, r.kind].add(r.record.strip())
+    assert found == {
+        ("p/p_bugs.csv", "bugs"): {"2,one, comma too many,High,Fixed,b", "3,short"},
+        ("p/p_bugs.csv", "duplicates"): {"1,2,3"},
+        ("q/q_bugs.csv", "bugs"): {'6,"open,High,Fixed,b', "8,too,many,High,Fixed,b"},
+    }
+    statistics = {r.pair: (r.before_rows, r.rejected_records) for r in done.statistics.collect()}
+    assert statistics == {"p/p_bugs.csv": (2, 3), "q/q_bugs.csv": (2, 2)}
+    assert tables.read_table(spark, f"{out}/rejected", "csv").count() == 5
+
+
+def test_names_of_columns():
+    assert trackers.safe_names(["a", "", "A", "b"]) == ["a0", "_c1", "A2", "b"]
 
 
 def test_header_detection():

@@ -1,14 +1,15 @@
 import datetime as dt
 import itertools
+import random
 
 import pytest
-from helpers import apply
+from helpers import apply, plan_of
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from bugtide import vocabulary as v
 from bugtide.functions import labels
-from bugtide.operators import labelling
+from bugtide.operators import labelling, scoring
 
 
 def test_severity_priority(spark):
@@ -63,6 +64,9 @@ def test_missing_priority_fails_the_job(spark):
         ("", "x", "a" * 198 + " ui", "unknown"),
         ("", "x", "a" * 200 + " ui", "unknown"),
         ("REST", "", "", "backend"),
+        # A letter beyond 16 bits is part of a word like others.
+        ("", "\U0001d518ui", "", "unknown"),
+        ("", "\U0001f642ui", "", "frontend"),
         ("", "", "", "unknown"),
     ],
 )
@@ -71,6 +75,48 @@ def test_team_rules(spark, project, title, body, team):
     assert df.transform(labelling.assign_team).first().team == team
 
 
+def test_words_equal_a_case_insensitive_pattern(spark):
+    """The word index against the pattern of each keyword, on texts of all sorts of letters."""
+    rng = random.Random(4)
+    keywords = [w for _, listed in v.TEAM_KEYWORDS for w in listed]
+    odd = ["\u0130", "\u0131", "\u017f", "\u212a", "\u0307", "\u00e9", "\u00b2", "_", "-", " ", "\n", ".", "2", "\u00df", "\u2163"]
+    texts = []
+    for _ in range(400):
+        parts = [rng.choice([w, w.upper(), w.title()]) if rng.random() < 0.4 else rng.choice(odd) for w in rng.choices(keywords, k=8)]
+        text = "".join(parts)
+        for plain, other in (("i", "\u0130"), ("I", "\u0131"), ("s", "\u017f"), ("k", "\u212a")):
+            text = text.replace(plain, other) if rng.random() < 0.1 else text
+        texts.append(text)
+
+    def by_pattern(column):
+        case = F.lit(v.UNKNOWN_TEAM)
+        for team, listed in reversed(v.TEAM_KEYWORDS):
+            pattern = rf"(?iu)(?<![{v.WORD_CLASS}])(?:{'|'.join(listed)})(?![{v.WORD_CLASS}])"
+            case = F.when(column.rlike(pattern), team).otherwise(case)
+        return case
+
+    def by_words(column):
+        return labels.first_rule(labels.keywords_in(column, v.TEAM_KEYWORDS), v.TEAM_KEYWORDS, v.UNKNOWN_TEAM)
+
+    found = apply(spark, texts, by_pattern, by_words)
+    assert [a for a, _ in found] == [b for _, b in found]
+    assert len({a for a, _ in found}) == len(v.TEAM_KEYWORDS) + 1
+
+
+def test_the_rule_stands_once_in_a_plan(spark):
+    df = spark.createDataFrame(
+        [("1", "tracker", "t ui", "x", "", "P1", "fixed", "", None)],
+        "id string, source string, title string, body string, raw_severity string, raw_priority string, "
+        "resolution string, project string, resolution_time_days double",
+    )
+    kept = labelling.drop_unknown_team(labelling.label_reports(df))
+    assert kept.first().team == "frontend"
+    plan = plan_of(kept)
+    assert plan.count("array_intersect") == 1 and plan.count("rlike") == plan.count("RLIKE") == 0
+    scored = scoring.score_reports(kept).select("raw_output")
+    assert plan_of(scored).count("array_intersect") == 2
+
+
 def test_every_keyword_reaches_a_team_no_later_than_its_own(spark):
     order = [team for team, _ in v.TEAM_KEYWORDS]
     words = [(word, team) for team, listed in v.TEAM_KEYWORDS for word in listed]

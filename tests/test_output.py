@@ -1,0 +1,74 @@
+"""Tables published together: readers find all of the former ones or all of the new ones."""
+
+import os
+
+import pytest
+
+from bugtide.sources import output
+
+
+def texts(root, *names):
+    return {n: sorted(p.read_text() for p in (root / n).glob("*.txt")) for n in names if (root / n).exists()}
+
+
+def table(spark, *values):
+    return lambda path: spark.createDataFrame([(v,) for v in values], "value string").coalesce(1).write.text(path)
+
+
+OLD = {"a": ["old a\n"], "b": ["old b\n"]}
+NEW = {"a": ["new a\n"], "b": ["new b\n"], "c": ["new c\n"]}
+
+
+@pytest.fixture
+def root(spark, tmp_path):
+    output.publish(spark, str(tmp_path), {"a": table(spark, "old a"), "b": table(spark, "old b")})
+    assert texts(tmp_path, "a", "b") == OLD and sorted(os.listdir(tmp_path)) == ["a", "b"]
+    return tmp_path
+
+
+def new_tables(spark):
+    return {name: table(spark, f"new {name}") for name in "abc"}
+
+
+def test_replaces_all_tables_and_leaves_no_staging(spark, root):
+    output.publish(spark, f"{root}/", new_tables(spark))
+    assert texts(root, "a", "b", "c") == NEW and sorted(os.listdir(root)) == ["a", "b", "c"]
+
+
+def test_a_job_that_dies_between_two_writes_leaves_the_former_tables(spark, root):
+    def dies(path):
+        raise RuntimeError("killed")
+
+    with pytest.raises(RuntimeError, match="killed"):
+        output.publish(spark, str(root), new_tables(spark) | {"b": dies})
+    assert texts(root, "a", "b", "c") == OLD
+    output.recover(spark, str(root))
+    assert texts(root, "a", "b", "c") == OLD and sorted(os.listdir(root)) == ["a", "b"]
+
+
+@pytest.mark.parametrize("step", range(5))
+def test_a_job_that_dies_between_two_renames_is_finished_later(spark, root, monkeypatch, step):
+    move, done = output._Files.move, []
+
+    def counted(self, source, target):
+        if not target.endswith(output.MANIFEST):
+            if len(done) == step:
+                raise RuntimeError("killed")
+            done.append(target)
+        move(self, source, target)
+
+    monkeypatch.setattr(output._Files, "move", counted)
+    with pytest.raises(RuntimeError, match="killed"):
+        output.publish(spark, str(root), new_tables(spark))
+    monkeypatch.undo()
+    output.recover(spark, str(root))
+    assert texts(root, "a", "b", "c") == NEW and sorted(os.listdir(root)) == ["a", "b", "c"]
+
+
+def test_a_table_may_be_read_while_it_is_replaced(spark, root):
+    def grown(path):
+        old = spark.read.text(f"{root}/a")
+        old.unionByName(old).coalesce(1).write.text(path)
+
+    output.replace(spark, f"{root}/a", grown)
+    assert texts(root, "a") == {"a": ["old a\nold a\n"]}

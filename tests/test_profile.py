@@ -3,11 +3,14 @@ import statistics
 
 import numpy as np
 import pytest
-from helpers import rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
+from bugtide import storage
 from bugtide import vocabulary as v
 from bugtide.operators import profile
+from bugtide.plans import reports
+from bugtide.sources import tables
 
 
 def frame(spark, values, type_="double", name="x"):
@@ -63,6 +66,65 @@ def test_median_is_exact(spark):
     assert profile.duration_summary(df).first().median_days == statistics.median(values)
 
 
+MEDIAN_CASES = {
+    "few": [float(x) for x in random.Random(1).choices(range(9), k=5000)],
+    "fractions": [random.Random(2).random() ** 9 * 1e6 for _ in range(1)] + [random.Random(i).random() ** 9 * 1e6 for i in range(4000)],
+    "heavy tails": [(-1) ** i * 10.0 ** (i % 600 - 300) for i in range(3001)],
+    "one": [7.5],
+    "two": [1.0, 2.0],
+    "equal": [3.0] * 2000 + [1e300],
+    None: [float(i) for i in range(999)],
+}
+
+
+@pytest.mark.parametrize(("fine", "error"), [(100_000, 1e-4), (50, 1e-4), (50, 0.02), (0, 0.2)])
+def test_medians_by_narrowing(spark, fine, error):
+    rows = [(g, x) for g, values in MEDIAN_CASES.items() for x in values] + [("one", None), ("none", None)]
+    df = spark.createDataFrame(rows, "`group` string, value double").repartition(5)
+    found = {r["group"]: r["median"] for r in profile.exact_medians(df, fine, error).collect()}
+    assert found == {g: statistics.median(values) for g, values in MEDIAN_CASES.items()}
+
+
+def test_medians_keep_no_counter_per_value(spark):
+    df = spark.range(1000).select(F.lit("s").alias("source"), (F.col("id") / 7).alias("resolution_time_days"))
+    found = profile.duration_summary(df)
+    assert "percentile(" not in plan_of(found)
+    row = found.first()
+    assert (row.reports, row.median_days, row.min_days) == (1000, 999 / 14, 0.0)
+
+
+def test_fractional_histogram_stores_nothing(spark):
+    before = len(storage._folders)
+    profile.histogram(spark.range(100).select((F.col("id") / 3).alias("x")), "x", 20, 5).collect()
+    assert len(storage._folders) == before
+    counted = profile.histogram(spark.range(100).select((F.col("id") % 4).alias("x")), "x", 2, 5)
+    assert len(storage._folders) == before + 1 and sum(r.rows for r in counted.collect()) == 100
+
+
+def test_histogram_of_nothing_and_of_missing_values(spark):
+    for df in (frame(spark, []), frame(spark, [None]), frame(spark, [None], "int")):
+        assert {(r.lower, r.rows) for r in profile.histogram(df, "x", 5, 3).collect()} == {(None, 0)}
+
+
+def test_profile_reads_the_splits_twice(spark, tmp_path):
+    rows = [(f"k{i}", str(i % 7), "s", f"t {i % 3}", "b " * (i % 5), v.PRIORITIES[i % 5], "infra", "", "fixed", float(i % 9), v.SPLITS[i % 3]) for i in range(90)]
+    schema = "report_key string, id string, source string, title string, body string, priority string, team string, " \
+        "raw_severity string, resolution string, resolution_time_days double, split string"
+    tables.write_splits(spark.createDataFrame(rows, schema), str(tmp_path / "splits"))
+    splits = tables.read_splits(spark, str(tmp_path / "splits"))
+    seen = []
+    found = reports.profile_dataset(splits.withColumn("is_over_escalated", F.col("priority") == "P0"))
+    for name, table in found.items():
+        if tmp_path.name in plan_of(table):
+            seen.append(name)
+    assert seen == ["duplicate_groups"]
+    assert tuple(found["shape"].first()) == (90, 12)
+    assert {r.source: r.rows for r in found["sources"].collect()} == {"s": 90}
+    assert found["durations"].first().median_days == 4.0
+    overall = found["over_escalation"].where("dimension = 'all'").first()
+    assert (overall.positives, overall.total) == (18, 90)
+
+
 def test_phrases_are_literal_substrings(spark):
     df = spark.createDataFrame(
         [("It MIGHT fail", "appears to"), ("mighty", ""), ("not", "sure"), ("a.b", None)], "title string, body string"

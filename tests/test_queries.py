@@ -3,8 +3,10 @@
 import compare
 import pytest
 from helpers import plan_of
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bugtide.catalogue import adapters
 from bugtide.catalogue.oracle import ORACLE
 from bugtide.catalogue.queries import QUERIES
 
@@ -40,6 +42,14 @@ def test_plans_stay_in_the_jvm_and_cross_nothing(spark, name):
         assert bad not in plan
 
 
+def test_report_texts_are_dealt_over_the_cores(spark):
+    """One file of one row group feeds all cores; no task holds more than its share of the texts."""
+    rows = adapters.tracker_raw(spark, SMALL).select(F.spark_partition_id().alias("task"), F.length("body").alias("n"))
+    shares = [r["count"] for r in rows.groupBy("task").count().collect()]
+    assert len(shares) >= spark.sparkContext.defaultParallelism
+    assert max(shares) < 3 * sum(shares) / len(shares)
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry.queries()["dedup_stats"](spark, SMALL))
     assert plan.count("ReadSchema: struct<o_orderkey:bigint>") >= 1

@@ -140,6 +140,32 @@ def test_sample_per_group(spark):
     assert "WindowGroupLimit" in plan_of(out)
 
 
+def test_samples_sort_no_text(spark):
+    """Only groups, keys and their order are drawn from; the text is joined to the winners."""
+    df = spark.createDataFrame(
+        [(f"k{i}", "P3" if i % 3 else None, "text " * 50) for i in range(600)], "report_key string, priority string, body string"
+    )
+    out = split.sample_per_group(df, ["priority"], 4)
+    lines = plan_of(out).splitlines()
+    drawn = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line]
+    below = lines[drawn[0] : ]
+    assert drawn and all("body" not in line for line in lines[drawn[0] : drawn[-1] + 2] if "Sort" in line or "Exchange" in line)
+    assert any("_seeded" in line for line in below if "Sort" in line)
+    assert {(r.priority, r["count"]) for r in out.groupBy("priority").count().collect()} == {("P3", 4), (None, 4)}
+
+
+def test_sample_of_rows_that_share_a_key(spark):
+    """A third of the rows have one key; no more of them are drawn than the group may have."""
+    rows = [("same", "P3", f"text {i}") for i in range(200)] + [(f"k{i}", "P3", "x") for i in range(400)] + [(None, "P1", "y")] * 3
+    df = spark.createDataFrame(rows, "report_key string, priority string, body string").repartition(4)
+    for n in (1, 5, 250, 1000):
+        out = split.sample_per_group(df, ["priority"], n)
+        counts = {r.priority: r["count"] for r in out.groupBy("priority").count().collect()}
+        assert counts == {"P3": min(n, 600), "P1": min(n, 3)}
+        assert rows_of(out) == rows_of(split.sample_per_group(df.repartition(2), ["priority"], n))
+        assert out.exceptAll(df).count() == 0
+
+
 def test_repeat_rows(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), (None, 25)], "x string, n int")
     out = repeat_rows(df, F.col("n"), chunk=10)
