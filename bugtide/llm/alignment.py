@@ -29,7 +29,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import accumulate, chain, pairwise, repeat
@@ -43,15 +43,17 @@ from bugtide.llm.tools import Batches, in_arrow, lists, pieces, ranges, utf8
 from bugtide.storage import written
 
 #: Distinct chunks that a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 #: Ids of chunks that a worker remembers.
-REMEMBERED_IDS = 4_000_000
+REMEMBERED_IDS = 6_000_000
 #: Bytes of text that are encoded at once.
 SLICE = 2_000_000
 #: Characters of a text whose chunks are looked up at once.
 SECTION = 1_000_000
-#: Groups that are written into a hash at once.
+#: Chunks that are written into a hash at once.
 WRITTEN = 100_000
+#: New chunks that are encoded as one text.
+JOINED = 500
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _SPACE = "▁"
@@ -91,11 +93,11 @@ class Ragged:
         self.starts = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int64)
 
-    def add(self, rows: Sequence[Sequence[int]]) -> None:
-        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
-        self.sizes = np.append(self.sizes, sizes)
-        self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(rows), dtype=np.int32, count=int(sizes.sum())))
+    def add(self, flat: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        new = np.concatenate(sizes)
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(new) - new)
+        self.sizes = np.append(self.sizes, new)
+        self.flat = np.concatenate([self.flat, *flat]).astype(np.int32)
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists at these places, joined, and their sizes."""
@@ -135,6 +137,7 @@ class Aligner:
         if any(_SPACE in name.lstrip(_SPACE) for name in names):
             raise ValueError("a piece holds a space behind another character; texts cannot be cut there")
         self.b_bytes = [piece_bytes(name) for name in names]
+        self.sizes = [np.array(list(map(len, side))) for side in (self.a_bytes, self.b_bytes)]
         self.pairs = linkable(self.a_bytes, self.b_bytes)
         # How an id is written inside its side of a group, and at the end of it.
         self.marks = [
@@ -149,31 +152,97 @@ class Aligner:
         self.index: dict[str, int] = {}
         self.sound = np.zeros(0, dtype=bool)
         self.known = {name: Ragged() for name in ("a", "b", "a_ends", "b_ends", "links")}
+        #: The groups of each chunk as text.
+        self.written: list[bytes] = []
 
-    def align(self, a: list[int], b: list[int], text: bytes) -> tuple[list[int], list[int], list[int]] | None:
-        """Where each group ends in both id lists, and the links; nothing if a side does not spell the text."""
-        sides = [list(map(self.a_bytes.__getitem__, a)), list(map(self.b_bytes.__getitem__, b))]
+    def align(self, text: bytes, a: list[int], b: list[int]) -> Aligned | None:
+        """The groups of both id lists; nothing if a side does not spell the text."""
+        sides = [list(map(table.__getitem__, ids)) for table, ids in ((self.a_bytes, a), (self.b_bytes, b))]
         if any(b"".join(side) != text for side in sides):
             return None
-        ends = [dict(zip(accumulate(map(len, side)), range(1, len(side) + 1), strict=True)) for side in sides]
-        common = sorted(ends[0].keys() & ends[1].keys())
-        a_ends, b_ends = ([to_index[end] for end in common] for to_index in ends)
+        ids = [np.array(x, dtype=np.int64) for x in (a, b)]
+        to_index = [
+            dict(zip(np.cumsum(size[x]).tolist(), range(1, len(x) + 1), strict=True)) for size, x in zip(self.sizes, ids, strict=True)
+        ]
+        common = sorted(to_index[0].keys() & to_index[1].keys())
+        a_ends, b_ends = (np.fromiter(map(side.__getitem__, common), dtype=np.int64, count=len(common)) for side in to_index)
         # In a slice the last tokens alone end together.
-        return a_ends, b_ends, [a[i - 1] * len(self.b_bytes) + b[j - 1] for i, j in zip(a_ends, b_ends, strict=True)]
+        codes = ids[0][a_ends - 1] * len(self.b_bytes) + ids[1][b_ends - 1]
+        return Aligned(ids[0], ids[1], a_ends, b_ends, np.searchsorted(self.pairs, codes))
+
+    def _marked(self, found: Aligned) -> list[bytes]:
+        """The written ids in the order of the groups, A before B."""
+        sizes = [np.diff(ends, prepend=0) for ends in (found.a_ends, found.b_ends)]
+        code = np.empty(len(found.a) + len(found.b), dtype=np.int64)
+        # A group's A ids stand behind all B ids of the groups before it, its B ids behind its own A ids too.
+        a_place = np.arange(len(found.a)) + np.repeat(found.b_ends - sizes[1], sizes[0])
+        b_place = np.arange(len(found.b)) + np.repeat(found.a_ends, sizes[1])
+        code[a_place] = 2 * found.a
+        code[b_place] = 2 * (found.b + len(self.a_bytes))
+        code[a_place[found.a_ends - 1]] += 1
+        code[b_place[found.b_ends - 1]] += 1
+        return list(map(self.marks.__getitem__, code.tolist()))
 
     def _learn(self, chunks: list[str]) -> None:
-        """Align distinct new chunks, each of them the text after a space."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
-        b = self.b.encode(chunks, num_threads=1)
-        found = [self.align(x, y, b" " + c.encode()) for x, y, c in zip(a, b, chunks, strict=True)]
-        self.index.update(zip(chunks, range(len(self.index), len(self.index) + len(chunks)), strict=True))
-        self.sound = np.append(self.sound, [f is not None for f in found])
-        a_ends, b_ends, codes = zip(*(f or ((), (), ()) for f in found), strict=True)
-        numbers = np.searchsorted(self.pairs, np.fromiter(chain.from_iterable(codes), dtype=np.int64)).tolist()
-        place = list(accumulate(map(len, codes), initial=0))
-        links = [numbers[i:j] for i, j in pairwise(place)]
-        for name, rows in (("a", a), ("b", b), ("a_ends", a_ends), ("b_ends", b_ends), ("links", links)):
-            self.known[name].add(rows)
+        """Encode and align distinct new chunks, each of them the text after a space.
+
+        Chunks that leave their neighbours alone are joined and dealt with as one text.
+        """
+        alone = [c[-1].isspace() or _SPACE in c for c in chunks]
+        calm = [c for c, a in zip(chunks, alone, strict=True) if not a]
+        runs = [calm[i : i + JOINED] for i in range(0, len(calm), JOINED)]
+        runs += [[c] for c, a in zip(chunks, alone, strict=True) if a]
+        self._learn_runs(runs)
+
+    def _learn_runs(self, runs: list[list[str]]) -> None:
+        texts = [" ".join(run) for run in runs]
+        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        b = self.b.encode(texts, num_threads=1)
+        flat: dict[str, list[np.ndarray]] = {name: [] for name in self.known}
+        sizes: dict[str, list[np.ndarray]] = {name: [] for name in self.known}
+        sound, again, kept = [], [], []
+        for run, text, x, y in zip(runs, texts, a, b, strict=True):
+            found = self.align(b" " + text.encode(), x.ids, y)
+            if found is None and len(run) > 1:
+                again += [[c] for c in run]
+                continue
+            kept += run
+            sound.append(np.full(len(run), found is not None))
+            if found is None:
+                none = np.zeros(0, dtype=np.int64)
+                for name in self.known:
+                    flat[name].append(none)
+                    sizes[name].append(np.zeros(1, dtype=np.int64))
+                self.written.append(b"")
+                continue
+            # The chunks' ends are ends of groups.
+            ends = np.cumsum([1 + len(c.encode()) for c in run])
+            at = np.cumsum(self.sizes[0][found.a])[found.a_ends - 1]
+            last = np.searchsorted(at, ends)
+            if not np.array_equal(at[last], ends):
+                raise ValueError("a tokenizer joined two chunks")
+            groups = np.diff(last, prepend=-1)
+            a_upto, b_upto = found.a_ends[last], found.b_ends[last]
+            a_sizes, b_sizes = np.diff(a_upto, prepend=0), np.diff(b_upto, prepend=0)
+            marks = self._marked(found)
+            both = (a_upto + b_upto).tolist()
+            self.written += [b"".join(marks[i:j])[:-1] for i, j in pairwise([0, *both])]
+            for name, values, n in (
+                ("a", found.a, a_sizes),
+                ("b", found.b, b_sizes),
+                ("a_ends", found.a_ends - np.repeat(a_upto - a_sizes, groups), groups),
+                ("b_ends", found.b_ends - np.repeat(b_upto - b_sizes, groups), groups),
+                ("links", found.links, groups),
+            ):
+                flat[name].append(values)
+                sizes[name].append(n)
+        if kept:
+            self.index.update(zip(kept, range(len(self.index), len(self.index) + len(kept)), strict=True))
+            self.sound = np.concatenate([self.sound, *sound])
+            for name, known in self.known.items():
+                known.add(flat[name], sizes[name])
+        if again:
+            self._learn_runs(again)
 
     def _places(self, chunks: list[str]) -> np.ndarray:
         """The numbers of chunks; new ones are learnt first."""
@@ -185,20 +254,8 @@ class Aligner:
             at[unknown] = np.fromiter(map(self.index.__getitem__, new), dtype=np.int64, count=len(new))
         return at
 
-    def _joined(self, at: np.ndarray) -> Aligned | None:
-        """Chunks one after another as one alignment."""
-        if not self.sound[at].all():
-            return None
-        a, a_sizes = self.known["a"].take(at)
-        b, b_sizes = self.known["b"].take(at)
-        a_ends, groups = self.known["a_ends"].take(at)
-        b_ends, _ = self.known["b_ends"].take(at)
-        a_ends = a_ends + np.repeat(np.cumsum(a_sizes) - a_sizes, groups)
-        b_ends = b_ends + np.repeat(np.cumsum(b_sizes) - b_sizes, groups)
-        return Aligned(a, b, a_ends, b_ends, self.known["links"].take(at)[0])
-
-    def texts(self, texts: list[bytes]) -> Iterator[Aligned | None]:
-        """Each text's alignment; none for one without tokens."""
+    def texts(self, texts: list[bytes]) -> Iterator[np.ndarray | None]:
+        """The numbers of each text's chunks; none for a text without tokens."""
         if len(self.index) > REMEMBERED or len(self.known["a"].flat) > REMEMBERED_IDS:
             self.forget()
         decoded = []
@@ -209,50 +266,40 @@ class Aligner:
                 decoded.append("")
         # The chunks of a slice are looked up together, those of a long text section by section.
         short = [_CUT.split(t) if 0 < len(t) <= SECTION else [] for t in decoded]
-        at = self._places(list(chain.from_iterable(short)))
+        places = self._places(list(chain.from_iterable(short)))
         bounds = list(accumulate(map(len, short), initial=0))
         for text, (i, j) in zip(decoded, pairwise(bounds), strict=True):
-            if len(text) > SECTION:
-                yield self._long(text)
-            else:
-                yield self._joined(at[i:j]) if j > i else None
+            at = self._long(text) if len(text) > SECTION else places[i:j]
+            yield at if len(at) and self.sound[at].all() else None
 
-    def _long(self, text: str) -> Aligned | None:
+    def _long(self, text: str) -> np.ndarray:
         parts, start = [], 0
         while start < len(text):
             cut = _CUT.search(text, start + SECTION)
             end = cut.start() if cut else len(text)
-            parts.append(self._joined(self._places(_CUT.split(text[start:end]))))
-            if parts[-1] is None:
-                return None
+            parts.append(self._places(_CUT.split(text[start:end])))
             start = end + 1
-        a_sizes, b_sizes = (np.cumsum([0, *(len(getattr(p, side)) for p in parts[:-1])]) for side in ("a", "b"))
-        return Aligned(
-            np.concatenate([p.a for p in parts]),
-            np.concatenate([p.b for p in parts]),
-            np.concatenate([p.a_ends + n for p, n in zip(parts, a_sizes, strict=True)]),
-            np.concatenate([p.b_ends + n for p, n in zip(parts, b_sizes, strict=True)]),
-            np.concatenate([p.links for p in parts]),
-        )
+        return np.concatenate(parts)
+
+    def joined(self, at: np.ndarray) -> Aligned:
+        """Chunks one after another as one alignment."""
+        a, a_sizes = self.known["a"].take(at)
+        b, b_sizes = self.known["b"].take(at)
+        a_ends, groups = self.known["a_ends"].take(at)
+        b_ends, _ = self.known["b_ends"].take(at)
+        a_ends = a_ends + np.repeat(np.cumsum(a_sizes) - a_sizes, groups)
+        b_ends = b_ends + np.repeat(np.cumsum(b_sizes) - b_sizes, groups)
+        return Aligned(a, b, a_ends, b_ends, self.known["links"].take(at)[0])
+
+    def counts(self, at: np.ndarray) -> tuple[int, int, int, int]:
+        """Ids of A and of B, groups and links of chunks."""
+        return tuple(int(self.known[name].sizes[at].sum()) for name in ("a", "b", "a_ends", "links"))
 
-    def digest(self, found: Aligned) -> str:
-        """SHA-256 of the groups, written as ``a1,a2|b1;a3|b2,b3``."""
+    def digest(self, at: np.ndarray) -> str:
+        """SHA-256 of the groups of chunks, written as ``a1,a2|b1;a3|b2,b3``."""
         state = hashlib.sha256()
-        for first in range(0, len(found.a_ends), WRITTEN):
-            a_ends, b_ends = found.a_ends[first : first + WRITTEN], found.b_ends[first : first + WRITTEN]
-            a_start = found.a_ends[first - 1] if first else 0
-            b_start = found.b_ends[first - 1] if first else 0
-            sizes = [np.diff(ends, prepend=start) for ends, start in ((a_ends, a_start), (b_ends, b_start))]
-            code = np.empty(int(a_ends[-1] - a_start + b_ends[-1] - b_start), dtype=np.int64)
-            # A group's A ids stand behind all B ids of the groups before it, its B ids behind its own A ids too.
-            a_place = np.arange(sizes[0].sum()) + np.repeat(b_ends - sizes[1] - b_start, sizes[0])
-            b_place = np.arange(sizes[1].sum()) + np.repeat(a_ends - a_start, sizes[1])
-            code[a_place] = 2 * found.a[a_start : a_ends[-1]].astype(np.int64)
-            code[b_place] = 2 * (found.b[b_start : b_ends[-1]].astype(np.int64) + len(self.a_bytes))
-            code[a_place[a_ends - a_start - 1]] += 1
-            code[b_place[b_ends - b_start - 1]] += 1
-            text = b"".join(map(self.marks.__getitem__, code.tolist()))
-            state.update(text if first + WRITTEN < len(found.a_ends) else text[:-1])
+        for i in range(0, len(at), WRITTEN):
+            state.update((b";" if i else b"") + b";".join(map(self.written.__getitem__, at[i : i + WRITTEN].tolist())))
         return state.hexdigest()
 
 
@@ -276,7 +323,7 @@ def align(docs: DataFrame, byte_level: str, piece_model: str, key: str = "doc_id
         none = np.zeros(0, dtype=np.int32)
         for batch in batches:
             for rows, texts in pieces(batch, "_text", SLICE):
-                found = [f or Aligned(none, none, none, none, none) for f in of.texts(texts)]
+                found = [Aligned(none, none, none, none, none) if at is None else of.joined(at) for at in of.texts(texts)]
                 columns = [[f.a for f in found], [f.b for f in found], [f.a_ends for f in found], [f.b_ends for f in found]]
                 made = [lists(np.concatenate(c).astype(np.int32), np.array([len(x) for x in c])) for c in columns]
                 yield pa.RecordBatch.from_arrays([rows.column(0), *made], names=["_key", "a_ids", "b_ids", "a_ends", "b_ends"])
@@ -291,10 +338,10 @@ def _digested(batches: Batches, byte_level: str, piece_model: str) -> Batches:
     for batch in batches:
         for rows, texts in pieces(batch, "_text", SLICE):
             sizes, hashes, links = [], [], []
-            for found in of.texts(texts):
-                sizes.append((len(found.a), len(found.b), len(found.a_ends), len(found.links)) if found else (0, 0, 0, 0))
-                hashes.append(of.digest(found) if found else "")
-                links.append(found.links.astype("<u4").tobytes() if found else b"")
+            for at in of.texts(texts):
+                sizes.append((0, 0, 0, 0) if at is None else of.counts(at))
+                hashes.append("" if at is None else of.digest(at))
+                links.append(b"" if at is None else of.known["links"].take(at)[0].astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), *(pa.array(c, pa.int64()) for c in zip(*sizes, strict=True)), pa.array(hashes), pa.array(links, pa.binary())],
                 names=["_key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"],

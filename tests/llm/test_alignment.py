@@ -97,15 +97,18 @@ def test_sections_forgetting_and_blocks_change_nothing(both, monkeypatch):
     monkeypatch.setattr(alignment, "SECTION", 40)
     monkeypatch.setattr(alignment, "WRITTEN", 3)
     monkeypatch.setattr(alignment, "REMEMBERED", 5)
+    monkeypatch.setattr(alignment, "JOINED", 4)
     of = alignment.Aligner(A, B)
     for text in TEXTS:
-        ((found),) = of.texts([(text or "").encode()])
+        (at,) = of.texts([(text or "").encode()])
         plain = groups_of(both, text)
-        assert (found is None) == (plain is None)
+        assert (at is None) == (plain is None)
         if plain:
+            found = of.joined(at)
+            assert of.counts(at) == (len(plain[0][0]), len(plain[0][1]), len(plain[1]), len(plain[2]))
             assert found.a.tolist() == plain[0][0] and found.b.tolist() == plain[0][1]
             written = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in plain[1])
-            assert of.digest(found) == hashlib.sha256(written.encode()).hexdigest()
+            assert of.digest(at) == hashlib.sha256(written.encode()).hexdigest()
             codes = of.pairs[found.links]
             assert [(c // len(of.b_bytes), c % len(of.b_bytes)) for c in codes] == plain[2]
 
