@@ -274,14 +274,49 @@ def test_topk(spark):
     rng = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in rng.normal(0, 0.3, 20)]) for i in range(400)]
     vectors += [(1000 + i, [0.5] * 20) for i in range(50)]
-    odd = [(2000, None), (2001, [None] + [0.1] * 19), (2002, [math.nan] * 20), (2003, [math.inf] * 20), (None, [0.1] * 20), (2004, []), (2005, [3.0])]
+    # Ids that occur twice, with equal and with other vectors, and rows without an id.
+    vectors += [(7, [0.9] * 20), (50, [0.9] * 20), (50, [0.9] * 20), (None, [0.8] * 20), (None, [0.8] * 20), (1001, [0.5] * 20)]
+    vectors += [(2004, []), (2005, [3.0])]
+    odd = [(2000, None), (2001, [None] + [0.1] * 19), (2002, [math.nan] * 20), (2003, [math.inf] * 20)]
     df = spark.createDataFrame([(*v, "z") for v in vectors + odd], "vec_id long, embedding array<float>, score string")
-    sound = dict(vectors + [(2004, []), (2005, [3.0])])
-    whole = {k: np.array([math.floor(256 * float(np.float32(x))) for x in v] + [0] * (20 - len(v))) for k, v in sound.items()}
+    whole = [(k, np.array([math.floor(256 * float(np.float32(x))) for x in v] + [0] * (20 - len(v)))) for k, v in vectors]
     expected = []
-    for q in (k for k in whole if k % 50 == 0):
-        best = sorted((-int(whole[q] @ v), k) for k, v in whole.items() if k != q)[:5]
-        expected += [(q, i + 1, k, -s) for i, (s, k) in enumerate(best)]
+    for i, (q, own) in enumerate(whole):
+        if q is not None and q % 50 == 0:
+            others = [(-int(own @ v), k is None, k or 0) for j, (k, v) in enumerate(whole) if j != i]
+            expected += [(q, rank, None if none else k, -s) for rank, (s, none, k) in enumerate(sorted(others)[:5], 1)]
+    found = topk.nearest(df, F.col("vec_id") % 50 == 0)
+    assert rows(found, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
+
+
+def test_topk_of_large_components_and_few_rows(spark):
+    big = [(0, [1e20, -1.0]), (50, [1e200, 0.5]), (1, [3.0, 2.0]), (2, [-1e20, 0.0]), (3, [2.0**60, 0.0])]
+    df = spark.createDataFrame(big, "vec_id long, embedding array<double>")
+    found = topk.nearest(df, F.col("vec_id") % 50 == 0, k=3)
+    expected = []
+    for q, own in big[:2]:
+        number = [[int(x) * 256 if abs(x) > 2.0**50 else math.floor(x * 256) for x in v] for _, v in big]
+        mine = number[[k for k, _ in big].index(q)]
+        scores = [(-sum(a * b for a, b in zip(mine, n)), k) for (k, _), n in zip(big, number) if k != q]
+        clipped = [(q, i, k, min(max(-s, -(2**63)), 2**63 - 1)) for i, (s, k) in enumerate(sorted(scores)[:3], 1)]
+        expected += clipped
+    assert rows(found, "query_id", "score") == sorted([(e[0], e[3]) for e in expected], key=repr)
+    alone = spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<double>")
+    assert topk.nearest(alone, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_topk_in_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CANDIDATES", 60)
+    monkeypatch.setattr(topk, "QUERIES", 4)
+    monkeypatch.setattr(topk, "SAMPLE", 7)
+    rng = np.random.default_rng(2)
+    vectors = [(i, [float(x) for x in rng.normal(0, 1, 40)]) for i in range(500)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    whole = np.array([[math.floor(256 * x) for x in v] for _, v in vectors])
+    expected = []
+    for q in range(0, 500, 50):
+        scores = sorted((-int(whole[q] @ whole[i]), i) for i in range(500) if i != q)[:5]
+        expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
     found = topk.nearest(df, F.col("vec_id") % 50 == 0)
     assert rows(found, "query_id", "rank", "vec_id", "score") == sorted(expected, key=repr)
 
