@@ -139,6 +139,16 @@ def tracker_folders(spark: SparkSession, sf_dir: str) -> str:
     return f"{root}/trackers"
 
 
+def stored_sources(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the raw tables of all three sources, the tracker's as CSV."""
+    root = scratch_folder(spark)
+    seconds = {c: F.col(c).cast("timestamp_ntz").cast("string") for c in ("created_at", "closed_at")}
+    bugzilla_raw(spark, sf_dir).write.parquet(f"{root}/bugzilla")
+    tables.write_csv(tracker_raw(spark, sf_dir).withColumns(seconds), f"{root}/tracker")
+    timestamped_raw(spark, sf_dir).write.parquet(f"{root}/timestamped")
+    return root
+
+
 def damaged_folders(spark: SparkSession, sf_dir: str) -> str:
     """One report per order as lines of text, a file for each project, some lines not well formed.
 

@@ -326,6 +326,14 @@ ORACLE["ingest_cleaned"] = with_(FOLDERS, "SELECT *, 'Closed' AS \"Status\", '1.
 ORACLE["ingest_reports"] = with_(
     FOLDERS, "SELECT * FROM cleaned WHERE priority <> '--' AND resolution IS NOT NULL"
 )
+ORACLE["ingest_merged"] = with_(
+    FOLDERS,
+    "SELECT *, 'Closed' AS \"Status\", '1.0' AS versions FROM cleaned WHERE priority <> '--' AND resolution IS NOT NULL",
+)
+ORACLE["load_all_sources"] = f"""
+SELECT {SCHEMA_UNIFIED} FROM ({ORACLE["unify_sources"]})
+UNION ALL SELECT {SCHEMA_UNIFIED} FROM ({ORACLE["unify_timestamped"]})"""
+ORACLE["load_required_source"] = f"SELECT * FROM ({ORACLE['unify_sources']}) WHERE source = 'bugzilla'"
 ORACLE["ingest_statistics"] = with_(
     FOLDERS,
     """SELECT project, before_rows, after_rows, before_rows - after_rows AS removed_rows, listed_ids,
@@ -850,3 +858,11 @@ ORACLE["evaluated_report"] = with_(
   coalesce(priority = pred_severity, false) AS sev_correct, coalesce(team = pred_team, false) AS team_correct
   FROM answered WHERE split = 'test'""",
 )
+_REPORT_TEXT = ", ".join(
+    f"{_present(c)} AS {c}" for c in ("title", "body", "priority", "team", "input_prompt", "raw_output", "pred_severity", "pred_team")
+)
+ORACLE["published_report"] = with_(
+    _SCORED_SPLITS,
+    f"""SELECT report_key, {_REPORT_TEXT}, CAST(coalesce(priority = pred_severity, false) AS VARCHAR) AS sev_correct,
+  CAST(coalesce(team = pred_team, false) AS VARCHAR) AS team_correct FROM answered WHERE split = 'val'""",
+)

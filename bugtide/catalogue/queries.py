@@ -89,6 +89,20 @@ def label_engineering(spark, sf_dir):
     return adapters.labelled(spark, sf_dir)
 
 
+@query
+def load_all_sources(spark, sf_dir):
+    """All three sources as they are stored, the tracker's table in CSV."""
+    root = adapters.stored_sources(spark, sf_dir)
+    return tables.load_all(spark, f"{root}/bugzilla", f"{root}/tracker", f"{root}/timestamped")
+
+
+@query
+def load_required_source(spark, sf_dir):
+    """The required source alone, where the optional ones are missing."""
+    root = adapters.stored_sources(spark, sf_dir)
+    return tables.load_all(spark, f"{root}/bugzilla", f"{root}/none", f"{root}/neither")
+
+
 # --- tracker folders ---------------------------------------------------------
 
 
@@ -114,6 +128,15 @@ def ingest_statistics(spark, sf_dir):
     )
 
 
+@query
+def ingest_merged(spark, sf_dir):
+    """The merged CSV, read back as published."""
+    out = scratch_folder(spark)
+    ingest.ingest_trackers(spark, adapters.tracker_folders(spark, sf_dir), out)
+    merged = tables.read_table(spark, f"{out}/merged", "csv")
+    return merged.transform(unify.to_canonical_names).withColumnRenamed("Affects Version/s", "versions")
+
+
 @query
 def ingest_rejected(spark, sf_dir):
     """The records set aside, and how many of their file's were read."""
@@ -280,7 +303,7 @@ def over_escalation_by_split(spark, sf_dir):
     urgent = F.col("priority").isin(v.TOP_PRIORITIES)
     splits = tables.read_splits(spark, adapters.stored_splits(spark, sf_dir))
     flagged = splits.withColumn("is_over_escalated", urgent & unfixed & late)
-    return reports.profile_dataset(flagged)["over_escalation"]
+    return reports.profile_tables(flagged)["over_escalation"]()
 
 
 # The samples are drawn before the text is cleaned: neither the order nor the
@@ -392,7 +415,7 @@ def _bugzilla(spark, sf_dir, endings=None):
 
 def _profile(spark, sf_dir, name):
     splits = tables.read_splits(spark, adapters.stored_splits(spark, sf_dir), *v.SPLITS)
-    return reports.profile_dataset(splits)[name]
+    return reports.profile_tables(splits)[name]()
 
 
 def _plan_query(name, table, run):
@@ -423,7 +446,7 @@ def profile_duplicate_groups(spark, sf_dir):
         F.col("source"), F.lit("P3").alias("priority"), F.col("lang").alias("team"), F.lit("train").alias("split"),
         F.lit("").alias("title"), F.col("text").alias("body"), F.lit(0.0).alias("resolution_time_days"),
     )
-    return reports.profile_dataset(reports_of)["duplicate_groups"].select("source", "team", "body", "copies")
+    return reports.profile_tables(reports_of)["duplicate_groups"]().select("source", "team", "body", "copies")
 
 
 def _audit(spark, sf_dir, name):
@@ -637,3 +660,11 @@ def evaluated_split(spark, sf_dir):
 def evaluated_report(spark, sf_dir):
     report, _ = evaluation.evaluate_split(spark, adapters.stored_splits(spark, sf_dir), "test")
     return report
+
+
+@query
+def published_report(spark, sf_dir):
+    """The prediction report of a split as published in CSV."""
+    path = f"{scratch_folder(spark)}/report"
+    evaluation.evaluate_split(spark, adapters.stored_splits(spark, sf_dir), "val", report_path=path)
+    return tables.read_table(spark, path, "csv")

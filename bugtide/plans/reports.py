@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache, partial
+
 from pyspark.sql import DataFrame
 
 from bugtide import vocabulary as v
@@ -10,46 +13,60 @@ from bugtide.storage import written
 
 
 def profile_dataset(splits: DataFrame) -> dict[str, DataFrame]:
-    """Size, distributions, lengths, histograms and duplicates of stored splits.
+    """Size, distributions, lengths, histograms and duplicates of stored splits; runs jobs when called."""
+    return {name: table() for name, table in profile_tables(splits).items()}
+
+
+def profile_tables(splits: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+    """The same tables, each made when it is asked for.
 
     The splits are read once for a narrow table: labels, durations, word counts and a
     digest of each row. Its rows are counted once by all labels, and every table of
     counts is added up from that. The splits are read a second time only for the
-    text of repeated rows. Runs jobs when called.
+    text of repeated rows.
     """
     content = splits.drop("split")
     flags = [c for c in ("is_over_escalated",) if c in splits.columns]
     labels = ["source", "priority", "team", "split", *flags]
-    words = profile.with_word_counts(splits.withColumn("digest", profile.row_digests(content)))
-    narrow = written(words.select(*labels, "resolution_time_days", "title_words", "body_words", "digest"))
-    counts = written(profile.counted_by(narrow, labels, "rows"))
-    timed = unify.with_valid_duration(narrow)
+
+    @cache
+    def narrow() -> DataFrame:
+        words = profile.with_word_counts(splits.withColumn("digest", profile.row_digests(content)))
+        return written(words.select(*labels, "resolution_time_days", "title_words", "body_words", "digest"))
+
+    @cache
+    def counts() -> DataFrame:
+        return written(profile.counted_by(narrow(), labels, "rows"))
+
+    def timed() -> DataFrame:
+        return unify.with_valid_duration(narrow())
+
     tables = {
-        "shape": profile.shape(counts, "rows", len(splits.columns)),
-        "sources": profile.value_counts(counts, "source", "rows"),
-        "priorities": profile.domain_counts(counts, weight="rows"),
-        "priority_by_source": profile.count_pivot(counts, "source", "priority", v.PRIORITIES, "rows"),
-        "teams": profile.value_counts(counts, "team", "rows"),
-        "durations": profile.duration_summary(timed),
-        "word_counts": profile.word_count_summary(narrow),
-        "duplicates": profile.duplicate_summary(content, narrow.select("digest")),
-        "duplicate_groups": profile.duplicate_groups(content, narrow.select("digest")),
-        "splits": profile.split_report(counts, "rows"),
+        "shape": lambda: profile.shape(counts(), "rows", len(splits.columns)),
+        "sources": lambda: profile.value_counts(counts(), "source", "rows"),
+        "priorities": lambda: profile.domain_counts(counts(), weight="rows"),
+        "priority_by_source": lambda: profile.count_pivot(counts(), "source", "priority", v.PRIORITIES, "rows"),
+        "teams": lambda: profile.value_counts(counts(), "team", "rows"),
+        "durations": lambda: profile.duration_summary(timed()),
+        "word_counts": lambda: profile.word_count_summary(narrow()),
+        "duplicates": lambda: profile.duplicate_summary(content, narrow().select("digest")),
+        "duplicate_groups": lambda: profile.duplicate_groups(content, narrow().select("digest")),
+        "splits": lambda: profile.split_report(counts(), "rows"),
     }
     for column, (cap, bins) in v.HISTOGRAMS.items():
         rows = timed if column == "resolution_time_days" else narrow
-        tables[f"histogram_{column}"] = profile.histogram(rows, column, cap, bins)
+        tables[f"histogram_{column}"] = partial(_histogram, rows, column, cap, bins)
     if flags:
-        tables["over_escalation"] = profile.rates_by_dimension(
-            counts,
-            "is_over_escalated",
-            ["source", "priority", "split"],
-            {"priority": v.PRIORITIES, "split": v.SPLITS},
-            "rows",
-        )
+        domains = {"priority": v.PRIORITIES, "split": v.SPLITS}
+        dimensions = ["source", "priority", "split"]
+        tables["over_escalation"] = lambda: profile.rates_by_dimension(counts(), flags[0], dimensions, domains, "rows")
     return tables
 
 
+def _histogram(rows: Callable[[], DataFrame], column: str, cap: float, bins: int) -> DataFrame:
+    return profile.histogram(rows(), column, cap, bins)
+
+
 def audit_labels(labelled: DataFrame, bugzilla: str = v.BUGZILLA) -> dict[str, DataFrame]:
     """Checks of the derived labels. Coverage means something only on a table
     from which reports without a team have not been dropped."""
