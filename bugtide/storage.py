@@ -19,12 +19,22 @@ def scratch_folder(spark: SparkSession) -> str:
     return _folders[-1]
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables stored so far; results that still read them must be done."""
+def stored() -> int:
+    """How many tables have been stored and not released."""
+    return len(_folders)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the stored tables but the first ``since`` and the last ``keep``.
+
+    Results that still read them must be done.
+    """
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _folders:
-        path = jvm.org.apache.hadoop.fs.Path(_folders.pop())
+    end = len(_folders) - keep
+    for folder in _folders[since:end]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+    del _folders[since:end]
 
 
 def written(df: DataFrame) -> DataFrame:

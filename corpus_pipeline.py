@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from bugtide.llm import decontamination, language, packing, simhash, substrings
 from bugtide.llm.queries import tokenizer_path
 from bugtide.llm.tools import table
-from bugtide.storage import written
+from bugtide.storage import release, stored, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an identified language go."""
+    """Documents without a language that is told with some certainty go."""
     return language.keep_identified(docs)
 
 
@@ -52,9 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; what a stage stored on its way goes when its result is stored."""
+    docs, before = table(spark, sf_dir, "documents"), stored()
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = written(docs)
+            release(spark, since=before, keep=1)
     return docs

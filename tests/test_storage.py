@@ -37,3 +37,14 @@ def test_stored_tables_can_be_released(spark):
     storage.release(spark)
     storage._folders[:] = others
     assert not os.path.exists(folder)
+
+
+def test_only_tables_of_one_step_are_released(spark):
+    first = storage.written(spark.range(2))
+    before = storage.stored()
+    storage.written(spark.range(3))
+    last = storage.written(spark.range(4))
+    gone = storage._folders[before]
+    storage.release(spark, since=before, keep=1)
+    assert not os.path.exists(gone) and storage.stored() == before + 1
+    assert (first.count(), last.count()) == (2, 4)
