@@ -29,6 +29,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,18 +87,19 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.index: dict[bytes, int] = {}
+        self.runs: set[bytes] = set()
         self.ids = np.array([self.end], dtype=np.uint32)
         self.starts = np.zeros(1, dtype=np.int64)
         self.lengths = np.ones(1, dtype=np.int64)
 
-    def _letters(self, word: bytes) -> str | None:
-        """A run of lower-case Latin letters as the byte-level rule writes it; nothing for another word."""
-        if word.isalpha() and word.islower():
-            return word.decode()
-        text = word.decode()
-        if text.isalpha() and text == text.lower() and max(text) < LATIN:
-            return word.decode("latin-1").translate(self.letters)
-        return None
+    def _letters(self, runs: list[bytes]) -> dict[bytes, str]:
+        """Those that are lower-case Latin letters alone, as the byte-level rule writes them."""
+        texts = b"\n".join(runs).decode().split("\n") if runs else []
+        found = {r: t for r, t in zip(runs, texts, strict=True) if t.islower() and t.isalpha()}
+        for run, text in found.items():
+            if not text.isascii():
+                found[run] = run.decode("latin-1").translate(self.letters) if text == text.lower() and max(text) < LATIN else ""
+        return {r: t for r, t in found.items() if t}
 
     def _add(self, words: list[bytes], lengths: np.ndarray, ids: np.ndarray) -> None:
         self.index.update(zip(words, range(len(self.starts), len(self.starts) + len(words)), strict=True))
@@ -106,29 +108,25 @@ class WordTokenizer:
         self.ids = np.concatenate([self.ids, ids])
 
     def _learn(self, words: list[bytes]) -> None:
-        runs: dict[bytes, str] = {}
-        whole: dict[bytes, None] = {}
-        joined = []
-        for word in words:
-            run = word.rstrip(MARKS)
-            if run not in runs and not (run in self.index and run[-1:].isalpha()):
-                letters = self._letters(run)
-                if letters is None:
-                    whole[word] = None
-                    continue
-                runs[run] = letters
-            if len(run) < len(word):
-                joined.append((word, run, word[len(run) :]))
-        whole.update((tail, None) for _, _, tail in joined if tail not in self.index)
+        index = self.index
+        runs = [word.rstrip(MARKS) for word in words]
+        new = [r for r in dict.fromkeys(runs) if r not in self.runs and not (r in index and r[-1:].isalpha())]
+        letters = self._letters(new)
+        self.runs.update(letters)
+        other = set(new).difference(letters)
+        joined = [(w, r, w[len(r) :]) for w, r in zip(words, runs, strict=True) if len(r) < len(w) and r not in other]
+        whole = dict.fromkeys(w for w, r in zip(words, runs, strict=True) if r in other) if other else {}
+        whole.update((tail, None) for _, _, tail in joined if tail not in index)
         merge = self.tokenizer.model.tokenize
-        found = [[t.id for t in merge(letters)] for letters in runs.values()]
+        found = [[t.id for t in merge(text)] for text in letters.values()]
         texts = [w.decode() for w in whole]
         found += [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
         flat = np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(lengths.sum()))
-        self._add([*runs, *whole], lengths, flat)
+        self._add([*letters, *whole], lengths, flat)
         # A run and the marks behind it, put together from what is known of both.
-        parts = np.array([self.index[part] for _, *both in joined for part in both], dtype=np.int64)
+        both = chain.from_iterable((run, tail) for _, run, tail in joined)
+        parts = np.fromiter(map(index.__getitem__, both), dtype=np.int64, count=2 * len(joined))
         lengths = self.lengths[parts]
         flat = self.ids[ranges(self.starts[parts], lengths)]
         self._add([word for word, _, _ in joined], lengths.reshape(-1, 2).sum(axis=1), flat)
@@ -137,16 +135,24 @@ class WordTokenizer:
         """All ids, end ids included, and their number for each text."""
         if len(self.index) > REMEMBERED:
             self.forget()
-        split = [(t if SPECIAL in t else t.lower()).split() for t in texts]
-        flat = list(chain.from_iterable(split))
-        at = np.fromiter(map(self.index.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
-        unknown = np.flatnonzero(at < 0)
-        if len(unknown):
-            new = [flat[i] for i in unknown]
-            self._learn(list(dict.fromkeys(new)))
-            at[unknown] = np.fromiter(map(self.index.__getitem__, new), dtype=np.int64, count=len(new))
-        words = np.array([len(s) for s in split], dtype=np.int64)
-        at = np.insert(at, np.cumsum(words), 0)
+        # Each distinct word of a batch is looked up once; only these become Python objects.
+        folded = pa.array([t if SPECIAL in t else t.lower() for t in texts], pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(folded)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        known = np.fromiter(map(self.index.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        unknown = [i for i in np.flatnonzero(known < 0).tolist() if distinct[i]]
+        if unknown:
+            new = [distinct[i] for i in unknown]
+            self._learn(new)
+            known[unknown] = np.fromiter(map(self.index.__getitem__, new), dtype=np.int64, count=len(new))
+        at = known[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, dtype=np.int64)
+        # Blanks at either end of a text leave an empty word there.
+        real = at >= 0
+        words = pc.list_value_length(split).to_numpy().astype(np.int64)
+        upto = np.concatenate([[0], np.cumsum(real)])[np.concatenate([[0], np.cumsum(words)])]
+        at, words = at[real], np.diff(upto)
+        at = np.insert(at, upto[1:], 0)
         lengths = self.lengths[at]
         ids = self.ids[ranges(self.starts[at], lengths)]
         ends = np.cumsum(lengths)[np.cumsum(words + 1) - 1]
