@@ -7,10 +7,13 @@ and all subdomains, if the path starts with the rule's; the longest rule wins.
 Where no fixed rule fits, tokens of the URL decide: scheme, labels of the host, words
 of the path, its ending, names of parameters; numbers are one token. Pages whose id is
 labelled are transactions, with an item for a bad label (toxic, or of low quality).
-Spark's FP-growth mines the frequent combinations over all of them. Rules that lead to
-the bad item are kept above the least support and confidence if they are more
-reliable than every rule with fewer tokens; an inverted index from token to rule
-matches them: a rule fires if all its tokens are met. Equal token sets are matched once.
+Spark's FP-growth mines the combinations that `LEAST_BAD` bad pages or more hold, a number
+and not a share, so that a host is found however many other pages are labelled. Rules that
+lead to the bad item are kept above the least confidence if they beat the base rate (the
+lower end of the Wilson interval at `SURE` deviations lies above the share of bad pages in
+all labelled ones) and are more reliable than every rule on some of their tokens; an inverted
+index from token to rule matches them: a rule fires if all its tokens are met. Equal token
+sets are matched once.
 
 Defined cases: a missing URL, or one without ``://``, has an empty host and path, and no
 tokens; repeated pages are judged each for itself, repeated labels of an id count as
@@ -35,8 +38,9 @@ FIXED = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-SUPPORT = 0.01
+LEAST_BAD = 3
 CONFIDENCE = 0.6
+SURE = 3.0
 BAD = "label=bad"
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -77,15 +81,38 @@ def fixed_rule(host_: Column, path_: Column, rules: Sequence[tuple[str, str, str
     return pick(lambda r: r[1] + r[2]), pick(lambda r: r[0])
 
 
-def mine(transactions: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """(rule, token, size) of the rules that lead to `BAD`, an inverted index.
+def reliable(bad: Column, all_: Column, base: float, sure: float = SURE) -> Column:
+    """Whether ``bad`` of ``all_`` pages lie above the base rate by the Wilson interval's lower end."""
+    share = bad / all_
+    spread = F.sqrt(share * (1 - share) / all_ + sure**2 / (4 * all_ * all_))
+    return (share + sure**2 / (2 * all_) - sure * spread) / (1 + sure**2 / all_) > base
+
+
+def association_rules(
+    transactions: DataFrame, least: int = LEAST_BAD, confidence: float = CONFIDENCE, sure: float = SURE
+) -> DataFrame:
+    """(items, bad, all, confidence) of the token combinations that lead to `BAD`.
 
     ``transactions`` has a column `items` of distinct tokens.
     """
+    found = transactions.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("items", BAD)).alias("bad")).first()
+    n, base = found["n"], found["bad"] / max(found["n"], 1)
+    # Half a page less, so that rounding never loses a combination of exactly ``least`` pages.
+    support = min(1.0, max(least - 0.5, 0.5) / max(n, 1))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(transactions)
+    bad = F.round(F.col("support") * n)
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(
-        F.array_sort("antecedent").alias("items"), "confidence"
+        F.array_sort("antecedent").alias("items"),
+        bad.cast("bigint").alias("bad"),
+        F.round(bad / F.col("confidence")).cast("bigint").alias("all"),
+        "confidence",
     )
+    return rules.where(reliable(F.col("bad"), F.col("all"), base, sure))
+
+
+def mine(transactions: DataFrame, least: int = LEAST_BAD, confidence: float = CONFIDENCE, sure: float = SURE) -> DataFrame:
+    """(rule, token, size) of the association rules that no rule on fewer tokens replaces, an inverted index."""
+    rules = association_rules(transactions, least, confidence, sure)
     numbered = rules.select(F.xxhash64("items").alias("rule"), "items", "confidence", F.size("items").alias("size"))
     index = numbered.select("rule", "size", "confidence", F.explode("items").alias("token"))
     # A rule is superfluous if a rule on some of its tokens is as reliable.
@@ -108,8 +135,9 @@ def judge(
     rules: Sequence[tuple[str, str, str]] = FIXED,
     key: str = "page_id",
     url: str = "url",
-    support: float = SUPPORT,
+    least: int = LEAST_BAD,
     confidence: float = CONFIDENCE,
+    sure: float = SURE,
 ) -> DataFrame:
     """Key, host, path, fixed rule and verdict of every page.
 
@@ -121,7 +149,7 @@ def judge(
     items = F.when(F.col("_bad"), F.array_append("_tokens", F.lit(BAD))).otherwise(F.col("_tokens"))
     transactions = known.select(items.alias("items")).where(F.size("items") > 0)
     rows = pages.select(F.col(key).alias("_key"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"), tokens(F.col(url)).alias("_tokens"))
-    index = mine(transactions, support, confidence)
+    index = mine(transactions, least, confidence, sure)
     sets = rows.select("_tokens").distinct()
     fired = (
         sets.select("_tokens", F.explode("_tokens").alias("token"))
