@@ -7,18 +7,21 @@ for each family (squared hinge loss) chooses the family; within it, one-versus-o
 machines vote, ties going to the larger sum of margins. Only the whole text is read.
 
 The machines are fitted on the driver, on at most `PER_LANGUAGE` distinct training
-rows of a language, those with the smallest hashes; at most `MAX_LANGUAGES` languages.
-Prediction is one pass without a shuffle.
+rows of a language, those with the smallest hashes, and about `SAMPLE_ROWS` rows of all of them
+(fewer of each if there are many, one at least; there is no limit on languages). Each task
+keeps its own smallest hashes of a language, so a language that most rows have is not
+gathered. Prediction is one pass without a shuffle.
 
 Defined cases: a text that is missing or has no letter is `und` with score 0, and so is
-every text if nothing was learned; a language outside `FAMILIES` is a family of its
-own; repeated training rows count once, repeated rows are predicted each for itself;
-an empty table gives an empty table; extra columns are ignored by `identify`, kept by
-`keep_identified`.
+every text if nothing was learned; `keep_identified` then keeps the texts with a letter. A
+language outside `FAMILIES` is a family of its own; repeated training rows count
+once, repeated rows are predicted each for itself; an empty table gives an empty table; extra
+columns are ignored by `identify`, kept by `keep_identified`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from itertools import combinations
 
 import numpy as np
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bugtide.llm.tools import Batches, in_arrow, numbered, pieces, split_remainder, utf8
+from bugtide.storage import written
 
 #: Families of languages, by ISO 639-1 code (fixed values).
 FAMILIES = {
@@ -41,7 +45,7 @@ FAMILIES = {
 FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes}
 FEATURES = 4096
 PER_LANGUAGE = 200
-MAX_LANGUAGES = 128
+SAMPLE_ROWS = 12_800
 ROUNDS = 150
 STEP = 64
 SLICE = 1_000_000
@@ -133,21 +137,35 @@ def _share(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-3 * np.clip(margin, -20, 20)))
 
 
+def _smallest(batches: Batches) -> Batches:
+    """The `PER_LANGUAGE` smallest distinct hashes of each language among the task's rows."""
+    held: dict[str, np.ndarray] = {}
+    for batch in batches:
+        coded = batch.column(0).dictionary_encode()
+        order, kind = batch.column(1).to_numpy(), coded.indices.to_numpy()
+        for i, name in enumerate(coded.dictionary.to_pylist()):
+            own = np.concatenate([held.get(name, np.zeros(0, dtype=np.int64)), order[kind == i]])
+            held[name] = np.unique(own)[:PER_LANGUAGE]
+    names = [name for name, own in held.items() for _ in own]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(names, pa.string()), pa.array(np.concatenate([*held.values(), np.zeros(0, dtype=np.int64)]), pa.int64())],
+        names=["_lang", "_order"],
+    )
+
+
 def train(docs: DataFrame, held_out: Column, key: str, text: str, lang: str) -> Model | None:
     """Fit on a bounded sample of the rows that are not held out and have a language."""
     rows = docs.where(~held_out & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("_lang"), utf8(text).alias("_text"), F.xxhash64(key, text).alias("_order")
     )
+    smallest = in_arrow(rows.select("_lang", "_order"), _smallest, "_lang string, _order bigint").distinct()
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_order"))
-    narrow = rows.select("_lang", "_order").distinct()
-    ends = narrow.withColumn("_rank", rank).where(F.col("_rank") <= PER_LANGUAGE).groupBy("_lang").agg(F.max("_order").alias("_last"))
-    ends = ends.limit(MAX_LANGUAGES + 1).collect()
-    if len(ends) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not ends:
+    ranked = written(smallest.withColumn("_rank", rank).where(F.col("_rank") <= PER_LANGUAGE))
+    languages = ranked.select("_lang").distinct().count()
+    if not languages:
         return None
-    last = F.create_map(*(F.lit(v) for r in ends for v in (r["_lang"], r["_last"])))
-
+    each = min(PER_LANGUAGE, max(1, SAMPLE_ROWS // languages))
+    ends = ranked.where(F.col("_rank") <= each).groupBy("_lang").agg(F.max("_order").alias("_last"))
     def work(batches: Batches) -> Batches:
         for batch in batches:
             x = features(batch.column(1).to_pylist()).astype(np.float32)
@@ -155,7 +173,8 @@ def train(docs: DataFrame, held_out: Column, key: str, text: str, lang: str) ->
                 [batch.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["_lang", "_x"]
             )
 
-    sample = rows.where(F.col("_order") <= last[F.col("_lang")]).dropDuplicates(["_lang", "_order"])
+    # At most `PER_LANGUAGE` distinct rows of a language are left, however many copies they had.
+    sample = rows.join(ends, "_lang").where(F.col("_order") <= F.col("_last")).dropDuplicates(["_lang", "_order"])
     found = in_arrow(sample.select("_lang", "_text"), work, "_lang string, _x binary").orderBy("_lang", "_x").collect()
     x = np.stack([np.frombuffer(r["_x"], dtype=np.float32) for r in found])
     return Model([r["_lang"] for r in found], x)
@@ -199,10 +218,22 @@ def _predicted(model: Model | None, texts: list[bytes], letter: list[bool]) -> t
     return [f if ok else "und" for f, ok in zip(found, letter, strict=True)], np.where(letter, np.concatenate(scores), 0.0)
 
 
+#: A text whose prediction scores less is taken for a text in no language: even odds in both steps.
+LEAST_SCORE = 0.25
+
+
 def keep_identified(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = 3, fold: int = 1
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    folds: int = 3,
+    fold: int = 1,
+    wanted: Collection[str] | None = None,
+    least: float = LEAST_SCORE,
 ) -> DataFrame:
-    """The documents, all columns, without those whose language is `und`."""
+    """The documents, all columns, whose predicted language is one of ``wanted`` (any, if none
+    are named) with a score of ``least``. If nothing was learned, those with a letter."""
     model = train(docs, split_remainder(key, folds) == fold, key, text, lang)
     plain = numbered(docs)
     names = plain.columns
@@ -211,7 +242,12 @@ def keep_identified(
     def work(batches: Batches) -> Batches:
         for batch in batches:
             for rows, texts in pieces(batch, own, SLICE):
-                found, _ = _predicted(model, texts, rows.column(len(names)).to_pylist())
-                yield rows.select(names).filter(pa.array([f != "und" for f in found], pa.bool_()))
+                letter = rows.column(len(names)).to_pylist()
+                found, score = _predicted(model, texts, letter)
+                if model is None:
+                    kept = np.array(letter, dtype=bool)
+                else:
+                    kept = np.array([f != "und" and (wanted is None or f in wanted) for f in found], dtype=bool) & (score >= least)
+                yield rows.select(names).filter(pa.array(kept))
 
     return in_arrow(plain.select("*", _letter(own)), work, plain.schema).toDF(*docs.columns)
