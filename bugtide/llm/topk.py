@@ -118,7 +118,7 @@ def _scores(
             yield alive[order], [min(max(scores[j], LEAST), MOST) for j in order]
 
 
-#: Stands for a missing id, behind all others.
+#: Ranks a missing id behind all others.
 NO_ID = MOST
 
 
@@ -151,10 +151,10 @@ def _search(batches: Batches, k: int) -> Batches:
         is_query = rows.column("_query").to_numpy()
         queries, candidates = np.flatnonzero(is_query), np.flatnonzero(~is_query)
         floors = rows.column("_floor").to_numpy()[queries]
-        names = ids[candidates]
+        names, missing = ids[candidates], rows.column("_id").is_null().to_numpy()[candidates]
         found = _scores(table[:, queries], numbers[queries], floors, table[:, candidates], numbers[candidates], names, k)
         out = [
-            (int(numbers[q]), int(ids[q]), None if names[c] == NO_ID else int(names[c]), score)
+            (int(numbers[q]), int(ids[q]), None if missing[c] else int(names[c]), score)
             for q, (chosen, scores) in zip(queries, found, strict=True)
             for c, score in zip(chosen, scores, strict=True)
         ]
