@@ -1,6 +1,7 @@
 """Every operator on odd rows and against a plain computation."""
 
 import hashlib
+import itertools
 import json
 import math
 import random
@@ -10,6 +11,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -167,20 +169,40 @@ def test_fm_index_finds_all_occurrences():
     )
 
 
-def test_simhash(docs):
+def simhash_groups(texts):
+    """Fingerprints, and the smallest place that each text is linked to, by comparing all pairs."""
+
     def print_of(text):
         w = lower(text).encode().split()
         s = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
         h = [xxh64_intdigest(x, 42) for x in s]
         return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
-    prints = [print_of(text_of(r)) for r in ROWS]
-    group = list(range(len(ROWS)))
-    for _ in ROWS:
+    prints = [print_of(t) for t in texts]
+    group = list(range(len(texts)))
+    for _ in texts:
         for i, a in enumerate(prints):
             for j, b in enumerate(prints):
                 if (a ^ b).bit_count() <= 3:
                     group[i] = group[j] = min(group[i], group[j])
+    return prints, group
+
+
+def repeat_marks(texts):
+    """For each text the bytes that a string of 200 bytes covers which occurs elsewhere too."""
+    seen = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    found = []
+    for t in texts:
+        marks = np.zeros(len(t), dtype=bool)
+        for i in range(len(t) - 199):
+            if seen[t[i : i + 200]] > 1:
+                marks[i : i + 200] = True
+        found.append(marks)
+    return found
+
+
+def test_simhash(docs):
+    prints, group = simhash_groups([text_of(r) for r in ROWS])
     least = {g: min((ROWS[i][0] for i in range(len(ROWS)) if group[i] == g and ROWS[i][0] is not None), default=None) for g in group}
     expected = [(r[0], f"{p:016x}", least[g]) for r, p, g in zip(ROWS, prints, group, strict=True)]
     found = simhash.near_duplicates(docs)
@@ -214,13 +236,8 @@ def test_thresholds_by_dynamic_programme():
 
 def test_repeated_substrings(docs):
     texts = [text_of(r).encode() for r in ROWS]
-    seen = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
     expected, left = [], []
-    for r, t in zip(ROWS, texts, strict=True):
-        marks = np.zeros(len(t), dtype=bool)
-        for i in range(len(t) - 199):
-            if seen[t[i : i + 200]] > 1:
-                marks[i : i + 200] = True
+    for r, t, marks in zip(ROWS, texts, repeat_marks(texts), strict=True):
         kept = bytes(b for b, m in zip(t, marks, strict=True) if not m)
         runs = int((np.diff(marks.astype(int), prepend=0) == 1).sum())
         expected.append((r[0], len(t), int(marks.sum()), runs, hashlib.sha256(kept).hexdigest()))
@@ -270,6 +287,35 @@ def test_language(spark, docs):
     assert right.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.98
 
 
+def test_language_without_labels_with_many_and_with_a_hot_one(spark, docs):
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
+    lettered = [r[0] for r in ROWS if r[1] and re.search(r"[^\W\d_]", r[1])]
+    assert sorted(map(repr, (r["doc_id"] for r in language.keep_identified(unlabelled).collect()))) == sorted(map(repr, lettered))
+    # More labels than machines were allowed before; all rows of one language are one text.
+    many = [(i, f"{'abcdefghij'[i % 10] * 3}{'klmnopqrst'[i // 10 % 10] * 3} " * 9, f"l{i % 150}", "s") for i in range(600)]
+    many += [(1000 + i, "hot text here", "hot", "s") for i in range(2000)]
+    df = spark.createDataFrame(many, "doc_id long, text string, lang string, source string").repartition(4)
+    found = language.identify(df).where("doc_id >= 1000").groupBy("lang_pred").count().collect()
+    assert [tuple(r) for r in found] == [("hot", 2000)]
+
+
+def test_smallest_hashes_are_merged(monkeypatch):
+    monkeypatch.setattr(language, "PER_LANGUAGE", 3)
+    rows = [("a", h) for h in (5, 1, 1, 9, 7, 1)] + [("b", 2)] + [("a", h) for h in (0, 9, 3)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[i : i + 4]]), pa.array([r[1] for r in rows[i : i + 4]])], names=["_lang", "_order"]) for i in (0, 4, 8)]
+    (found,) = language._smallest(iter(batches))
+    assert [tuple(r.values()) for r in found.to_pylist()] == [("a", 0), ("a", 1), ("a", 3), ("b", 2)]
+
+
+def test_language_stage_decides(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    only = language.keep_identified(rows, wanted=["de"], least=0.0)
+    shares = {r["lang"]: r["count"] for r in only.groupBy("lang").count().collect()}
+    assert shares["de"] / sum(shares.values()) > 0.97
+    assert language.keep_identified(rows, least=1.0).count() < rows.count()
+
+
 def test_topk(spark):
     rng = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in rng.normal(0, 0.3, 20)]) for i in range(400)]
@@ -338,6 +384,42 @@ def test_url_rules(spark):
     assert {r["verdict"] for r in urlrules.judge(pages, labels.limit(0)).where("rule IS NULL").collect()} == {"allow"}
 
 
+def test_mined_rules_equal_an_exhaustive_search(spark):
+    """All token combinations of all labelled pages, counted one by one."""
+    rng = random.Random(8)
+    hosts = ["good.org", "mixed.net", "spam.com", "www.spam.com", "lone.io"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['a', 'b', 'c'])}/{rng.randint(1, 99)}{rng.choice(['', '?x=1', '.html'])}" for _ in range(220)]
+    urls += ["http://rare.biz/z"] * 3 + [None, "no scheme", "http://" + "long" * 5000 + ".org/" + "p/" * 40]
+    bad = [int("spam" in (u or "") and rng.random() < 0.9 or "rare" in (u or "") or rng.random() < 0.1) for u in urls]
+    pages = spark.createDataFrame([(i, u, 0, "z", "z") for i, u in enumerate(urls)], "page_id long, url string, toxic int, items string, host string")
+    labels = spark.createDataFrame([(i, 1, b, "x") for i, b in enumerate(bad)] + [(0, 1, bad[0], "x"), (None, 0, 1, "x")], "doc_id long, quality int, toxic int, url string")
+    sets = {r["page_id"]: r["t"] for r in pages.select("page_id", urlrules.tokens(F.col("url")).alias("t")).collect()}
+    counted = defaultdict(lambda: [0, 0])
+    for i, own in sets.items():
+        for size in range(1, len(own) + 1):
+            for chosen in itertools.combinations(own, size):
+                counted[chosen][0] += bad[i]
+                counted[chosen][1] += 1
+    labelled = [i for i, own in sets.items() if own or bad[i]]
+    base = sum(bad[i] for i in labelled) / len(labelled)
+
+    def sure(k, n, z=urlrules.SURE):
+        p = k / n
+        return (p + z * z / (2 * n) - z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n) > base
+
+    rules = {c: k / n for c, (k, n) in counted.items() if k >= urlrules.LEAST_BAD and k / n >= urlrules.CONFIDENCE and sure(k, n)}
+    kept = {c: p for c, p in rules.items() if not any(set(d) < set(c) and q >= p for d, q in rules.items())}
+    known = spark.createDataFrame([(own + [urlrules.BAD] * bad[i],) for i, own in sets.items() if own or bad[i]], "items array<string>")
+    mined = defaultdict(set)
+    for r in urlrules.mine(known).collect():
+        mined[r["rule"]].add(r["token"])
+    assert kept and {frozenset(c) for c in kept} == {frozenset(c) for c in mined.values()}
+    fired = {i: sum(set(c) <= set(own) for c in kept) for i, own in sets.items()}
+    found = urlrules.judge(pages, labels, rules=()).collect()
+    assert {r["page_id"]: r["n_rules"] for r in found} == fired
+    assert {r["page_id"] for r in found if r["verdict"] == "block"} == {i for i, n in fired.items() if n}
+
+
 @pytest.mark.parametrize("weights", [None, {"a": 3.0, "b": 1.0}])
 def test_packing(docs, weights):
     from tokenizers import Tokenizer
@@ -522,3 +604,63 @@ def test_pipeline_stages(spark, docs, bench, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
     assert packed.count() > 0
+
+
+def test_pipeline_stage_by_stage(spark, bench, tmp_path):
+    """Each stage on what the one before kept, against a plain computation on the same rows."""
+    near = [(300 + i, BASE.replace("river", "lake", i), "en", "b") for i in range(3)]
+    shared = _text(70)
+    own = [(400 + i, f"{_text(30)} {shared} {_text(30)}", "en", "a") for i in range(4)]
+    own += [(410, f"{_text(20)} {BENCH} {_text(20)}", "de", "b"), (411, None, "en", "a"), (412, "12 ! 34", "en", "a")]
+    given = [r for r in ROWS if r[0] is not None and r[0] not in (10, 11)] + near + own
+    spark.createDataFrame(given, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    sf_dir = str(tmp_path)
+    stages = dict(corpus_pipeline.STAGES)
+    names = ["doc_id", "text", "lang", "source"]
+
+    def run(name, docs):
+        kept = stages[name](spark, docs, sf_dir)
+        assert kept.columns == names
+        stored = spark.createDataFrame(kept.collect(), kept.schema)
+        return stored, [tuple(r) for r in stored.orderBy("doc_id").collect()]
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    told = {r["doc_id"]: r for r in language.identify(docs).collect()}
+    docs, kept = run("language_id", docs)
+    assert [r[0] for r in kept] == sorted(i for i, r in told.items() if r["lang_pred"] != "und" and r["score"] >= language.LEAST_SCORE)
+    assert not {411, 412} & {r[0] for r in kept}
+
+    _, group = simhash_groups([r[1] for r in kept])
+    before, (docs, kept) = kept, run("simhash_near_dedup", docs)
+    places = [group[before.index(r)] for r in kept]
+    assert len(places) == len(set(places)) == len(set(group)) < len(before)
+
+    texts = [r[1].encode() for r in kept]
+    left = [t[~substrings.whole_characters(bytes(t), m)].tobytes().decode() for t, m in zip([np.frombuffer(t, np.uint8) for t in texts], repeat_marks(texts))]
+    before, (docs, kept) = kept, run("suffix_array_dedup", docs)
+    assert [r[1] for r in kept] == left and left != [r[1] for r in before]
+    assert [r[0] for r in kept] == [r[0] for r in before]
+
+    cut = lambda text: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text or ""))
+    windows = {tuple(w[i : i + 10]) for w in (cut(r["text"]) for r in bench.collect()) if w for i in range(max(1, len(w) - 9))}
+    hit = lambda text: any(tuple(cut(text)[i : i + len(w)]) == w for w in windows for i in range(len(cut(text))))
+    before, (docs, kept) = kept, run("benchmark_decontamination", docs)
+    assert [r[0] for r in kept] == [r[0] for r in before] and any(hit(r[1]) for r in before)
+    assert not any(hit(r[1]) for r in kept)
+    assert [r for r in kept if not hit(before[kept.index(r)][1])] == [r for r in before if not hit(r[1])]
+
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(queries.tokenizer_path())
+    pieces = defaultdict(list)
+    for r in stages["packing"](spark, docs, sf_dir).collect():
+        pieces[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]))
+    assert sorted(pieces) == [r[0] for r in kept]
+    for doc_id, text, *_ in kept:
+        ids = np.array([*whole.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+        at = 0
+        for start, length, crc, n in sorted(pieces[doc_id]):
+            assert (start, n, crc) == (at, len(ids), zlib.crc32(ids[at : at + length].tobytes()))
+            at += length
+        assert at == len(ids)
