@@ -9,10 +9,13 @@ window has a Jaccard similarity of at least 7/17 with it; sixteen bands of one r
 then miss it with probability 0.0002, and a piece of which six are left (6/18)
 with 0.0015. Templates of fewer than eight shingles use windows of one shingle,
 where the similarity is 1 and nothing is missed. Candidates are then verified: the
-share of the template's distinct shingles, as text, that the document holds.
+share of the template's distinct shingles, as text, that the document holds. Of variants that
+share most of their words the right one stays: a notice is dropped if all its shingles that
+the document holds stand in another template too, of which it holds a larger share, or the same
+share and more shingles.
 
-Everything is a projection on the row of a document: nothing is shuffled, and the
-templates are the only thing sent out (their number of words is checked).
+Everything is a projection on the row of a document: nothing is shuffled or joined, and the
+templates are the only thing in the plan (their number of words is checked).
 
 Defined cases: missing and empty texts, and texts of fewer than five words, match
 nothing; a template of fewer than five words is refused; repeated rows give repeated
@@ -32,21 +35,59 @@ NOTICES = {
     "Apache-2.0-header": "Unless required by applicable law or agreed to in writing, software distributed under the "
     "License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
     "See the License for the specific language governing permissions and limitations under the License",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+    "your option) any later version",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted "
-    "provided that the following conditions are met: Redistributions of source code must retain the above copyright "
-    "notice, this list of conditions and the following disclaimer",
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+    "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its "
+    "contributors may be used to endorse or promote products derived from this software without specific prior written "
+    "permission.",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+    "this work",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-NC-4.0-sentence": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+    "2.0 which is available at",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the "
+    "GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at "
+    "your option) any later version",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
     "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
     "GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
     "your option) any later version",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+    "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+    "(at your option) any later version",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the "
+    "GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+    "(at your option) any later version",
     "MIT": "Released under the MIT License",
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
     "associated documentation files (the Software), to deal in the Software without restriction, including without "
     "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
     "Software, and to permit persons to whom the Software is furnished to do so",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+    "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
+    "purpose, commercial or non-commercial, and by any means",
+    "Zlib": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to "
+    "alter it and redistribute it freely, subject to the following restrictions",
 }
 SHINGLE = 5
 BLOCK = 8
@@ -140,9 +181,7 @@ class Templates:
         if notices and (short := [r["license"] for r in found if not r["shingles"]]):
             raise ValueError(f"templates of fewer than {SHINGLE} words: {short}")
         found = [r for r in found if r["shingles"]]
-        self.rows = spark.createDataFrame(
-            [(r["license"], r["shingles"]) for r in found], "license string, template array<string>"
-        )
+        self.texts = {r["license"]: list(r["shingles"]) for r in found}
         self.bands = sorted({p for r in found if r["long"] for p in r["probes"]})
         self.shingles = sorted({h for r in found if r["long"] for h in r["hashes"]})
         self.single = sorted({p for r in found if not r["long"] for p in r["probes"]})
@@ -152,6 +191,12 @@ class Templates:
                 owners.setdefault(p, []).append(r["license"])
         self.owners = owners
 
+    def template(self, license_: Column) -> Column:
+        """The shingles of a notice by its name."""
+        if not self.texts:
+            return F.array().cast("array<string>")
+        return F.create_map(*[x for name, own in self.texts.items() for x in (F.lit(name), F.array(*map(F.lit, own)))])[license_]
+
     def candidates(self, hashes: Column) -> Column:
         """Names of the notices that share a band with a window of the text."""
         return _let(hashes, self._candidates)
@@ -178,13 +223,30 @@ def find_licenses(
     found = docs.select(F.col(key).alias("_key"), words(F.col(text)).alias("_w")).select(
         "_key", "_w", templates.candidates(shingle_hashes(F.col("_w"))).alias("_found")
     )
-    # An inner explode would make the optimizer compute the bands a second time, in a
-    # filter on their number; the join drops the rows without a candidate.
-    pairs = found.select("_key", "_w", F.explode_outer("_found").alias("license"))
-    shared = F.size(F.array_intersect("template", shingle_texts(F.col("_w")))).cast("bigint")
-    verified = pairs.join(F.broadcast(templates.rows), "license").select(
-        F.col("_key").alias(key), "license", shared.alias("n_shared"), F.size("template").cast("bigint").alias("n_template")
-    )
-    return verified.withColumn("containment", F.col("n_shared") / F.col("n_template")).where(
-        F.col("containment") >= F.lit(least)
-    )
+    held = F.when(F.size("_found") > 0, _let(shingle_texts(F.col("_w")), lambda own: _verified(F.col("_found"), own, templates, least)))
+    # An inner explode would make the optimizer compute all this a second time, in a
+    # filter on the array's size.
+    hits = found.select("_key", F.explode_outer(held).alias("_hit")).where(F.col("_hit").isNotNull())
+    return hits.select(F.col("_key").alias(key), "_hit.license", "_hit.n_shared", "_hit.n_template", "_hit.containment")
+
+
+def _verified(names: Column, own: Column, templates: Templates, least: float) -> Column:
+    """The notices of which a text with these shingles holds enough, without worse variants."""
+
+    def hit(name: Column) -> Column:
+        template = templates.template(name)
+        shared = F.array_intersect(template, own)
+        return F.struct(
+            name.alias("license"),
+            F.size(shared).cast("bigint").alias("n_shared"),
+            F.size(template).cast("bigint").alias("n_template"),
+            (F.size(shared) / F.size(template)).alias("containment"),
+            shared.alias("shared"),
+        )
+
+    def worse(h: Column, o: Column) -> Column:
+        less = (h.containment < o.containment) | ((h.containment == o.containment) & (h.n_shared < o.n_shared))
+        return less & (F.size(F.array_except(h.shared, templates.template(o.license))) == 0)
+
+    hits = F.filter(F.transform(names, hit), lambda h: h.containment >= F.lit(least))
+    return _let(hits, lambda all_: F.filter(all_, lambda h: ~F.exists(all_, lambda o: worse(h, o))))

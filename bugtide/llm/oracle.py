@@ -21,12 +21,21 @@ template AS (
 shingles AS (
   SELECT n, doc_id, unnest({_SHINGLES}) AS shingle
   FROM (SELECT row_number() OVER () AS n, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents)
+),
+hits AS (
+  SELECT n, any_value(doc_id) AS doc_id, license, count(*) AS n_shared, any_value(n_template) AS n_template,
+         count(*) / any_value(n_template)::DOUBLE AS containment, list(shingle) AS shared
+  FROM shingles JOIN template USING (shingle)
+  GROUP BY n, license
+  HAVING count(*) / any_value(n_template)::DOUBLE >= 0.8
+),
+whole AS (SELECT license AS other, list(shingle) AS other_shingles FROM template GROUP BY license)
+SELECT doc_id, license, n_shared, n_template, containment FROM hits AS h
+WHERE NOT EXISTS (
+  SELECT 1 FROM hits AS o JOIN whole ON other = o.license
+  WHERE o.n = h.n AND (o.containment > h.containment OR (o.containment = h.containment AND o.n_shared > h.n_shared))
+    AND list_has_all(other_shingles, h.shared)
 )
-SELECT any_value(doc_id) AS doc_id, license, count(*) AS n_shared, any_value(n_template) AS n_template,
-       count(*) / any_value(n_template)::DOUBLE AS containment
-FROM shingles JOIN template USING (shingle)
-GROUP BY n, license
-HAVING count(*) / any_value(n_template)::DOUBLE >= 0.8
 """
 
 _TERMS = (
