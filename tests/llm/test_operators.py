@@ -506,6 +506,34 @@ def test_licenses(docs):
         licenses.find_licenses(docs, notices={"short": "a b"})
 
 
+def test_licence_variants_are_told_apart(spark):
+    n = licenses.NOTICES
+    two = n["BSD-2-Clause"].replace("1. ", "* ").replace("2. ", "* ")
+    given = {
+        1: two,
+        2: n["BSD-3-Clause"],
+        3: "x y " + n["GPL-2.0"] + " z",
+        4: n["GPL-2.0"] + ". " + n["GPL-3.0"],
+        5: n["LGPL-2.1-header"],
+        6: n["LGPL-3.0-header"] + " and " + n["GPL-3.0-header"],
+        7: n["GPL-3.0-header"],
+        8: n["ISC"],
+        9: n["CC-BY-SA-4.0"],
+        10: n["GPL-2.0-header"].replace(";", ","),
+        11: "nothing of the kind",
+        12: " ".join(n.values()),
+    }
+    df = spark.createDataFrame(list(given.items()), "doc_id long, text string")
+    found = defaultdict(set)
+    for r in licenses.find_licenses(df).collect():
+        found[r["doc_id"]].add(r["license"])
+    assert {k: x for k, x in found.items() if k < 12} == {
+        1: {"BSD-2-Clause"}, 2: {"BSD-3-Clause"}, 3: {"GPL-2.0"}, 4: {"GPL-2.0", "GPL-3.0"}, 5: {"LGPL-2.1-header"},
+        6: {"LGPL-3.0-header", "GPL-3.0-header"}, 7: {"GPL-3.0-header"}, 8: {"ISC"}, 9: {"CC-BY-SA-4.0"}, 10: {"GPL-2.0-header"},
+    }
+    assert found[12] == set(n) - {"BSD-2-Clause"}
+
+
 def test_pitman_yor(spark, docs):
     found = pitmanyor.score_documents(docs).collect()
     tokens = [[*lower(text_of(r)).encode().split(), b" "] for r in ROWS]
