@@ -23,7 +23,11 @@ OWN = list(QUERIES)
 
 @pytest.mark.parametrize("name", OWN)
 def test_query_equals_its_sql(spark, database, name):
+    """The rows, and a plan that stays in the JVM and crosses nothing."""
     found = entry.queries()[name](spark, SMALL)
+    plan = plan_of(found)
+    for bad in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan
     assert compare.difference(found, database, entry.oracle_sql()[name]) is None
 
 
@@ -35,17 +39,6 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 2
 
 
-# One table of each plan stands for the others, which come from the same stored tables.
-PLANNED = [n for n in OWN if not n.startswith(("profile_", "audit_"))] + ["profile_word_counts", "audit_team_distribution"]
-
-
-@pytest.mark.parametrize("name", PLANNED)
-def test_plans_stay_in_the_jvm_and_cross_nothing(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SMALL))
-    for bad in ("EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert bad not in plan
-
-
 def test_report_texts_are_dealt_over_the_cores(spark):
     """One file of one row group feeds all cores; no task holds more than its share of the texts."""
     rows = adapters.tracker_raw(spark, SMALL).select(F.spark_partition_id().alias("task"), F.length("body").alias("n"))
