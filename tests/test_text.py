@@ -120,3 +120,19 @@ def test_truncate_never_exceeds_the_limit(spark):
 def test_preview(spark):
     found = apply(spark, ["", None, "abcdef"], lambda c: tx.preview(c, 3, "(empty)"), lambda c: tx.preview(c, 3))
     assert found == [("(empty)", ""), ("(empty)", None), ("abc", "abc")]
+
+
+def test_the_start_of_a_long_text_gives_the_words_of_the_whole(spark):
+    marks = ["<b>", "<", ">", "&amp;", "\r\n", "\r", FRAME * 12, "  at a.b(C.java:1)\n", ")\n", "\n\n\n", "\t", " "]
+    texts = random_texts(400, ["ab", "c", "é"] * 8 + [" "] * 24 + marks, 60)
+    texts += [" ".join(["word"] * 9) + FRAME * 14, "one two three four <" + " x" * 30 + ">", "", None]
+    both = apply(
+        spark, texts, lambda c: tx.clean_truncated(c, 3), lambda c: tx.truncate_words(tx.clean_text(c), 3)
+    )
+    assert [a for a, _ in both] == [b for _, b in both]
+
+
+def test_a_long_text_is_stripped_like_a_short_one(spark):
+    texts = [a + "x" * 300 + b for a in ["", *v.WHITESPACE] for b in ["", *v.WHITESPACE]] + [" " * 300, None]
+    found = apply(spark, texts, tx.strip_text)
+    assert found == [t if t is None else t.strip() for t in texts]
