@@ -282,3 +282,23 @@ def test_csv_round_trip_keeps_text(spark, tmp_path):
     df = spark.createDataFrame([(str(i), t, "z") for i, t in enumerate(texts)], "id string, text string, last string")
     tables.write_csv(df, str(tmp_path / "csv"))
     assert rows_of(tables.read_table(spark, str(tmp_path / "csv"), "csv")) == rows_of(df)
+
+
+def test_subtraction_neither_sorts_rows_nor_shuffles_missing_ids(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bugs = spark.createDataFrame([("1", "x"), (" 2", "y"), (None, "z"), (None, "z")], "id string, body string")
+        lists = spark.createDataFrame([("2", "9")], "issue_id string, duplicate_ids string")
+        out = dedup.subtract_listed(bugs, dedup.listed_ids(lists))
+        assert rows_of(out) == sorted([("1", "x"), (None, "z"), (None, "z")], key=repr)
+        assert "ShuffledHashJoin" in plan_of(out) and "Sort" not in plan_of(out).replace("SortMerge", "Sort")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_published_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(tables.CSV_OUT, "maxRecordsPerFile", 10)
+    tables.write_csv(spark.range(0, 35, 1, 1).selectExpr("cast(id as string) id"), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("*.csv"))) == 4
+    assert tables.read_table(spark, str(tmp_path / "out"), "csv").count() == 35
