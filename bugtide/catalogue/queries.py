@@ -99,7 +99,7 @@ def load_all_sources(spark, sf_dir):
 @query
 def load_required_source(spark, sf_dir):
     """The required source alone, where the optional ones are missing."""
-    root = adapters.stored_sources(spark, sf_dir)
+    root = adapters.stored_sources(spark, sf_dir, optional=False)
     return tables.load_all(spark, f"{root}/bugzilla", f"{root}/none", f"{root}/neither")
 
 
