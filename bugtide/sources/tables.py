@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +55,25 @@ def load_all(
     return unify.append(*frames)
 
 
+#: A task that writes to at most so many folders keeps a file open in each.
+OPEN_FOLDERS = 20
+
+
+@contextmanager
+def _open_folders(spark: SparkSession) -> Iterator[None]:
+    """While this lasts, rows are not sorted by folder before they are written, which would sort whole texts.
+
+    A task that meets more folders sorts the rest of its rows.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_splits(df: DataFrame, path: str, rebalance: bool = False) -> None:
     """One Parquet folder per split, so that reading one split skips the others.
 
@@ -60,7 +82,8 @@ def write_splits(df: DataFrame, path: str, rebalance: bool = False) -> None:
     """
     if rebalance:
         df = df.hint("rebalance", "split")
-    df.write.mode("overwrite").partitionBy("split").parquet(path)
+    with _open_folders(df.sparkSession):
+        df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def read_splits(spark: SparkSession, path: str, *splits: str) -> DataFrame:
@@ -77,6 +100,8 @@ CSV_OUT = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    # Texts may hold line breaks, so a file is read by one task, whatever its size.
+    "maxRecordsPerFile": 20_000,
 }
 
 
@@ -102,6 +127,7 @@ def training_sample(train: DataFrame, n: int = 100, order_by: str = "report_key"
 
 
 def write_tokens(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").partitionBy("split").parquet(path)
+    with _open_folders(df.sparkSession):
+        df.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
