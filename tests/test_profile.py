@@ -169,3 +169,32 @@ def test_small_reports(spark):
     assert tuple(profile.unknown_rate(df).first()) == (2, 1, 50.0)
     assert tuple(profile.team_coverage(df).first()) == ("s", 2, 1, 50.0)
     assert {r[0] for r in profile.distinct_values(df, "priority").collect()} == {"P0", None}
+
+
+def test_word_counts_are_summed_up_without_a_job(spark):
+    from bugtide import storage
+
+    rows = [(1, 4), (2, 4), (2, None), (9, 7), (None, 1)]
+    before = storage.stored()
+    found = profile.word_count_summary(spark.createDataFrame(rows, "title_words int, body_words int"))
+    assert storage.stored() == before
+    assert {r.field: tuple(r)[1:] for r in found.collect()} == {"title": (3.5, 2.0, 9), "body": (4.0, 4.0, 7)}
+    empty = profile.word_count_summary(spark.createDataFrame([], "title_words int, body_words int"))
+    assert sorted(map(tuple, empty.collect())) == [("body", None, None, None), ("title", None, None, None)]
+
+
+def test_tables_of_counts_read_no_text(spark, tmp_path):
+    from bugtide.plans import reports
+
+    columns = "source string, priority string, team string, split string, title string, body string, resolution_time_days double"
+    spark.createDataFrame([("a", "P1", "infra", "train", "t", "b", 1.0)], columns).write.parquet(str(tmp_path / "s"))
+    seen = []
+    splits = spark.read.parquet(str(tmp_path / "s"))
+    original = reports.written
+    reports.written = lambda df: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or original(df)
+    try:
+        assert reports.profile_tables(splits)["shape"]().first().rows == 1
+    finally:
+        reports.written = original
+    read = spark.read.parquet(str(tmp_path / "s")).columns
+    assert len(seen) == 1 and "md5" not in seen[0] and set(read) == set(splits.columns)
