@@ -238,17 +238,24 @@ def with_word_counts(df: DataFrame) -> DataFrame:
 def word_count_summary(counted: DataFrame) -> DataFrame:
     """Mean, exact median and maximum of the word counts of titles and bodies.
 
-    The counts are stored first, so the text is read once; runs jobs when called.
+    Rows are first counted by field and word count, so the text is read once and everything
+    follows from a table that is as long as the word counts differ; no job runs when called.
     """
     fields = [F.struct(F.lit(name).alias("field"), F.col(f"{name}_words").alias("words")) for name in ("title", "body")]
-    rows = written(counted.select(F.inline(F.array(*fields))))
-    medians = exact_medians(rows.select(F.col("field").alias("group"), F.col("words").alias("value")))
-    sums = rows.groupBy("field").agg(
-        F.round(F.avg("words"), 1).alias("mean_words"), F.max("words").cast("bigint").alias("max_words")
+    rows = counted.select(F.inline(F.array(*fields))).groupBy("field", "words").agg(_rows().alias("rows"))
+    known = rows.where(F.col("words").isNotNull())
+    upto = F.sum("rows").over(Window.partitionBy("field").orderBy("words"))
+    total = F.sum("rows").over(Window.partitionBy("field"))
+    ranked = known.withColumns({"_upto": upto, "n": total})
+    covers = lambda rank: (F.col("_upto") > rank) & (F.col("_upto") - F.col("rows") <= rank)
+    middle = [F.max(F.when(covers(rank), F.col("words"))) for rank in (_first_rank(), _last_rank())]
+    sums = ranked.groupBy("field").agg(
+        F.round(F.sum(F.col("words") * F.col("rows")) / F.sum("rows"), 1).alias("mean_words"),
+        (0.5 * middle[0] + 0.5 * middle[1]).alias("median_words"),
+        F.max("words").cast("bigint").alias("max_words"),
     )
-    names = counted.sparkSession.createDataFrame([("title",), ("body",)], "field string")
-    found = names.join(sums, "field", "left").join(medians.withColumnRenamed("group", "field"), "field", "left")
-    return found.select("field", "mean_words", F.col("median").alias("median_words"), "max_words")
+    names = counted.sparkSession.range(1).select(F.explode(F.array(F.lit("title"), F.lit("body"))).alias("field"))
+    return names.join(sums, "field", "left").select("field", "mean_words", "median_words", "max_words")
 
 
 def _capped(column: str, cap: float) -> Column:
