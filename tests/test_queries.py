@@ -47,6 +47,18 @@ def test_report_texts_are_dealt_over_the_cores(spark):
     assert max(shares) < 3 * sum(shares) / len(shares)
 
 
+def test_texts_joined_by_a_shuffle_are_dealt_over_the_cores(spark):
+    """The tasks of that join are not merged by the few bytes they read."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        rows = adapters.tracker_raw(spark, SMALL).select(F.spark_partition_id().alias("task"), F.length("body").alias("n"))
+        shares = [r["count"] for r in rows.groupBy("task").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(shares) >= spark.sparkContext.defaultParallelism
+    assert max(shares) < 3 * sum(shares) / len(shares)
+
+
 def test_scans_read_only_what_they_need(spark):
     plan = plan_of(entry.queries()["dedup_stats"](spark, SMALL))
     assert plan.count("ReadSchema: struct<o_orderkey:bigint>") >= 1
