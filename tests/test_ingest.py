@@ -1,3 +1,6 @@
+import gzip
+from pathlib import Path
+
 import pytest
 from helpers import apply, plan_of, rows_of
 from pyspark.sql import functions as F
@@ -302,3 +305,83 @@ def test_published_files_are_bounded(spark, tmp_path, monkeypatch):
     tables.write_csv(spark.range(0, 35, 1, 1).selectExpr("cast(id as string) id"), str(tmp_path / "out"))
     assert len(list((tmp_path / "out").glob("*.csv"))) == 4
     assert tables.read_table(spark, str(tmp_path / "out"), "csv").count() == 35
+
+
+def test_a_list_is_read_once_for_all_the_files_it_serves(spark, tmp_path):
+    """Five files by three listed reports are not fifteen rows."""
+    for i in range(5):
+        write(tmp_path, f"p/p_bugs_{i}.csv", HEADER + "".join(f"{k},t,High,Fixed,2024-01-01,2024-01-03,b,Closed,1.0\n" for k in (i, 9, 9)))
+    write(tmp_path, "p/p_bugs_9.csv", HEADER)
+    write(tmp_path, "p/p_bugs-combined.csv", "a,b\n0,1\n9,9\n7,\n8,9,broken\n")
+    layout = trackers.inspect(spark, str(tmp_path), trackers.find_pairs(trackers.list_files(spark, str(tmp_path))))
+    assert len(layout.pairs) == 6
+    assert len(trackers.sound(trackers.read_duplicate_lists(spark, layout)).collect()) == 3
+    done = ingest_trackers(spark, str(tmp_path))
+    assert sorted(r["Issue id"] for r in done.cleaned.collect()) == ["2", "3", "4"]
+    found = {r.pair[-5]: (r.before_rows, r.after_rows, r.removed_rows, r.listed_ids, r.rejected_records) for r in done.statistics.collect()}
+    assert found == {
+        "0": (3, 0, 3, 4, 1), "1": (3, 0, 3, 4, 1), "2": (3, 1, 2, 4, 1), "3": (3, 1, 2, 4, 1), "4": (3, 1, 2, 4, 1), "9": (0, 0, 0, 4, 1),
+    }
+    assert done.rejected.count() == 6
+
+
+@pytest.mark.filterwarnings("ignore::UserWarning")
+def test_gzipped_exports(spark, folders, tmp_path):
+    """The same tables from gzipped files, published so; they are left alone unless asked for."""
+    plain = ingest_trackers(spark, folders)
+    root, out = tmp_path / "zipped", str(tmp_path / "out")
+    for path in sorted(tmp_path.glob("*/*.csv")):
+        (root / path.parent.name).mkdir(parents=True, exist_ok=True)
+        (root / path.parent.name / f"{path.name}.gz").write_bytes(gzip.compress(path.read_bytes()))
+    done = ingest_trackers(spark, str(root), out, gzipped=True)
+    assert rows_of(done.reports) == rows_of(plain.reports)
+    assert rows_of(done.cleaned) == rows_of(plain.cleaned)
+    assert rows_of(tables.read_table(spark, f"{out}/canonical", "csv").select(done.reports.columns)) == rows_of(done.reports)
+    assert not [*Path(out).rglob("part-*.csv")] and [*Path(out).rglob("part-*.csv.gz")]
+    with pytest.raises(ValueError, match="no bug file"):
+        ingest_trackers(spark, str(root))
+
+
+@pytest.mark.parametrize("bits", [64, dedup.LISTED_BITS])
+def test_sieve_gives_the_same_rows(spark, monkeypatch, bits):
+    monkeypatch.setattr(dedup, "LISTED_BITS", bits)
+    ids = [None, "", " ", *(f" {i} " for i in range(40)), *(str(i) for i in range(60))]
+    bugs = spark.createDataFrame([(i, p, n) for n, i in enumerate(ids * 2) for p in ("a", "b", None)], "`the.id` string, p string, n int")
+    lists = spark.createDataFrame([(str(i), f"{i + 1}; x", p) for i in range(0, 50, 9) for p in ("a", None)], "issue_id string, duplicate_ids string, p string")
+    listed = dedup.listed_ids(lists, scope="p")
+    plain = dedup.subtract_listed(bugs, listed, "the.id", "p")
+    sifted = dedup.subtract_listed(bugs, listed, "the.id", "p", sieve=True)
+    assert sifted.columns == bugs.columns and rows_of(sifted) == rows_of(plain)
+    everything = dedup.subtract_listed(bugs, listed.limit(0), "the.id", "p", sieve=True)
+    assert rows_of(everything) == rows_of(bugs)
+
+
+def test_sieve_shuffles_only_rows_that_may_be_listed(spark):
+    """One row in ten is listed; the texts of the others do not move."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bugs = spark.range(0, 5_000, 1, 4).select(F.col("id").cast("string").alias("id"), F.repeat(F.lit("x"), F.lit(100)).alias("body"))
+        lists = spark.range(0, 5_000, 10).select(F.col("id").cast("string").alias("issue_id"), F.lit("").alias("duplicate_ids"))
+        out = dedup.subtract_listed(bugs, dedup.listed_ids(lists), sieve=True)
+        assert out.count() == 4_500
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+        joins, todo = [], [plan]
+        while todo:
+            node = todo.pop()
+            kind = node.nodeName()
+            if kind == "ShuffledHashJoin":
+                joins.append(node)
+            if hasattr(node, "plan") and kind.endswith("QueryStage"):
+                todo.append(node.plan())
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        (join,) = joins
+        side = join.left()
+        while not side.nodeName().startswith(("ShuffleQueryStage", "Exchange")):
+            side = side.children().apply(0)
+        stage = side.plan() if side.nodeName() == "ShuffleQueryStage" else side
+        assert stage.metrics().apply("shuffleRecordsWritten").value() < 600
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)

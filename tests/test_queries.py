@@ -1,11 +1,14 @@
 """Every registered query against its SQL, and the shape of the plans."""
 
+import os
+
 import compare
 import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from bugtide import storage
 from bugtide.catalogue import adapters
 from bugtide.catalogue.oracle import ORACLE
 from bugtide.catalogue.queries import QUERIES
@@ -70,3 +73,13 @@ def test_scans_read_only_what_they_need(spark):
 def test_metrics_count_before_the_last_shuffle(spark, name):
     plan = plan_of(entry.queries()[name](spark, SMALL))
     assert "partial_count" in plan and "partial_sum" in plan
+
+
+@pytest.mark.parametrize("name", ["ingest_reports", "ingest_cleaned", "ingest_statistics", "ingest_merged"])
+def test_exports_go_when_they_have_been_read(spark, name):
+    before = storage.stored()
+    found = QUERIES[name](spark, SMALL)
+    kept = storage._folders[before:]
+    assert not [folder for folder in kept if os.path.exists(f"{folder}/trackers")]
+    assert name != "ingest_merged" or len([folder for folder in kept if os.path.exists(folder)]) == 1
+    assert found.count() > 0
